@@ -33,13 +33,16 @@ def _only_where(needs_work: Column, text: Column, helper) -> Column:
 
 
 def _collapse(text: Column) -> Column:
-    text = F.regexp_replace(text, "[ \t]+", " ")
+    # single blanks are left alone: they are most of a text and need no change
+    text = F.regexp_replace(text, "[ \t]{2,}|\t", " ")
     return strip(F.regexp_replace(text, "\n{3,}", "\n\n"))
 
 
 def nfkc(c) -> Column:
+    # the first test is the fast one: plain and accented Latin text stops there
     text = as_col(c)
-    return _only_where(text.rlike(f"[^{NFKC_STABLE}]"), text, nfkc_batch)
+    unusual = text.rlike(r"[^\x00-\x7F\u00C0-\u0131]")
+    return _only_where(unusual & text.rlike(f"[^{NFKC_STABLE}]"), text, nfkc_batch)
 
 
 def normalize_evidence_text(c) -> Column:
