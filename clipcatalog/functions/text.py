@@ -93,10 +93,30 @@ def minimal_terms(terms: list[str]) -> list[str]:
     return [t for t in unique if not any(o != t and o in t for o in unique)]
 
 
+def term_pattern(terms: list[str]) -> str:
+    """One regular expression for a vocabulary, with shared prefixes factored out."""
+    def branch(words: list[str]) -> str:
+        if "" in words:
+            return ""
+        heads: dict[str, list[str]] = {}
+        for word in words:
+            heads.setdefault(word[0], []).append(word[1:])
+        parts = [_escape(head) + branch(tails) for head, tails in heads.items()]
+        return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+    words = minimal_terms(terms)
+    # a cheap look at the first character rules out most positions of a text
+    heads = "".join(_escape(h) for h in dict.fromkeys(w[0] for w in words))
+    return f"(?=[{heads}])" + branch(words)
+
+
+def _escape(char: str) -> str:
+    return char if char.isalnum() or char == " " else "\\" + char
+
+
 def contains_any(c, terms: list[str]) -> Column:
     """True when any term occurs as a substring (not as a word)."""
-    text = as_col(c)
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in minimal_terms(terms)])
+    return as_col(c).rlike(term_pattern(terms))
 
 
 QUANTITY_PATTERNS = [

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clipcatalog import schemas, vocab
 from clipcatalog.functions.columns import as_col, empty_to_null, strip
 from clipcatalog.functions.text import infer_language, normalize_caption, recipe_signal
+from clipcatalog.operators.staging import computed
 
 
 def _stripped(c) -> Column:
@@ -45,13 +46,13 @@ def item_from_raw_json(
     """
     keep = keep or []
     v = F.col("_v")
-    base = df.select(*keep, F.from_json(item, schemas.VIDEO_ITEM).alias("_v")).select(
-        *keep,
-        F.coalesce(_stripped(v["id"]), F.lit("")).alias("CONTENT_ID"),
-        normalize_caption(v["desc"]).alias("DESCRIPTION"),
-        creator_name(v["author"], fallback_creator).alias("CREATOR_USERNAME"),
-        epoch_to_iso(v["createTime"]).alias("_published"),
-    ).filter((F.col("CONTENT_ID") != "") & (F.col("DESCRIPTION") != ""))
+    parsed = df.select(*keep, F.from_json(item, schemas.VIDEO_ITEM).alias("_v"))
+    base = computed(parsed, {
+        "CONTENT_ID": F.coalesce(_stripped(v["id"]), F.lit("")),
+        "DESCRIPTION": normalize_caption(v["desc"]),
+        "CREATOR_USERNAME": creator_name(v["author"], fallback_creator),
+        "_published": epoch_to_iso(v["createTime"]),
+    }, keep).filter((F.col("CONTENT_ID") != "") & (F.col("DESCRIPTION") != ""))
     if require_signal:
         base = base.filter(recipe_signal("DESCRIPTION"))
     profile = F.concat(F.lit("https://www.tiktok.com/@"), "CREATOR_USERNAME")
@@ -88,21 +89,17 @@ def reject_rows(
     """The complement of ``item_from_raw_json``: rejected items with a reason."""
     keep = keep or []
     v = F.col("_v")
-    caption = normalize_caption(v["desc"])
-    passes = (
-        F.coalesce(strip(v["id"]), F.lit("")) != ""
-    ) & (caption != "") & recipe_signal(caption)
-    return (
-        df.select(*keep, as_col(F.lit(source_value) if isinstance(source_value, str) else source_value).alias("_sv"),
-                  F.from_json(item, schemas.VIDEO_ITEM).alias("_v"))
-        .filter(~F.coalesce(passes, F.lit(False)))
-        .select(
-            *keep,
-            F.lit(source_type).alias("SOURCE_TYPE"),
-            F.col("_sv").alias("SOURCE_VALUE"),
-            F.coalesce(strip(v["id"]), F.lit("")).alias("CONTENT_ID"),
-            creator_name(v["author"]).alias("CREATOR_USERNAME"),
-            F.coalesce(strip(v["desc"]), F.lit("")).alias("DESCRIPTION"),
-            F.lit("missing_recipe_signal_or_required_fields").alias("REJECT_REASON"),
-        )
+    value = F.lit(source_value) if isinstance(source_value, str) else source_value
+    parsed = df.select(*keep, value.alias("SOURCE_VALUE"), F.from_json(item, schemas.VIDEO_ITEM).alias("_v"))
+    rows = computed(parsed, {
+        "CONTENT_ID": F.coalesce(strip(v["id"]), F.lit("")),
+        "CREATOR_USERNAME": creator_name(v["author"]),
+        "DESCRIPTION": F.coalesce(strip(v["desc"]), F.lit("")),
+        "_caption": normalize_caption(v["desc"]),
+    }, [*keep, "SOURCE_VALUE"])
+    passes = (F.col("CONTENT_ID") != "") & (F.col("_caption") != "") & recipe_signal("_caption")
+    return rows.filter(~passes).select(
+        *keep,
+        F.lit(source_type).alias("SOURCE_TYPE"), "SOURCE_VALUE", "CONTENT_ID", "CREATOR_USERNAME", "DESCRIPTION",
+        F.lit("missing_recipe_signal_or_required_fields").alias("REJECT_REASON"),
     )

@@ -16,6 +16,7 @@ from clipcatalog.functions.columns import as_col, clamp01
 from clipcatalog.functions.text import (
     comment_signal, looks_like_caption, normalize_caption, recipe_signal,
 )
+from clipcatalog.operators.staging import computed
 
 
 def top_per_key(df: DataFrame, keys: list, order: list[Column], n: int = 1, rank: str | None = None) -> DataFrame:
@@ -147,7 +148,7 @@ def resume_order(creators: DataFrame, state: DataFrame, now: Column, hours: floa
 def top_comments(comments: DataFrame, key: str = "item_id", ordinal: str = "ordinal", text: str = "comment_text",
                  k: int = 8) -> DataFrame:
     """The k most useful comments per item as a bulleted text with a confidence."""
-    clean = comments.select(key, ordinal, normalize_caption(text).alias("_text")).filter("_text != ''")
+    clean = computed(comments, {"_text": normalize_caption(text)}, [key, ordinal]).filter("_text != ''")
     scanned = clean.groupBy(key).agg(F.count(F.lit(1)).alias("comments_scanned"))
     best = top_per_key(
         clean, [key],
@@ -165,7 +166,8 @@ def top_comments(comments: DataFrame, key: str = "item_id", ordinal: str = "ordi
 def best_caption(candidates: DataFrame, key: str, ordinal: str, text: str = "candidate",
                  existing: str = "existing") -> DataFrame:
     """Best replacement caption per item: recipe signal first, then length."""
-    clean = candidates.withColumn("caption", normalize_caption(text)).filter(looks_like_caption("caption", existing))
+    clean = computed(candidates, {"caption": normalize_caption(text)}, [key, ordinal, existing]).filter(
+        looks_like_caption("caption", existing))
     return top_per_key(
         clean, [key], [recipe_signal("caption").desc(), F.length("caption").desc(), F.col(ordinal).asc()]
     ).select(key, "caption", F.lit("web_metadata").alias("source"))

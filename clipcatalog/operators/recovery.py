@@ -12,6 +12,7 @@ from clipcatalog.functions.text import (
     normalize_evidence_text, usable_ocr,
 )
 from clipcatalog.operators.ranking import latest_attempt_per_method
+from clipcatalog.operators.staging import computed
 
 
 def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_username") -> DataFrame:
@@ -20,13 +21,13 @@ def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_us
     Needs ``raw_id, method, status, confidence, error`` beside the text.  Adds
     the cleaned text, score, class, length, language, details and record hash.
     """
-    cleaned = df.withColumn("recovered_text", normalize_evidence_text(normalize_caption(text)))
+    cleaned = computed(df, {"recovered_text": normalize_evidence_text(normalize_caption(text))})
     has_text = F.col("recovered_text") != ""
-    scored = cleaned.withColumn(
-        "score",
-        F.when(has_text, evidence_score("recovered_text", creator=creator, normalized=True)).otherwise(F.lit(0.0)),
-    )
-    gibberish = (F.col("method") == "ocr") & has_text & ~usable_ocr("recovered_text", normalized=True)
+    scored = computed(cleaned, {
+        "score": F.when(has_text, evidence_score("recovered_text", creator=creator, normalized=True)).otherwise(F.lit(0.0)),
+        "_readable": (F.col("method") != "ocr") | usable_ocr("recovered_text", normalized=True),
+    })
+    gibberish = (F.col("method") == "ocr") & has_text & ~F.col("_readable")
     success = has_text & (F.col("status") == "attempted_success")
     confidence = F.coalesce("confidence", F.lit(0.0))
     final = F.when(gibberish, "rejected_gibberish").when(
@@ -62,9 +63,8 @@ def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_us
 def _with_evidence_score(df: DataFrame, text: str) -> DataFrame:
     """Score without the creator bonus, and whether the attempt is evidence."""
     body = F.col("_body")
-    scored = df.withColumn("_body", normalize_evidence_text(text)).withColumn(
-        "_score", evidence_score("_body", normalized=True)
-    )
+    scored = computed(computed(df, {"_body": normalize_evidence_text(text)}),
+                      {"_score": evidence_score("_body", normalized=True)})
     ok = (
         (body != "")
         & F.coalesce(F.col("status").isin(vocab.SUCCESS_STATUSES), F.lit(False))

@@ -10,6 +10,7 @@ from clipcatalog.functions.text import normalize_caption
 from clipcatalog.operators.joins import left_join_features, scalar_cross_join
 from clipcatalog.operators.ordinals import rank_in_slices
 from clipcatalog.operators.ranking import rank_evidence
+from clipcatalog.operators.staging import computed
 
 
 def _rows() -> Column:
@@ -261,7 +262,7 @@ def distinct_lines_concat(pieces: DataFrame, key: str, ordinal: str, text: str,
                           chars: int = vocab.PIECES_CHARS) -> DataFrame:
     """Per item: cleaned pieces, distinct, in first-seen order, newline-joined."""
     lines = (
-        pieces.select(key, ordinal, normalize_caption(text).alias("_text"))
+        computed(pieces, {"_text": normalize_caption(text)}, [key, ordinal])
         .filter("_text != ''")
         .groupBy(key, "_text").agg(F.min(ordinal).alias("_ordinal"))
     )
@@ -274,8 +275,8 @@ def segments_concat(segments: DataFrame, key: str, ordinal: str, text: str, prob
 
     The confidence is the language probability, or 0.9 when it is absent or 0.
     """
-    clean = segments.select(
-        key, F.col(ordinal).alias("_ordinal"), normalize_caption(text).alias("_text")
+    clean = computed(
+        segments, {"_ordinal": F.col(ordinal), "_text": normalize_caption(text)}, [key]
     ).filter("_text != ''")
     out = _joined_pieces(clean, key, " ", chars, 2).withColumnRenamed("_joined", "transcript")
     if probability is None:

@@ -25,11 +25,12 @@ INSTRUCTION = (
 )
 
 
-def landing_rows(rows: DataFrame, tie: str = "raw_id") -> DataFrame:
+def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) -> DataFrame:
     """Landing rows to one best, hashed row per (platform, content key).
 
     ``rows`` has lower-case landing columns with ``url``; the flag columns may
-    still be text.
+    still be text.  ``tie`` orders rows that are equal otherwise; ``keep_id``
+    returns it.
     """
     def flag(name):
         c = F.col(name)
@@ -52,7 +53,7 @@ def landing_rows(rows: DataFrame, tie: str = "raw_id") -> DataFrame:
     best = best_source_row(normal, ["platform", "content_key"], F.coalesce(try_boolean("description_enriched"), F.lit(False)), tie)
     payload = {n: (n if n in normal.columns else F.lit(None).cast("string")) for n in schemas.PAYLOAD_FIELDS}
     return best.select(
-        "platform", "content_id", "creator_username", "title", "description", "url", "description_is_partial",
+        *([tie] if keep_id else []), "platform", "content_id", "creator_username", "title", "description", "url", "description_is_partial",
         "source_file", build_payload(payload).alias("raw_payload"),
         batch_hash("platform", "content_key", "description", "title", "url").alias("record_hash"), "content_key",
     )

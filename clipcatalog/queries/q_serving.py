@@ -50,13 +50,7 @@ def _(t: Inputs):
 @query("point_lookup", "SELECT * FROM gold_api WHERE id = (SELECT max(id) FROM gold_api)")
 def _(t: Inputs):
     api = built.api(t)
-    newest = api.agg(F.max("id").alias("id"))
-    return api.join(F.broadcast(newest), "id").select(*api.columns)
-
-
-@query("point_lookup_by_value", "SELECT * FROM gold_api WHERE id = 0")
-def _(t: Inputs):
-    return S.point_lookup(built.api(t), "id", 0)
+    return S.point_lookup(api, "id", api.agg(F.max("id")).scalar())
 
 
 _SEARCH = ["display_title", "cuisine_style", "main_ingredient", "ingredients", "final_recipe_text", "original_description"]

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from clipcatalog import vocab
 from clipcatalog.functions import ingredients as I
-from clipcatalog.functions import items
 from clipcatalog.functions import structured as V
+from clipcatalog.operators import items
 from clipcatalog.queries import duck as d
 from clipcatalog.queries.registry import Inputs, query
 
