@@ -1,7 +1,7 @@
 """Keyed merges: one full outer join with a rule per column.
 
 A rule is a function ``(target, source) -> Column`` of the two values of a
-matched row.  Unmatched target rows stay as they are; unmatched source rows are
+matched row; ``newer_row_rules`` compares whole rows.  Unmatched target rows stay as they are; unmatched source rows are
 inserted with their values or with an insert default.
 """
 
@@ -53,6 +53,15 @@ def always(value: Column) -> Rule:
     return lambda t, s: value
 
 
+def newer_row_rules(columns: list[str], version: str) -> dict[str, Rule]:
+    """Rules for a table where the row with the greater version wins as a whole.
+
+    The result does not depend on the order in which batches arrive.
+    """
+    later = F.col(f"s__{version}") >= F.col(f"t__{version}")
+    return {c: (lambda t, s: F.when(later, s).otherwise(t)) for c in columns}
+
+
 def unique_source(source: DataFrame, keys: list, order: list[Column]) -> DataFrame:
     """The first row per key in the given order: what a merge source must be."""
     w = Window.partitionBy(*keys).orderBy(*order)

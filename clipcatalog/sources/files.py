@@ -121,9 +121,15 @@ def write_overwrite(df: DataFrame, name: str, mode: str = "overwrite", fmt: str
 
 def write_csv_fixed_order(df: DataFrame, path: str, columns: list[str]) -> None:
     """CSV with a header and exactly these columns, in this order."""
-    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').option(
-        "emptyValue", ""
-    ).csv(path)
+    (
+        df.select(*columns).write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def read_optional(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:

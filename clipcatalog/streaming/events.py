@@ -113,12 +113,13 @@ def normalize_legacy_event(df: DataFrame, event: str = "event", keep: list[str]
 
 
 def build_event(items: DataFrame, now: Column, event_type: str = "new_tiktok_video_detected",
-                source_system: str = "tiktok_creator_monitor") -> DataFrame:
+                source_system: str = "tiktok_creator_monitor", keep: list[str] | None = None) -> DataFrame:
     """Content items to detection events, with both names of id and URL."""
     def optional(name, kind="string"):
         return F.col(name) if name in items.columns else F.lit(None).cast(kind)
 
     return items.select(
+        *(keep or []),
         F.lit(event_type).alias("event_type"), as_col(now).alias("detected_at"),
         F.lit(source_system).alias("source_system"), "platform", "creator_username",
         F.col("content_id").alias("video_id"), "content_id", optional("published_at").alias("published_at"),
