@@ -136,7 +136,7 @@ def _(t: Inputs):
 
 @query("creator_state_upsert", f"""
 WITH tgt AS (SELECT creator, status, TIMESTAMP '2024-01-01 00:00:00' AS last_run_at, TIMESTAMP '2024-01-01 00:00:00' AS completed_at, scanned, scanned AS accepted, NULL::VARCHAR AS error
-  FROM scan_state_fx WHERE scanned % 2 = 0),
+  FROM scan_state_fx WHERE status = 'completed'),
 src AS (SELECT CAST(user_id AS VARCHAR) AS creator, CASE WHEN max(event_id) % 2 = 0 THEN 'completed' ELSE 'failed' END AS status, count(*) AS scanned,
   count(*) FILTER (event_type = 'click') AS accepted, CASE WHEN max(event_id) % 2 = 1 THEN 'blocked' END AS error FROM events WHERE event_type <> 'view' GROUP BY user_id)
 SELECT coalesce(s.creator, t.creator) AS creator, coalesce(s.status, t.status) AS status, CASE WHEN s.creator IS NULL THEN t.last_run_at ELSE {NOW_SQL} END AS last_run_at,
@@ -145,7 +145,7 @@ SELECT coalesce(s.creator, t.creator) AS creator, coalesce(s.status, t.status) A
 FROM tgt t FULL OUTER JOIN src s ON t.creator = s.creator""")
 def _(t: Inputs):
     first = at("2024-01-01 00:00:00")
-    target = t.fx("scan_state_fx").filter("scanned % 2 = 0").select(
+    target = t.fx("scan_state_fx").filter("status = 'completed'").select(
         "creator", "status", first.alias("last_run_at"), first.alias("completed_at"), "scanned",
         F.col("scanned").alias("accepted"), F.lit(None).cast("string").alias("error"))
     odd = F.max("event_id") % 2 == 1

@@ -61,7 +61,7 @@ def _(t: Inputs):
 _EV = """
 ev AS (SELECT raw_id, max(evidence_quality_score) AS s, max(created_at) AS latest FROM evidence_fx
   WHERE coalesce(evidence_length, 0) > 0 AND coalesce(evidence_quality_score, 0) >= 0.20 GROUP BY raw_id),
-done AS (SELECT raw_id, processed_at FROM stg_recipes WHERE raw_id % 3 <> 0),
+done AS (SELECT raw_id, processed_at FROM stg_recipes WHERE is_recipe),
 b AS (SELECT * FROM captions_fx WHERE coalesce(trim(description), '') <> '')"""
 
 
@@ -73,7 +73,7 @@ UNION ALL SELECT 'recovered', b.raw_id, ev.latest, coalesce(ev.s, 0) FROM b JOIN
   WHERE done.raw_id IS NULL OR ev.latest >= coalesce(done.processed_at, TIMESTAMP '1900-01-01 00:00:00')
 UNION ALL SELECT 'all', b.raw_id, ev.latest, coalesce(ev.s, 0) FROM b LEFT JOIN ev ON b.raw_id = ev.raw_id""")
 def _(t: Inputs):
-    done = built.recipes(t).filter("raw_id % 3 <> 0")
+    done = built.recipes(t).filter("is_recipe")
     evidence = A.evidence_stats(t.fx("evidence_fx"))
     out = None
     for mode in ("new", "recovered", "all"):
@@ -84,7 +84,7 @@ def _(t: Inputs):
 
 
 @query("weak_candidates", f"""
-WITH s AS (SELECT * FROM stg_recipes WHERE raw_id % 4 <> 0),
+WITH s AS (SELECT * FROM stg_recipes WHERE has_ingredient_list),
 e AS (SELECT raw_id, max(evidence_quality_score) AS best FROM evidence_fx GROUP BY raw_id)
 SELECT b.raw_id, round(coalesce(s.caption_completeness_score, 0), 9) AS completeness, round(coalesce(e.best, 0), 9) AS best,
   coalesce(s.recipe_status, 'unknown') AS recipe_status, coalesce(s.is_recipe, true) AS is_recipe
@@ -94,7 +94,7 @@ WHERE b.url IS NOT NULL AND coalesce(trim(b.description), '') <> '' AND (s.raw_i
   AND coalesce(s.recipe_status, 'unknown') IN {d.in_list(vocab.WEAK_STATUSES)}))
 ORDER BY coalesce(s.caption_completeness_score, 0), b.ingested_at, b.raw_id LIMIT 250""")
 def _(t: Inputs):
-    silver = built.recipes(t).filter("raw_id % 4 <> 0")
+    silver = built.recipes(t).filter("has_ingredient_list")
     best = A.best_score_per_key(t.fx("evidence_fx"))
     return J.weak_candidates(t.fx("captions_fx"), silver, best, 0.65, 250).select(
         "raw_id", F.round("caption_completeness_score", 9).alias("completeness"),
@@ -139,7 +139,7 @@ def _landing_sql(condition: str) -> str:
 
 
 _MERGED_LANDING = f"""
-WITH tgt AS ({_landing_sql('raw_id % 2 = 0')}), src AS ({_landing_sql('raw_id % 2 = 1')})
+WITH tgt AS ({_landing_sql('description_is_partial')}), src AS ({_landing_sql('NOT description_is_partial')})
 SELECT CASE WHEN t.key IS NOT NULL THEN t.raw_id ELSE s.raw_id END AS raw_id,
   coalesce(s.platform, t.platform) AS platform,
   CASE WHEN t.key IS NULL THEN s.content_id WHEN s.key IS NULL THEN t.content_id ELSE coalesce(nullif(t.content_id, ''), s.content_id) END AS content_id,
@@ -155,7 +155,7 @@ FROM tgt t FULL OUTER JOIN src s ON t.platform = s.platform AND t.key = s.key"""
 
 def _landing_halves(t: Inputs):
     halves = []
-    for condition in ("raw_id % 2 = 0", "raw_id % 2 = 1"):
+    for condition in ("description_is_partial", "NOT description_is_partial"):
         halves.append(landing_rows(t.fx("captions_fx").filter(condition), keep_id=True).select(*LANDING_COLUMNS))
     return halves
 
@@ -208,20 +208,21 @@ def _(t: Inputs):
 
 
 @query("upsert_full_replace", f"""
-WITH s AS (SELECT raw_id, original_title, recipe_status, is_vegetarian, processed_at FROM stg_recipes),
-tgt AS (SELECT * FROM s WHERE raw_id % 3 <> 0),
-src AS (SELECT raw_id, 'v2 ' || original_title AS original_title, 'non_recipe' AS recipe_status, NULL AS is_vegetarian FROM s WHERE raw_id % 2 = 0)
+WITH s AS (SELECT raw_id, original_title, recipe_status, is_vegetarian, processed_at, is_recipe, has_instructions FROM stg_recipes),
+tgt AS (SELECT * FROM s WHERE is_recipe),
+src AS (SELECT raw_id, 'v2 ' || original_title AS original_title, 'non_recipe' AS recipe_status, NULL AS is_vegetarian FROM s WHERE has_instructions)
 SELECT coalesce(s.raw_id, t.raw_id) AS raw_id, CASE WHEN s.raw_id IS NULL THEN t.original_title ELSE s.original_title END AS original_title,
   CASE WHEN s.raw_id IS NULL THEN t.recipe_status ELSE s.recipe_status END AS recipe_status,
   CASE WHEN s.raw_id IS NULL THEN t.is_vegetarian END AS is_vegetarian,
   CASE WHEN s.raw_id IS NULL THEN t.processed_at ELSE {NOW_SQL} END AS processed_at
 FROM tgt t FULL OUTER JOIN src s ON t.raw_id = s.raw_id""")
 def _(t: Inputs):
-    rows = built.recipes(t).select("raw_id", "original_title", "recipe_status", "is_vegetarian", "processed_at")
-    source = rows.filter("raw_id % 2 = 0").select(
+    columns = ["raw_id", "original_title", "recipe_status", "is_vegetarian", "processed_at"]
+    rows = built.recipes(t)
+    source = rows.filter("has_instructions").select(
         "raw_id", F.concat(F.lit("v2 "), "original_title").alias("original_title"), F.lit("non_recipe").alias("recipe_status"),
         F.lit(None).cast("boolean").alias("is_vegetarian"))
-    once = U.upsert_full_replace(rows.filter("raw_id % 3 <> 0"), source, now())
+    once = U.upsert_full_replace(rows.filter("is_recipe").select(*columns), source, now())
     return U.upsert_full_replace(once, source, now())
 
 
@@ -247,24 +248,24 @@ def _(t: Inputs):
 
 _QUEUE_SQL = """
 queue AS (SELECT raw_id, content_id, 'new' AS status, 5::BIGINT AS priority, NULL::VARCHAR AS last_error,
-  ingested_at AS discovered_at, ingested_at AS updated_at FROM captions_fx WHERE raw_id % 2 = 0)"""
+  ingested_at AS discovered_at, ingested_at AS updated_at FROM captions_fx WHERE description_is_partial)"""
 
 
 def _queue(t: Inputs):
-    return t.fx("captions_fx").filter("raw_id % 2 = 0").select(
+    return t.fx("captions_fx").filter("description_is_partial").select(
         "raw_id", "content_id", F.lit("new").alias("status"), F.lit(5).cast("bigint").alias("priority"),
         F.lit(None).cast("string").alias("last_error"), F.col("ingested_at").alias("discovered_at"),
         F.col("ingested_at").alias("updated_at"))
 
 
 @query("upsert_queue", f"""
-WITH {_QUEUE_SQL}, src AS (SELECT raw_id, content_id, 'needs_ocr' AS status, 5::BIGINT AS priority, 'e' AS last_error FROM captions_fx WHERE raw_id % 3 = 0)
+WITH {_QUEUE_SQL}, src AS (SELECT raw_id, content_id, 'needs_ocr' AS status, 5::BIGINT AS priority, 'e' AS last_error FROM captions_fx WHERE source_file = 'file_0.csv')
 SELECT coalesce(s.raw_id, q.raw_id) AS raw_id, CASE WHEN s.raw_id IS NULL THEN q.content_id ELSE s.content_id END AS content_id,
   coalesce(s.status, q.status) AS status, coalesce(s.priority, q.priority) AS priority, coalesce(s.last_error, q.last_error) AS last_error,
   coalesce(q.discovered_at, {NOW_SQL}) AS discovered_at, CASE WHEN s.raw_id IS NULL THEN q.updated_at ELSE {NOW_SQL} END AS updated_at
 FROM queue q FULL OUTER JOIN src s ON q.raw_id = s.raw_id""")
 def _(t: Inputs):
-    source = t.fx("captions_fx").filter("raw_id % 3 = 0").select(
+    source = t.fx("captions_fx").filter("source_file = 'file_0.csv'").select(
         "raw_id", "content_id", F.lit("needs_ocr").alias("status"), F.lit(5).cast("bigint").alias("priority"),
         F.lit("e").alias("last_error"))
     return U.upsert_queue(U.upsert_queue(_queue(t), source, now()), source, now())

@@ -159,30 +159,20 @@ def _(t: Inputs):
     return S.required_columns(t.table("documents"), ["DOC_ID", "lang"]).select("doc_id", "lang", "n_chars")
 
 
-def _answer(prompts):
-    answers = []
-    for p in prompts:
-        if "12345 67890" in p:
-            raise ValueError("unreadable caption")
-        answers.append(str(len(p)))
-    return answers
-
-
 @query("enrich_with", """
 SELECT raw_id, CASE WHEN contains(description, '12345 67890') THEN NULL ELSE CAST(length(description) AS VARCHAR) END AS response,
   CASE WHEN contains(description, '12345 67890') THEN 'failed' ELSE 'ok' END AS status,
   CASE WHEN contains(description, '12345 67890') THEN 'ValueError: unreadable caption' END AS error FROM captions_fx""")
 def _(t: Inputs):
-    return enrich_with(t.fx("captions_fx"), _local(_answer), "raw_id", "description")
-
-
-def _local(fn):
-    """A copy of the function that travels to executors by value."""
-    import types
-
-    copy = types.FunctionType(fn.__code__, {"__builtins__": __builtins__}, fn.__name__)
-    copy.__module__ = "__main__"
-    return copy
+    def answer(prompts):  # the caller's function: any client would stand here
+        lengths = []
+        for prompt in prompts:
+            if "12345 67890" in prompt:
+                raise ValueError("unreadable caption")
+            lengths.append(str(len(prompt)))
+        return lengths
+
+    return enrich_with(t.fx("captions_fx"), answer, "raw_id", "description")
 
 
 @query("silver_report_tables", f"""

@@ -24,6 +24,9 @@ def local_session(cpus: str = "8", memory: str = "16g", name: str = "clipcatalog
     )
 
 
+_fallback: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -32,11 +35,11 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not _fallback:
+        _fallback.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return _fallback[0]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
