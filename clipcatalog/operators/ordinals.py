@@ -9,8 +9,6 @@ the same on every run and on every executor.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,32 +18,40 @@ def sort_key(c: Column, descending: bool) -> Column:
 
 
 def rank_in_slices(df: DataFrame, keys: list[str], slices: list[tuple[Column, bool]],
-                   order: list[Column], name: str = "rank") -> DataFrame:
+                   order: list[Column], name: str = "rank", maxima: dict[str, str] | None = None) -> DataFrame:
     """Position (1-based) of each row within its key.
 
     ``slices`` are ``(column, descending)`` pairs that lead the order: sorting by
     them and then by ``order`` is the wanted order.  The rows of one (key, slice)
-    pair share a task; the counts per pair are a far smaller table.
+    pair share a task; the counts per pair are a far smaller table.  ``maxima``
+    (new name -> column) adds the greatest value of a column within the key, which
+    comes from the same small table.
+
+    The pair is one text column that is never NULL, so the ranking and the join
+    to the counts use the same partitioning and the rows are shuffled once.
     """
+    maxima = maxima or {}
     cut = [f"_slice{i}" for i in range(len(slices))]
-    pair = [*keys, *cut]
-    tagged = df.withColumns({n: c for n, (c, _) in zip(cut, slices)})
-    local = tagged.withColumn("_local", F.row_number().over(Window.partitionBy(*pair).orderBy(*order)))
+    tagged = df.withColumns({n: c for n, (c, _) in zip(cut, slices)}).withColumn(
+        "_pair", F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x1e")) for c in [*keys, *cut]])
+    )
+    local = tagged.withColumn("_local", F.row_number().over(Window.partitionBy("_pair").orderBy(*order)))
 
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(*[sort_key(F.col(n), d) for n, (_, d) in zip(cut, slices)])
-        .rowsBetween(Window.unboundedPreceding, -1)
+    sizes = tagged.groupBy("_pair", *keys, *cut).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(f"_m_{n}") for n, c in maxima.items()]
     )
-    offsets = tagged.groupBy(*pair).agg(F.count(F.lit(1)).alias("_n")).select(
-        *[F.col(c).alias(f"_o_{c}") for c in pair],
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+    key = Window.partitionBy(*keys)
+    earlier = key.orderBy(
+        *[sort_key(F.col(n), d) for n, (_, d) in zip(cut, slices)], F.col("_pair")
+    ).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_pair", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        *[F.max(f"_m_{n}").over(key).alias(n) for n in maxima],
     )
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in pair])
     return (
-        local.join(offsets, same)
+        local.join(offsets, "_pair")
         .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_local", "_offset", *cut, *[f"_o_{c}" for c in pair])
+        .drop("_local", "_offset", "_pair", *cut)
     )
 
 

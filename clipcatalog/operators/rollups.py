@@ -127,16 +127,16 @@ def evidence_concat(evidence: DataFrame, key: str = "raw_id", min_score: float =
     continues in further rows (``part_no`` 0, 1, 2, ...), so nothing is dropped and
     no task or cell has to hold an unbounded item.
     """
-    rows = usable_evidence(evidence, min_score)
     ranked = rank_in_slices(
-        rows, [key],
+        usable_evidence(evidence, min_score), [key],
         [(F.col("evidence_quality_score"), True), (F.date_trunc("hour", "created_at"), True)],
         [F.col("created_at").desc_nulls_last(), F.col(tie).desc()], "_rank",
+        {"_best": "evidence_quality_score", "_latest": "created_at"},
     ).withColumn("part_no", F.floor((F.col("_rank") - 1) / part_rows).cast("bigint"))
-    texts = ranked.groupBy(key, "part_no").agg(
-        F.expr("listagg(evidence_text, '\\n\\n') within group (order by _rank)").alias("recovery_text")
+    return ranked.groupBy(key, "part_no").agg(
+        F.expr("listagg(evidence_text, '\\n\\n') within group (order by _rank)").alias("recovery_text"),
+        F.max("_best").alias("evidence_quality_score"), F.max("_latest").alias("latest_evidence_at"),
     )
-    return texts.join(evidence_stats(evidence, min_score, key), key)
 
 
 def best_score_per_key(df: DataFrame, key: str = "raw_id", score: str = "evidence_quality_score",

@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from clipcatalog import schemas
 from clipcatalog.functions.columns import batch_hash, blank_to_null, build_payload, content_key, default_blank, path_id, try_boolean
-from clipcatalog.functions.structured import (
-    normalize_answers, parse_json_lenient, processing_confidence, prompt_payload,
-)
+from clipcatalog.functions.structured import processing_confidence, prompt_payload
 from clipcatalog.functions.text import evidence_score
+from clipcatalog.operators.answers import normalize_answers
 from clipcatalog.operators.joins import incremental_candidates, with_evidence_text
 from clipcatalog.operators.ranking import best_source_row
 from clipcatalog.operators.rollups import evidence_concat, evidence_stats
@@ -78,8 +77,7 @@ def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFram
 
 def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """Answers to (typed rows, quarantined rows), keyed by item."""
-    cleaned = answers.withColumn("response", parse_json_lenient("response"))
-    typed = normalize_answers(cleaned.select("raw_id", "response"), "response", keep=["raw_id", "response"])
+    typed = normalize_answers(answers.select("raw_id", "response"), "response", keep=["raw_id", "response"])
     bad = typed.filter(F.col("error").isNotNull()).select("raw_id", "response", "error")
     good = typed.filter(F.col("error").isNull())
     joined = good.join(requests.filter("part_no = 0"), "raw_id")

@@ -8,6 +8,7 @@ from clipcatalog import vocab
 from clipcatalog.functions import ingredients as I
 from clipcatalog.functions import structured as V
 from clipcatalog.operators import items
+from clipcatalog.operators.answers import normalize_answers
 from clipcatalog.queries import duck as d
 from clipcatalog.queries.registry import Inputs, query
 
@@ -141,7 +142,7 @@ SELECT raw_id,
 
 @query("normalize_llm_response", _EXPECTED.replace("response->>", "(CASE WHEN json_valid(response) THEN response END)->>"))
 def _(t: Inputs):
-    out = V.normalize_answers(t.fx("llm_fx"), "response")
+    out = normalize_answers(t.fx("llm_fx"), "response")
     return out.select(
         "raw_id", "lang", "is_veg", "cuisine", "ingredient", F.array_join("ingredients", ",").alias("ingredients"),
         "is_recipe", "recipe_status", "has_ingredient_list", "has_instructions",
