@@ -72,6 +72,25 @@ def normalize_language_code(
     return lookup(text, table, None if other is None else F.lit(other))
 
 
+def is_json(c) -> Column:
+    """The whole text is exactly one JSON value.
+
+    Spark's parser stops after the first value and ignores what follows.  A text
+    that is valid both as a list element and as an object member has nothing left
+    over: a stray bracket would break one form, a stray brace the other.
+    """
+    text = as_col(c)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce(listed.isNotNull() & named.isNotNull(), F.lit(False))
+
+
+def json_kind(c) -> Column:
+    """Type name of a JSON text (``OBJECT...``, ``ARRAY...``, ``STRING``, ...); NULL if not JSON."""
+    text = as_col(c)
+    return F.when(is_json(text), F.schema_of_variant(F.try_parse_json(text)))
+
+
 def content_key(content_id, url) -> Column:
     """Business key of a landing row: id, else id in the URL, else the URL."""
     return F.coalesce(blank_to_null(content_id), path_id(url), blank_to_null(url))

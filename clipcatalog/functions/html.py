@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog.functions.batch_helpers import walk_batch
-from clipcatalog.functions.columns import as_col, empty_to_null, strip
+from clipcatalog.functions.columns import as_col, empty_to_null, is_json, strip
 from clipcatalog.functions.text import decode_entities, normalize_caption, normalize_captions
 
 # --- fixed values: the four attribute orders of a description tag -------------
@@ -48,7 +48,7 @@ def json_script(c, script_id: str) -> Column:
     pattern = rf"""(?is)<script[^>]+id=["']{re.escape(script_id)}["'][^>]*>(.*?)</script>"""
     raw = empty_to_null(F.regexp_extract(as_col(c), pattern, 1))
     body = empty_to_null(strip(decode_entities(raw)))
-    return F.when(F.try_parse_json(body).isNotNull(), body)
+    return F.when(is_json(body), body)
 
 
 def strip_tags(c) -> Column:

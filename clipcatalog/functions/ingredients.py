@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
-from clipcatalog.functions.columns import as_col, empty_to_null, strip
+from clipcatalog.functions.columns import as_col, empty_to_null, is_json, json_kind, strip
 
 NO_TEXTS = "array<string>"
 
@@ -37,14 +37,13 @@ def coerce_list_field(c) -> Column:
     """
     raw = F.coalesce(as_col(c), F.lit(""))
     text = strip(raw)
-    parsed = F.try_parse_json(text)
-    kind = F.coalesce(F.schema_of_variant(parsed), F.lit("TEXT"))
+    kind = F.coalesce(json_kind(text), F.lit("TEXT"))
 
     nested = F.coalesce(*[
         F.when(~F.coalesce(member, F.lit("")).isin("", "[]", "{}", "false", "0"), member)
         for member in (F.get_json_object(text, f"$.{k}") for k in ("ingredients", "items", "values"))
     ])
-    nested_kind = F.coalesce(F.schema_of_variant(F.try_parse_json(nested)), F.lit("TEXT"))
+    nested_kind = F.coalesce(json_kind(nested), F.lit("TEXT"))
     from_object = (
         F.when(nested.isNull(), F.array(text))
         .when(nested_kind.startswith("ARRAY"), _texts(nested))
@@ -56,7 +55,7 @@ def coerce_list_field(c) -> Column:
         .when(kind == "VOID", _empty())
         .when(kind.startswith("ARRAY"), _texts(text))
         .when(kind.startswith("OBJECT"), from_object)
-        .when(kind == "STRING", _split_text(strip(F.try_variant_get(parsed, "$", "string"))))
+        .when(kind == "STRING", _split_text(strip(F.try_variant_get(F.try_parse_json(text), "$", "string"))))
         .otherwise(F.array(text))
     )
 
@@ -78,7 +77,7 @@ def format_ingredient(item) -> Column:
         F.concat_ws(" ", quantity, unit, name),
         F.coalesce(F.concat(F.lit(" ("), notes, F.lit(")")), F.lit("")),
     )
-    is_object = text.startswith("{") & F.try_parse_json(text).isNotNull()
+    is_object = text.startswith("{") & is_json(text)
     return F.when(is_object, shown).otherwise(F.btrim(text, F.lit("[]{}'\" ")))
 
 
@@ -141,6 +140,6 @@ def format_steps(array) -> Column:
             F.try_element_at(F.map_values(values), F.lit(1)),
             F.lit(""),
         )
-        return F.when(text.startswith("{") & F.try_parse_json(text).isNotNull(), named).otherwise(text)
+        return F.when(text.startswith("{") & is_json(text), named).otherwise(text)
 
     return F.transform(as_col(array), one)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
-from clipcatalog.functions.columns import as_col, clamp01, empty_to_null, strip
+from clipcatalog.functions.columns import as_col, clamp01, empty_to_null, is_json, strip
 
 FIELD_MAP = "map<string,variant>"
 
@@ -21,7 +21,7 @@ def parse_json_lenient(c) -> Column:
     """The text if it is JSON, else its outermost ``{...}`` part, else NULL."""
     text = as_col(c)
     inner = empty_to_null(F.regexp_extract(text, r"(?s)\{.*\}", 0))
-    return F.when(F.try_parse_json(text).isNotNull(), text).when(F.try_parse_json(inner).isNotNull(), inner)
+    return F.when(is_json(text), text).when(is_json(inner), inner)
 
 
 def coerce_bool(c, default: bool | Column | None = None) -> Column:

@@ -34,7 +34,7 @@ def load_terms(spark: SparkSession, path: str | None, defaults: list[str] | None
     flat = F.array_distinct(F.flatten(F.filter(F.map_values(grouped), lambda v: v.isNotNull())))
     terms = F.when(doc.startswith("["), listed).otherwise(F.coalesce(named, flat))
     return (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.explode(terms).alias("term"))
         .select(strip("term").alias("term"))
         .filter("term != ''")

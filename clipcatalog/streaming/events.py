@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipcatalog import schemas
-from clipcatalog.functions.columns import as_col, event_hash, legacy_event_hash, strip
+from clipcatalog.functions.columns import as_col, event_hash, json_kind, legacy_event_hash, strip
 
 
 def read_events(spark: SparkSession, source: dict, schema: T.StructType | None = None,
@@ -31,7 +31,7 @@ def read_events(spark: SparkSession, source: dict, schema: T.StructType | None =
 
 def parse_events(raw: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
     parsed = F.from_json(F.col(value), schema or schemas.DETECTION_EVENT)
-    is_object = F.schema_of_variant(F.try_parse_json(F.col(value))).startswith("OBJECT")
+    is_object = json_kind(value).startswith("OBJECT")
     return raw.withColumn("event", F.when(is_object, parsed))
 
 
