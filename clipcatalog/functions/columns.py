@@ -48,10 +48,21 @@ def clamp01(c) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(as_col(c).cast("double"), F.lit(0.0))))
 
 
+def text_literal(value: str) -> str:
+    """A text as a Spark SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_array(values) -> Column:
+    return F.expr("array(" + ", ".join(text_literal(v) for v in dict.fromkeys(values)) + ")")
+
+
 def lookup(c, mapping: dict, default: Column | None = None) -> Column:
     """Map a text through a small dictionary; unknown keys give ``default``."""
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    found = F.try_element_at(table, as_col(c))
+    pairs = ", ".join(
+        f"{text_literal(k)}, {text_literal(v) if isinstance(v, str) else repr(v) + 'D'}" for k, v in mapping.items()
+    )
+    found = F.try_element_at(F.expr(f"map({pairs})"), as_col(c))
     return found if default is None else F.coalesce(found, default)
 
 

@@ -33,7 +33,7 @@ SQL_FUNCTIONS = {
     ),
     "clip_has_quantity": (
         "c STRING", "BOOLEAN",
-        " OR ".join("lower(c) rlike '{}'".format(p.replace("\\", "\\\\")) for p in _text.QUANTITY_PATTERNS),
+        "lower(c) rlike '{}'".format(_text.QUANTITY_PATTERN.replace("\\", "\\\\")),
     ),
     "clip_hashtags": (
         "c STRING", "ARRAY<STRING>", r"array_distinct(regexp_extract_all(lower(c), '(?U)#([\\w\\u0600-\\u06FF]+)', 1))",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clipcatalog import vocab
 from clipcatalog.functions.batch_helpers import nfkc_batch, unescape_batch
-from clipcatalog.functions.columns import as_col, empty_to_null, lookup, strip
+from clipcatalog.functions.columns import as_col, empty_to_null, literal_array, lookup, strip
 
 # Characters that compatibility normalisation provably leaves alone in any
 # context: no mapping, no combining mark, no composing second half.
@@ -119,16 +119,18 @@ def contains_any(c, terms: list[str]) -> Column:
     return as_col(c).rlike(term_pattern(terms))
 
 
-QUANTITY_PATTERNS = [
-    rf"(?U)\b\d+(?:[.,]\d+)?\s?(?:{vocab.QUANTITY_UNITS})\b",
-    r"(?U)\b\d+\s?/\s?\d+\b",
-    rf"(?U)\b\d{{2,3}}\s?(?:{vocab.TEMPERATURE_UNITS})\b",
-]
+# An amount with a unit, a fraction, or a temperature.  The look-ahead lets the
+# search skip every position that is not a digit.
+QUANTITY_PATTERN = (
+    r"(?U)(?=\d)\b(?:"
+    rf"\d+(?:[.,]\d+)?\s?(?:{vocab.QUANTITY_UNITS})\b"
+    r"|\d+\s?/\s?\d+\b"
+    rf"|\d{{2,3}}\s?(?:{vocab.TEMPERATURE_UNITS})\b)"
+)
 
 
 def has_quantity(c) -> Column:
-    text = F.lower(as_col(c))
-    return reduce(lambda a, b: a | b, [text.rlike(p) for p in QUANTITY_PATTERNS])
+    return F.lower(as_col(c)).rlike(QUANTITY_PATTERN)
 
 
 def content_hashtags(c) -> Column:
@@ -143,10 +145,6 @@ def clean_hashtags(array) -> Column:
     return F.transform(given, lambda x: F.ltrim(F.lower(strip(x)), F.lit("#")))
 
 
-def _literal_array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in dict.fromkeys(values)])
-
-
 def evidence_score(c, hashtags=None, creator=None, normalized: bool = False) -> Column:
     """How useful a text is as recipe evidence, in [0, 1] with 4 decimals."""
     text = as_col(c) if normalized else normalize_evidence_text(c)
@@ -164,7 +162,7 @@ def evidence_score(c, hashtags=None, creator=None, normalized: bool = False) ->
     )
     if hashtags is not None:
         score = score + points(
-            F.coalesce(F.arrays_overlap(clean_hashtags(hashtags), _literal_array(vocab.RECIPE_HASHTAGS)), F.lit(False)),
+            F.coalesce(F.arrays_overlap(clean_hashtags(hashtags), literal_array(vocab.RECIPE_HASHTAGS)), F.lit(False)),
             0.10,
         )
     if creator is not None:
@@ -217,7 +215,7 @@ def recipe_signal(c) -> Column:
     """A signal word anywhere, or a hashtag that is in the signal list."""
     text = F.lower(F.coalesce(as_col(c), F.lit("")))
     return contains_any(text, vocab.RECIPE_SIGNALS) | F.arrays_overlap(
-        content_hashtags(text), _literal_array(vocab.SIGNAL_HASHTAGS)
+        content_hashtags(text), literal_array(vocab.SIGNAL_HASHTAGS)
     )
 
 

@@ -46,7 +46,7 @@ def item_from_raw_json(
     """
     keep = keep or []
     v = F.col("_v")
-    parsed = df.select(*keep, F.from_json(item, schemas.VIDEO_ITEM).alias("_v"))
+    parsed = computed(df, {"_v": F.from_json(item, schemas.VIDEO_ITEM)}, keep)
     base = computed(parsed, {
         "CONTENT_ID": F.coalesce(_stripped(v["id"]), F.lit("")),
         "DESCRIPTION": normalize_caption(v["desc"]),
@@ -90,7 +90,7 @@ def reject_rows(
     keep = keep or []
     v = F.col("_v")
     value = F.lit(source_value) if isinstance(source_value, str) else source_value
-    parsed = df.select(*keep, value.alias("SOURCE_VALUE"), F.from_json(item, schemas.VIDEO_ITEM).alias("_v"))
+    parsed = computed(df, {"SOURCE_VALUE": value, "_v": F.from_json(item, schemas.VIDEO_ITEM)}, keep)
     rows = computed(parsed, {
         "CONTENT_ID": F.coalesce(strip(v["id"]), F.lit("")),
         "CREATOR_USERNAME": creator_name(v["author"]),

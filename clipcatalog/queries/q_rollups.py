@@ -69,13 +69,13 @@ def _(t: Inputs):
 
 
 @query("rollup_lineitem_by_supplier", f"""
-SELECT l_suppkey, count(*) AS n_lines, count(*) FILTER (l_returnflag = 'R') AS returned, round(avg(l_extendedprice), 2) AS avg_price,
+SELECT l_suppkey, count(*) AS n_lines, count(*) FILTER (l_returnflag = 'R') AS returned, round(avg(l_extendedprice), 4) AS avg_price,
   count(DISTINCT l_partkey) AS parts, {NOW_SQL} AS generated_at FROM lineitem GROUP BY l_suppkey""")
 def _(t: Inputs):
     lines = t.table("lineitem").withColumn("is_returned", F.col("l_returnflag") == "R")
     out = A.rollup(lines, "l_suppkey", "l_extendedprice", {"l_partkey": "parts"}, now(), flag="is_returned",
                    count="n_lines", flagged="returned", average="avg_price")
-    return out.withColumn("avg_price", F.round("avg_price", 2))
+    return out.withColumn("avg_price", F.round("avg_price", 4))
 
 
 @query("evidence_rollup", """

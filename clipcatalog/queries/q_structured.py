@@ -9,6 +9,7 @@ from clipcatalog.functions import ingredients as I
 from clipcatalog.functions import structured as V
 from clipcatalog.operators import items
 from clipcatalog.operators.answers import normalize_answers
+from clipcatalog.operators.staging import computed
 from clipcatalog.queries import duck as d
 from clipcatalog.queries.registry import Inputs, query
 
@@ -247,8 +248,9 @@ SELECT raw_id, CASE raw_id % 8 WHEN 0 THEN '2 cups flour^3 egg^salt' WHEN 1 THEN
    WHEN 3 THEN 'butter^2 eggs' WHEN 4 THEN '3 tomato^basil (fresh)' WHEN 6 THEN '1 l milk' ELSE 'water' END AS first_two
 FROM ingredients_fx""")
 def _(t: Inputs):
-    merged = I.merge_similar_ingredients(I.coerce_list_field("ingredients"), F.array(F.lit("water"), F.lit("Unknown")))
-    rows = t.fx("ingredients_fx").select("raw_id", merged.alias("m"))
+    lists = computed(t.fx("ingredients_fx"), {"items": I.coerce_list_field("ingredients")}, ["raw_id"])
+    merged = I.merge_similar_ingredients("items", F.array(F.lit("water"), F.lit("Unknown")))
+    rows = computed(lists, {"m": merged}, ["raw_id"])
     return rows.select("raw_id", F.array_join("m", "^").alias("merged"),
                        F.array_join(I.ingredient_preview("m", 2), "^").alias("first_two"))
 

@@ -20,6 +20,8 @@ def local_session(cpus: str = "8", memory: str = "16g", name: str = "clipcatalog
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # call sites of every column expression cost more than small plans themselves
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipcatalog import schemas
-from clipcatalog.functions.columns import as_col, event_hash, json_kind, legacy_event_hash, strip
+from clipcatalog.functions.columns import as_col, event_hash, is_json, legacy_event_hash, strip
+from clipcatalog.operators.staging import computed
 
 
 def read_events(spark: SparkSession, source: dict, schema: T.StructType | None = None,
@@ -31,8 +32,9 @@ def read_events(spark: SparkSession, source: dict, schema: T.StructType | None =
 
 def parse_events(raw: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
     parsed = F.from_json(F.col(value), schema or schemas.DETECTION_EVENT)
-    is_object = json_kind(value).startswith("OBJECT")
-    return raw.withColumn("event", F.when(is_object, parsed))
+    is_object = F.ltrim(F.col(value)).startswith("{") & is_json(value)
+    # computed once: every later use would otherwise parse the text again
+    return computed(raw, {"event": F.when(is_object, parsed)})
 
 
 def write_events(df: DataFrame, sink: dict, columns: list[str] | None = None, key: str | None = None):
