@@ -8,8 +8,6 @@ carries its bytes into Python.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipcatalog import schemas, vocab
-from clipcatalog.functions.columns import as_col, video_id_from_url
+from clipcatalog.functions.columns import video_id_from_url
 
 
 def serving_gate(df: DataFrame, min_score: float = 0.60, min_ingredients: int = 2, min_steps: int = 1,

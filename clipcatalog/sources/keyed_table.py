@@ -96,8 +96,17 @@ class KeyedTable:
             return False
         source = source.withColumn(BUCKET, self._bucket()).persist()
         try:
-            # at most `buckets` numbers
-            touched = sorted(r[0] for r in source.select(BUCKET).distinct().collect())
+            keys = {f"_key{i}": c for i, c in enumerate(self._key_columns())}
+            per_key = source.select(BUCKET, *[c.alias(n) for n, c in keys.items()]).groupBy(BUCKET, *keys).agg(
+                F.count(F.lit(1)).alias("_n"))
+            repeated = F.col("_n") > 1
+            for name in keys:  # a NULL key matches nothing, so it may repeat
+                repeated = repeated & F.col(name).isNotNull()
+            # one row per bucket
+            found = per_key.groupBy(BUCKET).agg(F.count_if(repeated).alias("_repeated")).collect()
+            if any(r["_repeated"] for r in found):
+                raise ValueError("the source of an upsert must hold each key once")
+            touched = sorted(r[BUCKET] for r in found)
             if touched:
                 old = self._read([f"{self.path}/{state['buckets'][str(b)]}" for b in touched
                                   if str(b) in state["buckets"]])

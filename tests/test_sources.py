@@ -91,6 +91,8 @@ def test_keyed_table(spark, folder):
     table.upsert(spark.createDataFrame([("b", 5), ("c", 3)], SCHEMA), {"v": U.newest}, batch=1)
     table.upsert(spark.createDataFrame([("b", 5), ("c", 3)], SCHEMA), {"v": U.newest})
     assert table_rows(table) == [("a", 1), ("b", 5), ("c", 3)] and table.last_batch() == 1
+    with pytest.raises(ValueError):
+        table.upsert(spark.createDataFrame([("d", 1), ("d", 2)], SCHEMA))
     old_reader = table.read()
     broken = spark.createDataFrame([("a", 7)], SCHEMA).withColumn("v", F.raise_error(F.lit("lost")).cast("long"))
     with pytest.raises(Exception):
