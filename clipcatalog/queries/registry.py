@@ -29,11 +29,12 @@ class Inputs:
         """A given table, spread over the cores when it comes in too few pieces.
 
         A table of many files is read as it is.  One small file is a single read
-        task, which would leave the text work of a query on one core.
+        task, which would leave the text work of a query on one core; the shuffle
+        happens only when less than a quarter of the cores would have work.
         """
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         cores = self.spark.sparkContext.defaultParallelism
-        if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        if name in TEXT_TABLES and df.rdd.getNumPartitions() * 4 <= cores:
             return df.repartition(cores, df.columns[0])
         return df
 
