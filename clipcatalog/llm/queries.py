@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clipcatalog.llm import packing_plan, secrets, token_output
+from clipcatalog.llm import (
+    language_id, minmax_dedup, packing_plan, secrets, tiling_decontam, token_output, vector_dedup,
+)
 from clipcatalog.llm.common import table
 
 
+def op1_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, folder, "documents")))
 
@@ -18,11 +24,28 @@ def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digest(token_output.packed_sequences(table(spark, folder, "documents")))
 
 
+def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+def op6_tiling_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling_decontam.digest(
+        tiling_decontam.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    )
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.held_out_languages(table(spark, folder, "documents"))
+
+
 def op9_packing_plan(spark: SparkSession, folder: str) -> DataFrame:
     return packing_plan.packed_documents(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secrets, op3_token_output, op9_packing_plan)
+    f.__name__: f for f in (
+        op1_minmax_dedup, op2_secrets, op3_token_output, op5_vector_dedup, op6_tiling_decontam, op7_language_id,
+        op9_packing_plan,
+    )
 }
 ORACLES: dict[str, str] = {}
