@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clipcatalog.llm.common import record_batch, slices
+from clipcatalog.llm.common import record_batch, remainder, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -147,11 +147,6 @@ def languages(docs: DataFrame, samples: tuple, doc_id: str = "doc_id", text: str
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def remainder(doc_id, by: int):
-    """crc32 of the id as text, modulo ``by``; a null id counts as the empty text."""
-    return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(by))
-
-
 def held_out_languages(docs: DataFrame) -> DataFrame:
     """Learn from ids of remainder 0 and 2, predict all; ``held_out`` marks remainder 1."""
     samples = learn(docs.where(remainder("doc_id", 3) != 1).select("doc_id", "text", "lang"))
