@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clipcatalog.llm import (
-    language_id, minmax_dedup, packing_plan, secrets, tiling_decontam, token_output, vector_dedup,
+    language_id, minmax_dedup, packing_plan, quality_bayes, secrets, suffix_dedup, tiling_decontam, token_output,
+    toxic_neighbours, vector_dedup,
 )
 from clipcatalog.llm.common import table
 
@@ -24,6 +25,10 @@ def op3_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.digest(token_output.packed_sequences(table(spark, folder, "documents")))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
 def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
 
@@ -38,14 +43,22 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.held_out_languages(table(spark, folder, "documents"))
 
 
+def op8_toxic_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return toxic_neighbours.held_out_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_packing_plan(spark: SparkSession, folder: str) -> DataFrame:
     return packing_plan.packed_documents(table(spark, folder, "documents"))
 
 
+def op10_quality_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_bayes.document_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_minmax_dedup, op2_secrets, op3_token_output, op5_vector_dedup, op6_tiling_decontam, op7_language_id,
-        op9_packing_plan,
+        op1_minmax_dedup, op2_secrets, op3_token_output, op4_suffix_dedup, op5_vector_dedup, op6_tiling_decontam,
+        op7_language_id, op8_toxic_neighbours, op9_packing_plan, op10_quality_bayes,
     )
 }
 ORACLES: dict[str, str] = {}

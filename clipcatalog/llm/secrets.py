@@ -293,7 +293,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
 
     @F.pandas_udf("string")
     def mask(texts):
-        return texts.map(lambda body: masked(body, rules))
+        return texts.map(lambda body: masked(body, rules) if isinstance(body, str) else None)
 
     return docs.withColumn(text, mask(F.col(text).cast("string")))
 

@@ -265,6 +265,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = settled(samples.join(repeated(samples, ["g"], "x"), "g").distinct(), "shared")
     whole = repeated(shared, ["g", "e"], "lo").withColumn("again", F.lit(True))
     marked = settled(shared.join(whole, ["g", "e"], "left"), "marked")
-    edges = settled(with_contexts(marked.where("again is null"), texts, length), "edges")
+    open_ = marked.where("again is null")
+    witnesses = (  # an open window may repeat inside a stretch that is done: one row of each stands for all
+        marked.where("again").join(open_.select("g").distinct(), "g").groupBy("g", "e")
+        .agg(F.min(F.struct("did", "x", "lo", "hi")).alias("s")).select("g", "s.*")
+    )
+    edges = settled(with_contexts(open_.select("g", "did", "x", "lo", "hi").union(witnesses), texts, length), "edges")
     stretches = settled(marked.where("again").select("did", "lo", "hi").union(edge_stretches(edges, length, hot_rows)), "stretches")
     return cut_out(rows, stretches, length, with_kept)

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcatalog.llm.common import record_batch, remainder, settled, slices
@@ -234,38 +234,54 @@ EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()),
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence", EVIDENCE)])
 
 
+class Scorer:
+    """Scores texts with a model; equal term counts are scored once."""
+
+    def __init__(self, model: Model, most_cached: int = 50_000):
+        self.model, self.terms, self.seen, self.most_cached = model, Terms(model.names), {}, most_cached
+
+    def __call__(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
+        counts = self.terms.counts(text)
+        key = tuple(sorted(counts.items()))
+        if key not in self.seen:
+            if len(self.seen) > self.most_cached:
+                self.seen.clear()
+            own = self.model
+            near = own.index.nearest(*vector(counts, own.idf), own.k) if own.index else []
+            self.seen[key] = own.score(own.vote(near)), near
+        return self.seen[key]
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", shown: int = 3) -> DataFrame:
     """``doc_id, score, evidence`` (the ``shown`` nearest examples) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample and ``most_terms``
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        terms, seen = Terms(own.names), {}
-
-        def result(counts: dict[int, int]) -> tuple[float, list]:
-            if own.index is None:
-                return own.without, []
-            near = own.index.nearest(*vector(counts, own.idf), own.k)
-            return own.score(own.vote(near)), [
-                {"doc_id": int(own.index.ids[p]), "cosine": c, "toxic": int(own.index.labels[p])} for c, p in near[:shown]]
-
+        own, index = Scorer(shared.value), shared.value.index
         for batch in slices(batches, "text"):
-            scores, evidence = [], []
-            for body in batch.column(1).to_pylist():
-                counts = terms.counts(body)
-                key = tuple(sorted(counts.items()))
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    seen[key] = result(counts)
-                scores.append(seen[key][0])
-                evidence.append(seen[key][1])
-            yield record_batch(SCHEMA, doc_id=batch.column(0).to_pylist(), score=scores, evidence=evidence)
+            made = [own(body) for body in batch.column(1).to_pylist()]
+            yield record_batch(
+                SCHEMA, doc_id=batch.column(0).to_pylist(), score=[m[0] for m in made],
+                evidence=[[{"doc_id": int(index.ids[p]), "cosine": c, "toxic": int(index.labels[p])} for c, p in m[1][:shown]]
+                          for m in made])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>")
 
 
+def scorer(spark: SparkSession, model: Model):
+    """The score as a column function of a text column."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = Scorer(shared.value)
+        for texts in batches:
+            yield texts.map(lambda body: own(body)[0] if isinstance(body, str) else own(None)[0]).astype("float64")
+
+    return toxicity
+
+
 def fitted(docs: DataFrame, labels: DataFrame, **options) -> Model:
     """Fit on the labels whose id has a remainder other than 0 (crc32 modulo 5); counts from all documents."""
     return fit(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
