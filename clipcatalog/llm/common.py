@@ -48,6 +48,29 @@ def record_batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
+def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows with equal ``keys`` from sorted batches; one run is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(new), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
 def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Smallest node each linked node can reach: ``node, component`` for nodes of ``links(a, b)``.
 

@@ -13,6 +13,7 @@ with probability 8e-7.
    compared in blocks of signatures; pairs of different groups whose estimate is not
    clearly below the threshold are checked as well.  Nothing is capped: a bucket of any
    size is cut into more blocks.  The estimate may lose a pair with probability 1e-6.
+   Such pairs travel packed, and sets once per cell of pairs.
 4. Every link is confirmed on the full shingle sets, which stream past the set of the
    class they are compared with; a hot class is spread over several tasks.
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipcatalog.llm.common import components, record_batch, settled, slices
+from clipcatalog.llm.common import components, groups, record_batch, settled, slices
 
 WIDTH, PERCENT, BANDS, ROWS = 5, 85, 24, 5
 PERMUTATIONS = BANDS * ROWS // 2
@@ -167,60 +168,111 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT, width:
                     head, own = key, values
                     continue
                 assert head == key
-                most, least = max(len(own), len(values)), min(len(own), len(values))
-                if 100 * least < percent * most:
-                    continue
-                both = len(np.intersect1d(own, values, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(values) - both):
+                if linked(own, values, percent):
                     a.append(key)
                     b.append(other)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     targets = members.union(heads)
     return (
-        docs.join(targets, "doc_id").select("doc_id", "a", "part", "role", "text").mapInArrow(build, "a long, part int, role int, b long, own binary")
-        .repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(compare, "a long, b long")
+        docs.hint("merge").join(targets, "doc_id").select("doc_id", "a", "part", "role", "text").mapInArrow(build, "a long, part int, role int, b long, own binary")
+        .repartition("a", "part").sortWithinPartitions("a", "part", "role").mapInArrow(compare, LINKS_DDL)
     )
 
 
+CELLS = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("role", pa.int32()), ("doc_id", pa.int64()), ("pairs", pa.binary())])
+CELLS_DDL = "i int, j int, role int, doc_id long, pairs binary"
+
+
 def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256) -> DataFrame:
-    """Likely pairs of different groups in one bucket; ``members(bucket, rep, component, n_shingles, signature)``.
+    """Likely pairs of different groups in one bucket; ``members(bucket, rep, home, component, n_shingles, signature)``.
 
-    A bucket of m members is cut into blocks and the blocks are compared two by two.
+    A bucket of m members is cut into blocks and the blocks are compared two by two.  A pair
+    is found in the first band it shares, once.  Pairs come packed by the homes ``(i, j)`` of
+    their two documents: a row with role 1 per bucket block, and the documents with role 0.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
     dealt = (
         members.join(sizes, "bucket").withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+        .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
     )
     near = percent / 100 - 0.17  # five standard errors of an estimate from 120 values
 
-    def pairs(key, frame):
-        import pandas as pd
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, lo, hi), rows in groups(batches, ["bucket", "lo", "hi"]):
+            values = np.stack([np.frombuffer(x, np.uint32) for x in rows["signature"].to_pylist()])
+            rep, home, group, n, own = (rows[c].to_numpy() for c in ("rep", "home", "component", "n_shingles", "own"))
+            band = int(np.flatnonzero(bands(values[0]) == bucket)[0])
+            first, second, found = np.flatnonzero(own == lo), np.flatnonzero(own == hi), []
+            for i in first:
+                at = second[(group[second] != group[i]) & (100 * np.minimum(n[second], n[i]) >= percent * np.maximum(n[second], n[i]))]
+                if lo == hi:
+                    at = at[rep[at] > rep[i]]
+                same = values[at] == values[i]
+                at = at[(same.mean(axis=1) >= near) & ~same[:, : band * ROWS].reshape(len(at), band, ROWS).all(axis=2).any(axis=1)]
+                found += [(i, k) for k in at]
+            if not found:
+                continue
+            at = np.array(found)
+            at = np.where((home[at[:, 0]] <= home[at[:, 1]])[:, None], at, at[:, ::-1])
+            cell = home[at]
+            out: dict[str, list] = {f.name: [] for f in CELLS}
+            for i, j in np.unique(cell, axis=0):
+                own_pairs = rep[at[(cell == (i, j)).all(axis=1)]]
+                docs = np.unique(own_pairs).tolist()
+                for name, value in zip(out, ([i] * (len(docs) + 1), [j] * (len(docs) + 1), [0] * len(docs) + [1],
+                                             [*docs, None], [None] * len(docs) + [own_pairs.tobytes()])):
+                    out[name] += value
+            yield record_batch(CELLS, **out)
+
+    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(run, CELLS_DDL)
+
+
+def linked(own: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    most, least = max(len(own), len(other)), min(len(own), len(other))
+    if 100 * least < percent * most:
+        return False
+    both = len(np.intersect1d(own, other, assume_unique=True))
+    return 100 * both >= percent * (len(own) + len(other) - both)
+
+
+LINKS_DDL = "a long, b long"
+
+
+def confirmed_cells(docs: DataFrame, cells: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """Links among the packed pairs of ``leftover_pairs``: a document's set moves once per cell, not per pair."""
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1_000_000):
+            rows = batch.to_pydict()
+            yield record_batch(CELLS, i=rows["i"], j=rows["j"], role=[0] * batch.num_rows, doc_id=rows["doc_id"],
+                               pairs=[shingle_set(x, width).tobytes() for x in rows["text"]])
 
-        values = np.stack([np.frombuffer(x, np.uint32) for x in frame["signature"]])
-        rep, group, n = (frame[c].to_numpy() for c in ("rep", "component", "n_shingles"))
-        first = np.flatnonzero(frame["own"].to_numpy() == key[1])
-        second = np.flatnonzero(frame["own"].to_numpy() == key[2])
-        a, b = [], []
-        for i in first:
-            at = second[(group[second] != group[i]) & (100 * np.minimum(n[second], n[i]) >= percent * np.maximum(n[second], n[i]))]
-            if key[1] == key[2]:
-                at = at[rep[at] > rep[i]]
-            at = at[(values[at] == values[i]).mean(axis=1) >= near]
-            a += [rep[i]] * len(at)
-            b += rep[at].tolist()
-        out = pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-        return pd.DataFrame({"a": out.min(axis=1), "b": out.max(axis=1)})
+    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groups(batches, ["i", "j"]):
+            own, a, b = {}, [], []
+            for role, key, body in zip(*(rows[c].to_pylist() for c in ("role", "doc_id", "pairs"))):
+                if role == 0:
+                    own[key] = np.frombuffer(body, np.uint64)
+                    continue
+                for x, y in np.frombuffer(body, np.int64).reshape(-1, 2).tolist():
+                    if linked(own[x], own[y], percent):
+                        a.append(min(x, y))
+                        b.append(max(x, y))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.groupBy("bucket", "lo", "hi").applyInPandas(
-        pairs, "a long, b long").distinct()
+    wanted = cells.where("role = 0").select("doc_id", "i", "j").distinct()
+    sets = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "i", "j", "text").mapInArrow(build, CELLS_DDL)
+    return (
+        sets.union(cells.where("role = 1")).repartition("i", "j").sortWithinPartitions("i", "j", "role")
+        .mapInArrow(check, LINKS_DDL)
+    )
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
-                    width: int = WIDTH) -> DataFrame:
+                    width: int = WIDTH, per_home: int = 256) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     features = settled(shingled(rows, width), "shingles")
@@ -236,17 +288,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = rows.where("doc_id is not null")
     links = settled(confirmed(texts, pairs, percent, width), "confirmed")
 
-    groups = settled(components(links), "groups")
-    labelled = shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+    groups_ = settled(components(links), "groups")
+    labelled = shared.join(groups_.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = labelled.join(mixed_buckets.select("bucket"), "bucket").join(classes.select("rep", "n_shingles", "signature"), "rep")
-    more = settled(leftover_pairs(rest, percent).join(pairs, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        links = links.union(settled(confirmed(texts, more, percent, width), "confirmed"))
-        groups = settled(components(links), "groups")
-
-    named = classes.select("digest", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+    rest = settled(labelled.join(mixed_buckets.select("bucket"), "bucket"), "rest")
+    homes = 1 + rest.select("rep").distinct().count() // per_home
+    described = rest.join(classes.select("rep", "n_shingles", "signature"), "rep").withColumn(
+        "home", F.pmod(F.xxhash64("rep"), F.lit(homes)).cast("int"))
+    cells = settled(leftover_pairs(described, percent), "cells")
+    more = settled(confirmed_cells(texts, cells, percent, width), "confirmed")
+    groups_ = settled(components(links.union(more)), "groups")
+
+    named = classes.select("digest", "rep").join(groups_.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     return features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
