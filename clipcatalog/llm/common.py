@@ -72,7 +72,9 @@ def groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple
 
 
 def components(links: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """Smallest node each linked node can reach: ``node, component`` for nodes of ``links(a, b)``.
+    """Smallest node each linked node of ``links(a, b)`` can reach: ``node, component``.
+
+    The smallest node of a group has no row of its own.
 
     Large-star and small-star rounds by turns: every round hangs the neighbours of a
     node on the smallest of them, so the number of rounds grows with the logarithm of the

@@ -180,16 +180,18 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT, width:
     )
 
 
-CELLS = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("role", pa.int32()), ("doc_id", pa.int64()), ("pairs", pa.binary())])
-CELLS_DDL = "i int, j int, role int, doc_id long, pairs binary"
+CELLS = pa.schema([("bucket", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("role", pa.int32()),
+                   ("doc_id", pa.int64()), ("body", pa.binary())])
+CELLS_DDL = "bucket long, lo int, hi int, role int, doc_id long, body binary"
+CELL = ["bucket", "lo", "hi"]
 
 
 def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256) -> DataFrame:
-    """Likely pairs of different groups in one bucket; ``members(bucket, rep, home, component, n_shingles, signature)``.
+    """Likely pairs of different groups in one bucket; ``members(bucket, rep, component, n_shingles, signature)``.
 
     A bucket of m members is cut into blocks and the blocks are compared two by two.  A pair
-    is found in the first band it shares, once.  Pairs come packed by the homes ``(i, j)`` of
-    their two documents: a row with role 1 per bucket block, and the documents with role 0.
+    is found in the first band it shares, once.  A pair of blocks gives one row with its pairs
+    (role 1) and a row for each document in them (role 0), so rows grow with members, not pairs.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
@@ -201,9 +203,9 @@ def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256)
     near = percent / 100 - 0.17  # five standard errors of an estimate from 120 values
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, lo, hi), rows in groups(batches, ["bucket", "lo", "hi"]):
+        for (bucket, lo, hi), rows in groups(batches, CELL):
             values = np.stack([np.frombuffer(x, np.uint32) for x in rows["signature"].to_pylist()])
-            rep, home, group, n, own = (rows[c].to_numpy() for c in ("rep", "home", "component", "n_shingles", "own"))
+            rep, group, n, own = (rows[c].to_numpy() for c in ("rep", "component", "n_shingles", "own"))
             band = int(np.flatnonzero(bands(values[0]) == bucket)[0])
             first, second, found = np.flatnonzero(own == lo), np.flatnonzero(own == hi), []
             for i in first:
@@ -215,19 +217,13 @@ def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256)
                 found += [(i, k) for k in at]
             if not found:
                 continue
-            at = np.array(found)
-            at = np.where((home[at[:, 0]] <= home[at[:, 1]])[:, None], at, at[:, ::-1])
-            cell = home[at]
-            out: dict[str, list] = {f.name: [] for f in CELLS}
-            for i, j in np.unique(cell, axis=0):
-                own_pairs = rep[at[(cell == (i, j)).all(axis=1)]]
-                docs = np.unique(own_pairs).tolist()
-                for name, value in zip(out, ([i] * (len(docs) + 1), [j] * (len(docs) + 1), [0] * len(docs) + [1],
-                                             [*docs, None], [None] * len(docs) + [own_pairs.tobytes()])):
-                    out[name] += value
-            yield record_batch(CELLS, **out)
+            pairs = rep[np.array(found)]
+            docs = np.unique(pairs).tolist()
+            size = len(docs) + 1
+            yield record_batch(CELLS, bucket=[bucket] * size, lo=[lo] * size, hi=[hi] * size, role=[0] * (size - 1) + [1],
+                               doc_id=[*docs, None], body=[None] * (size - 1) + [pairs.tobytes()])
 
-    return dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(run, CELLS_DDL)
+    return dealt.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(run, CELLS_DDL)
 
 
 def linked(own: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -247,13 +243,17 @@ def confirmed_cells(docs: DataFrame, cells: DataFrame, percent: int = PERCENT, w
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
             rows = batch.to_pydict()
-            yield record_batch(CELLS, i=rows["i"], j=rows["j"], role=[0] * batch.num_rows, doc_id=rows["doc_id"],
-                               pairs=[shingle_set(x, width).tobytes() for x in rows["text"]])
+            last, own, made = None, b"", []
+            for key, text in zip(rows["doc_id"], rows["text"]):
+                if key != last:
+                    last, own = key, shingle_set(text, width).tobytes()
+                made.append(own)
+            yield record_batch(CELLS, **{c: rows[c] for c in CELL}, role=[0] * len(made), doc_id=rows["doc_id"], body=made)
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groups(batches, ["i", "j"]):
+        for _, rows in groups(batches, CELL):
             own, a, b = {}, [], []
-            for role, key, body in zip(*(rows[c].to_pylist() for c in ("role", "doc_id", "pairs"))):
+            for role, key, body in zip(*(rows[c].to_pylist() for c in ("role", "doc_id", "body"))):
                 if role == 0:
                     own[key] = np.frombuffer(body, np.uint64)
                     continue
@@ -263,16 +263,16 @@ def confirmed_cells(docs: DataFrame, cells: DataFrame, percent: int = PERCENT, w
                         b.append(max(x, y))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    wanted = cells.where("role = 0").select("doc_id", "i", "j").distinct()
-    sets = docs.hint("merge").join(wanted, "doc_id").select("doc_id", "i", "j", "text").mapInArrow(build, CELLS_DDL)
+    wanted = cells.where("role = 0").select("doc_id", *CELL)
+    sets = docs.hint("merge").join(wanted, "doc_id").select("doc_id", *CELL, "text").mapInArrow(build, CELLS_DDL)
     return (
-        sets.union(cells.where("role = 1")).repartition("i", "j").sortWithinPartitions("i", "j", "role")
+        sets.union(cells.where("role = 1")).repartition(*CELL).sortWithinPartitions(*CELL, "role")
         .mapInArrow(check, LINKS_DDL)
     )
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
-                    width: int = WIDTH, per_home: int = 256) -> DataFrame:
+                    width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     features = settled(shingled(rows, width), "shingles")
@@ -292,10 +292,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = shared.join(groups_.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = settled(labelled.join(mixed_buckets.select("bucket"), "bucket"), "rest")
-    homes = 1 + rest.select("rep").distinct().count() // per_home
-    described = rest.join(classes.select("rep", "n_shingles", "signature"), "rep").withColumn(
-        "home", F.pmod(F.xxhash64("rep"), F.lit(homes)).cast("int"))
+    rest = labelled.join(mixed_buckets.select("bucket"), "bucket")
+    described = rest.join(classes.select("rep", "n_shingles", "signature"), "rep")
     cells = settled(leftover_pairs(described, percent), "cells")
     more = settled(confirmed_cells(texts, cells, percent, width), "confirmed")
     groups_ = settled(components(links.union(more)), "groups")
