@@ -1,4 +1,4 @@
-"""The three helpers that run in Python, as Arrow batches.
+"""The helpers that run in Python, as Arrow batches.
 
 They are sent to executors by value, so workers do not need this package.
 """
@@ -39,6 +39,11 @@ def unescape_batch(values: pd.Series) -> pd.Series:
     return values.map(lambda v: ESCAPED.sub(decode_escape, html.unescape(v)), na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def html_batch(values: pd.Series) -> pd.Series:
+    return values.map(html.unescape, na_action="ignore")
+
+
 def walk(node, wanted: str, out: list[str]) -> None:
     """Collect caption-like texts of a JSON document at any depth."""
     pending = [node]

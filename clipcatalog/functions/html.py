@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clipcatalog.functions.batch_helpers import walk_batch
 from clipcatalog.functions.columns import as_col, empty_to_null, is_json, strip
-from clipcatalog.functions.text import decode_entities, normalize_caption, normalize_captions
+from clipcatalog.functions.text import decode_html, normalize_caption, normalize_captions
 
 # --- fixed values: the four attribute orders of a description tag -------------
 META_PATTERNS = [
@@ -47,7 +47,7 @@ def json_script(c, script_id: str) -> Column:
     """JSON body of a script element, NULL when absent or malformed."""
     pattern = rf"""(?is)<script[^>]+id=["']{re.escape(script_id)}["'][^>]*>(.*?)</script>"""
     raw = empty_to_null(F.regexp_extract(as_col(c), pattern, 1))
-    body = empty_to_null(strip(decode_entities(raw)))
+    body = empty_to_null(strip(decode_html(raw)))
     return F.when(is_json(body), body)
 
 

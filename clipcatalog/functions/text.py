@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
-from clipcatalog.functions.batch_helpers import nfkc_batch, unescape_batch
+from clipcatalog.functions.batch_helpers import html_batch, nfkc_batch, unescape_batch
 from clipcatalog.functions.columns import as_col, empty_to_null, literal_array, lookup, strip
 
 # Characters that compatibility normalisation provably leaves alone in any
@@ -54,6 +54,12 @@ def decode_entities(c) -> Column:
     return _only_where(text.rlike(r"&[#A-Za-z]|\\u[0-9a-fA-F]{4}"), text, unescape_batch)
 
 
+def decode_html(c) -> Column:
+    """HTML entities to characters; ``\\uXXXX`` stays for a JSON parser."""
+    text = as_col(c)
+    return _only_where(text.rlike(r"&[#A-Za-z]"), text, html_batch)
+
+
 def normalize_caption(c) -> Column:
     text = decode_entities(F.coalesce(as_col(c), F.lit("")))
     text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\/"), F.lit("/"))

@@ -18,17 +18,18 @@ def sort_key(c: Column, descending: bool) -> Column:
 
 
 def rank_in_slices(df: DataFrame, keys: list[str], slices: list[tuple[Column, bool]],
-                   order: list[Column], name: str = "rank", maxima: dict[str, str] | None = None) -> DataFrame:
+                   order: list[Column], name: str = "rank", maxima: dict[str, str] | None = None, total: str | None = None) -> DataFrame:
     """Position (1-based) of each row within its key.
 
     ``slices`` are ``(column, descending)`` pairs that lead the order: sorting by
     them and then by ``order`` is the wanted order.  The rows of one (key, slice)
     pair share a task; the counts per pair are a far smaller table.  ``maxima``
     (new name -> column) adds the greatest value of a column within the key, which
-    comes from the same small table.
+    comes from the same small table, as does ``total``, the number of rows of the key.
 
     The pair is one text column that is never NULL, so the ranking and the join
-    to the counts use the same partitioning and the rows are shuffled once.
+    to the counts use the same partitioning and the ranked rows are shuffled once; the
+    input is evaluated twice, for the ranks and for the counts.
     """
     maxima = maxima or {}
     cut = [f"_slice{i}" for i in range(len(slices))]
@@ -47,6 +48,7 @@ def rank_in_slices(df: DataFrame, keys: list[str], slices: list[tuple[Column, bo
     offsets = sizes.select(
         "_pair", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         *[F.max(f"_m_{n}").over(key).alias(n) for n in maxima],
+        *([F.sum("_n").over(key).alias(total)] if total else []),
     )
     return (
         local.join(offsets, "_pair")

@@ -243,18 +243,19 @@ def _joined_pieces(pieces: DataFrame, key: str, separator: str, chars: int, mini
     """Ordered ``_text`` pieces joined and cut at ``chars``.
 
     A piece adds at least ``minimum`` characters (itself plus a separator), so
-    pieces after ``chars / minimum`` lie wholly behind the cut; leaving them out
-    changes nothing and bounds what one item can send to a task.
+    pieces after ``chars / minimum`` lie wholly behind the cut; leaving their text
+    out changes nothing and bounds what one item can send to a task.  ``pieces``
+    counts all of them.
     """
     needed = chars // minimum + 1
     ranked = rank_in_slices(
         pieces, [key], [(F.floor(F.col("_ordinal") / 1000), False)],
-        [F.col("_ordinal").asc(), F.col("_text").asc()], "_rank",
+        [F.col("_ordinal").asc(), F.col("_text").asc()], "_rank", total="_pieces",
     )
     kept = ranked.filter(F.col("_rank") <= needed)
     return kept.groupBy(key).agg(
         F.expr(f"listagg(_text, '{separator}') within group (order by _rank)").alias("_joined"),
-        F.count(F.lit(1)).alias("pieces"),
+        F.max("_pieces").alias("pieces"),
     ).withColumn("_joined", F.substring("_joined", 1, chars))
 
 

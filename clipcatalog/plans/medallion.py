@@ -6,7 +6,9 @@ one by one by any scheduler, or together by ``run_batch``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipcatalog import schemas
@@ -17,12 +19,7 @@ from clipcatalog.operators.answers import normalize_answers
 from clipcatalog.operators.joins import incremental_candidates, with_evidence_text
 from clipcatalog.operators.ranking import best_source_row
 from clipcatalog.operators.rollups import evidence_concat, evidence_stats
-
-INSTRUCTION = (
-    "Use only facts that stand in the caption, the recovered text or the evidence text. "
-    "Return typed metadata and one clean recipe."
-)
-
+from clipcatalog.plans import views
 
 def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) -> DataFrame:
     """Landing rows to one best, hashed row per (platform, content key).
@@ -58,8 +55,12 @@ def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) ->
     )
 
 
-def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new") -> DataFrame:
-    """Rows to enrich with their request body; one row per evidence part."""
+def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new",
+                        instruction: str = "") -> DataFrame:
+    """Rows to enrich with their request body; one row per evidence part.
+
+    ``instruction`` is what the caller's model is told to do.
+    """
     member = {n: blank_to_null(F.get_json_object("raw_payload", f"$.{n}")) for n in
               ("original_description", "recovered_text")}
     source = bronze.withColumns({"original": member["original_description"], "recovered_text": member["recovered_text"]})
@@ -71,18 +72,27 @@ def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFram
         F.coalesce("evidence_text", F.col("description")).alias("evidence_text"),
         "evidence_quality_score",
         prompt_payload("original_description", "description", "all_recovered_text", "evidence_text",
-                       "evidence_quality_score", INSTRUCTION, "social_recipe_video").alias("prompt"),
+                       "evidence_quality_score", instruction, "social_recipe_video").alias("prompt"),
     )
 
 
 def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column) -> tuple[DataFrame, DataFrame]:
-    """Answers to (typed rows, quarantined rows), keyed by item."""
-    typed = normalize_answers(answers.select("raw_id", "response"), "response", keep=["raw_id", "response"])
-    bad = typed.filter(F.col("error").isNotNull()).select("raw_id", "response", "error")
+    """Answers to (typed rows, quarantined rows).
+
+    An answer belongs to the evidence part (``raw_id``, ``part_no``) it was asked for; without
+    a ``part_no`` it belongs to part 0.  An item gets one typed row: of its usable answers one
+    that calls it a recipe, then the most confident, then the best evidence, then the first
+    part.  ``evidence_parts`` counts the parts with a usable answer; the texts of all parts
+    stay in the evidence table.
+    """
+    if "part_no" not in answers.columns:
+        answers = answers.withColumn("part_no", F.lit(0))
+    typed = normalize_answers(answers.select("raw_id", "part_no", "response"), "response", keep=["raw_id", "part_no", "response"])
+    bad = typed.filter(F.col("error").isNotNull()).select("raw_id", "part_no", "response", "error")
     good = typed.filter(F.col("error").isNull())
-    joined = good.join(requests.filter("part_no = 0"), "raw_id")
+    joined = good.join(requests, ["raw_id", "part_no"])
     rows = joined.select(
-        "raw_id", F.col("title").alias("original_title"), "original_description", "recovered_text", "evidence_text",
+        "raw_id", "part_no", F.col("title").alias("original_title"), "original_description", "recovered_text", "evidence_text",
         F.coalesce(F.nullif("evidence_quality_score", F.lit(0.0)), evidence_score("evidence_text")).alias("evidence_quality_score"),
         F.col("url").alias("url_tiktok"), F.col("lang").alias("recipe_language"), F.col("is_veg").alias("is_vegetarian"),
         F.col("cuisine").alias("cuisine_style"), F.col("ingredient").alias("main_ingredient"),
@@ -95,4 +105,33 @@ def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column)
         F.lit(model).alias("model_name"), F.col("response").alias("llm_raw_response"), "record_hash",
         now.alias("processed_at"),
     )
-    return rows, bad
+    item = Window.partitionBy("raw_id")  # as many rows as the item has parts
+    order = item.orderBy(
+        F.col("is_recipe").desc_nulls_last(), F.col("final_recipe_confidence").desc_nulls_last(),
+        F.col("evidence_quality_score").desc_nulls_last(), "part_no", "llm_raw_response",
+    )
+    best = rows.withColumns({"evidence_parts": F.size(F.collect_set("part_no").over(item)),
+                             "_rank": F.row_number().over(order)})
+    return best.filter("_rank = 1").drop("_rank", "part_no"), bad
+
+
+def run_batch(landing: DataFrame, silver: DataFrame, evidence: DataFrame, ask: Callable[[DataFrame], DataFrame],
+              model: str, now: Column, instruction: str = "") -> dict[str, DataFrame]:
+    """Landing rows to published tables in one go.
+
+    ``silver`` holds the typed rows of earlier runs, ``ask`` turns requests into answers
+    (``raw_id``, ``part_no``, ``response``).  Items that are already typed and have no newer
+    evidence are not asked for again, so a repeated run changes nothing.  The caller writes
+    the frames; ``typed`` is what this run adds to ``silver``.
+    """
+    bronze = landing_rows(landing, keep_id=True).withColumn("ingested_at", now)
+    requests = enrichment_requests(bronze, silver, evidence, instruction=instruction)
+    typed, bad = typed_rows(requests, ask(requests), model, now)
+    known = typed.unionByName(silver, allowMissingColumns=True)
+    recipes, parts = views.stage_recipes(known), views.stage_evidence(evidence)
+    catalog = views.build_catalog(known, evidence)
+    api = views.api_catalog(catalog)
+    return {
+        "bronze": bronze, "requests": requests, "typed": typed, "rejected": bad, "catalog": catalog, "api": api,
+        "checks": views.catalog_checks(recipes, parts, catalog, api),
+    }

@@ -32,8 +32,8 @@ v AS (SELECT event_id, platform, creator_username, content_id, title, descriptio
 
 
 def _publish(t: Inputs, path: str, with_order: bool = False) -> None:
-    """The event values as text files, a few per micro-batch."""
-    rows = t.fx("event_json_fx").repartition(4, "event_id")
+    """The event values as text files, in the partitions the table has."""
+    rows = t.fx("event_json_fx")
     if with_order:
         rows = rows.select(F.to_json(F.struct("event_id", "value")).alias("value"))
     rows.select("value").write.text(path)
@@ -126,6 +126,20 @@ def _(t: Inputs):
     return _drain_into_table(t)
 
 
+@query("stream_quarantine", f"WITH {_EVENTS} SELECT event_id, value FROM n WHERE NOT (ok AND content_id <> '' AND url <> '')")
+def _(t: Inputs):
+    """Bad events of a drained stream, written once although every batch is delivered twice."""
+    path, table_path, bad = (work_path(t.spark, n) for n in ("events", "bronze", "bad"))
+    _publish(t, path, with_order=True)
+    table = KeyedTable(t.spark, table_path, _TABLE, ["record_hash"], buckets=8)
+    rules = U.newer_row_rules(_TABLE.names, "event_id")
+    for _delivery in range(2):
+        SK.stream_upsert(
+            _stream(t, path), table, work_path(t.spark, "cp"), ["record_hash"], [F.col("event_id").desc()], rules,
+            split=lambda batch: EV.normalize_event(batch, keep=["event_id"]), quarantine_path=bad)
+    return t.spark.read.parquet(bad).select("event_id", "value")
+
+
 @query("bounded_drain", f"WITH l AS ({_LATEST_EVENT}) SELECT count(*) AS n, count(DISTINCT record_hash) AS items, max(event_id) AS last_event FROM l")
 def _(t: Inputs):
     """Drained twice over one checkpoint: the second run finds nothing new."""

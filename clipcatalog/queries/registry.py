@@ -15,10 +15,6 @@ ORACLES: dict[str, str] = {}
 MODULES: dict[str, str] = {}
 
 
-# tables whose rows carry long texts
-TEXT_TABLES = ("documents", "conversations", "pages", "events")
-
-
 class Inputs:
     """The given tables of one folder and the inputs derived from them."""
 
@@ -26,17 +22,8 @@ class Inputs:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """A given table, spread over the cores when it comes in too few pieces.
-
-        A table of many files is read as it is.  One small file is a single read
-        task, which would leave the text work of a query on one core; the shuffle
-        happens only when less than a quarter of the cores would have work.
-        """
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in TEXT_TABLES and df.rdd.getNumPartitions() * 4 <= cores:
-            return df.repartition(cores, df.columns[0])
-        return df
+        """A given table, in the partitions it is laid out in."""
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def fx(self, name: str) -> DataFrame:
         text = spark_text(name)

@@ -19,13 +19,22 @@ def bounded_drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 
 
 def stream_upsert(stream: DataFrame, table: KeyedTable, checkpoint: str, keys: list[str], order: list[Column],
-                  rules: dict | None = None, inserts: dict | None = None) -> None:
+                  rules: dict | None = None, inserts: dict | None = None,
+                  split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+                  quarantine_path: str | None = None) -> None:
     """Merge every micro-batch into a keyed table.
 
     Each batch is made unique on the key first (the first row of ``order`` wins);
-    a batch that was already merged before a restart is skipped.
+    a batch that was already merged before a restart is skipped.  ``split`` parts a
+    batch into valid and bad rows; the bad ones go to ``quarantine_path``, before the
+    merge, so a crash in between cannot lose them.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if split is not None:
+            batch, bad = split(batch)
+            if quarantine_path is not None:
+                quarantine(bad, quarantine_path, batch_id)
+            batch = batch.select(*table.schema.names)
         table.upsert(unique_source(batch, keys, order), rules, inserts, batch=batch_id)
 
     bounded_drain(stream, handle, checkpoint)
@@ -62,5 +71,6 @@ def stream_unseen(stream: DataFrame, seen: KeyedTable, emit: Callable[[DataFrame
     bounded_drain(stream, handle, checkpoint)
 
 
-def quarantine(invalid: DataFrame, path: str) -> None:
-    invalid.write.mode("append").parquet(path)
+def quarantine(invalid: DataFrame, path: str, batch_id: int) -> None:
+    """Bad rows of one batch; a repeated batch replaces its own rows."""
+    invalid.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -228,3 +228,12 @@ def test_best_row_prefers_full_recipes(spark):
     ).selectExpr("*", "0.1D AS final_recipe_confidence", "0.1D AS caption_completeness_score", "0.1D AS processing_confidence",
                  "current_timestamp() AS processed_at")
     assert ranking.best_row_per_key(df).first()["raw_id"] == 2
+
+
+def test_pieces_are_all_counted(spark):
+    """Pieces behind the cut are left out of the text, not out of the count."""
+    lines = spark.range(7000).select(F.lit(1).alias("item"), F.col("id").alias("ordinal"),
+                                     F.concat(F.lit("line "), F.col("id").cast("string")).alias("text"))
+    row = rollups.distinct_lines_concat(lines, "item", "ordinal", "text").first()
+    assert row["pieces"] == 7000 and len(row["text"]) == vocab.PIECES_CHARS
+    assert rollups.segments_concat(lines, "item", "ordinal", "text").first()["pieces"] == 7000

@@ -177,6 +177,32 @@ def test_batch_run_end_to_end(spark):
     report = views.catalog_checks(recipes, evidence, gold, views.api_catalog(gold))
     assert {r["result"] for r in report.collect()} == {"pass"}
 
+    old = spark.createDataFrame([], typed.schema)
+    ask = lambda wanted: answers.join(wanted.select("raw_id").distinct(), "raw_id")
+    first = medallion.run_batch(landing, old, ev, ask, "model-x", now)
+    assert [(r["id"], r["recipe_quality_grade"]) for r in first["api"].collect()] == [(2, "A")]
+    assert {r["result"] for r in first["checks"].collect()} == {"pass"}
+    done = spark.createDataFrame(first["typed"].collect(), typed.schema)
+    again = medallion.run_batch(landing, done, ev, ask, "model-x", now)
+    assert again["requests"].filter("raw_id = 2").count() == 0
+    assert again["api"].collect() == first["api"].collect()
+
+
+def test_typed_rows_use_every_part(spark):
+    """An item whose evidence fills several requests gets one row, from its best answer."""
+    requests = spark.createDataFrame(
+        [(1, p, "T", "u", "h", "o", "r", f"evidence {p}", 0.0) for p in range(3)],
+        "raw_id long, part_no int, title string, url string, record_hash string, original_description string, "
+        "recovered_text string, evidence_text string, evidence_quality_score double")
+    answer = '{"lang":"en","ingredients":["egg"],"caption_completeness_score":%s,"recipe_title":"Cake"%s}'
+    recipe = ',"recipe_text":"Mix. Bake.","final_recipe_json":{"steps":["mix"]}'
+    answers = spark.createDataFrame(
+        [(1, 0, "sorry"), (1, 1, answer % (0.1, "")), (1, 2, answer % (0.9, recipe))], "raw_id long, part_no int, response string")
+    typed, bad = medallion.typed_rows(requests, answers, "m", F.lit("2024-02-01").cast("timestamp_ntz"))
+    rows = typed.collect()
+    assert len(rows) == 1 and rows[0]["evidence_text"] == "evidence 2" and rows[0]["evidence_parts"] == 2
+    assert [(r["raw_id"], r["part_no"]) for r in bad.collect()] == [(1, 0)]
+
 
 def test_layouts():
     assert len(schemas.VERIFIED_COLUMNS) == 13 and len(schemas.DISCOVERY_COLUMNS) == 19

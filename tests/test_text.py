@@ -136,3 +136,14 @@ def test_json_in_pages(spark):
 
 def test_strip_is_unicode_aware(spark):
     assert one(spark, "   x \x0b", strip("t")) == "x"
+
+
+def test_json_script_keeps_escapes(spark):
+    """Only HTML entities are decoded; the JSON parser reads its own escapes."""
+    from clipcatalog.functions import html
+
+    body = '{"id":"7","desc":"say \\u0022hi\\u0022 &amp; two\\u000Alines \\u002F","x":{"y":[{"title":"deep"}]}}'
+    page = spark.createDataFrame([(f'<script id="S" type="application/json">{body}</script>',)], "html string")
+    script = html.json_script("html", "S")
+    assert page.select(F.get_json_object(script, "$.desc")).first()[0] == 'say "hi" & two\nlines /'
+    assert page.select(html.json_caption_walk(script, F.lit("7"))).first()[0] == ['say "hi" & two\nlines /', "deep"]
