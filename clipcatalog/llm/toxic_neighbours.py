@@ -2,8 +2,9 @@
 
 Fitting, on at most ``sample_docs`` labelled documents in hash order (a stated bound):
 
-* Terms are words and their first 3-6 letters.  Those whose odds differ between the two
-  labels by ``least_z`` standard errors are kept, ``most_terms`` at most.
+* Terms are words and their first 3-6 letters.  Those that differ between the two labels
+  by ``least_z`` standard deviations (root of the likelihood ratio) are kept, ``most_terms``
+  at most.
 * Document frequencies of these terms are counted over *all* documents.
 * The examples form a block-max index: blocks of ``block`` examples with similar vectors,
   and per term and block the largest weight.  A query adds up these bounds per block and
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipcatalog.llm.common import record_batch, remainder, settled, slices
@@ -155,7 +156,7 @@ def example_sample(docs: DataFrame, labels: DataFrame, sample_docs: int) -> Data
     return texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, least_z: float = 4.0, least_docs: int = 5,
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, least_z: float = 5.0, least_docs: int = 5,
         most_terms: int = 4000, k: int = 15, block: int = 64) -> Model:
     """``docs(doc_id, text)`` give the corpus counts, ``labels(doc_id, toxic)`` the examples."""
     spark = docs.sparkSession
@@ -171,13 +172,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, least_z: fl
                     total.setdefault(term, [0, 0])[toxic] += 1
         yield pd.DataFrame([(t, a, b) for t, (b, a) in total.items()], columns=["term", "a", "b"])
 
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    a_not, b_not = F.lit(n1 + 1) - a, F.lit(n0 + 1) - b
-    z = F.log(a * b_not / (b * a_not)) / F.sqrt(1 / a + 1 / b + 1 / a_not + 1 / b_not)
+    n = n1 + n0
+
+    def part(seen: Column, row: Column, column: int) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (row * column))).otherwise(0.0)
+
+    a, b = F.col("a"), F.col("b")
+    seen, unseen = a + b, F.lit(n) - a - b
+    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (  # signed root of the likelihood ratio, without its sign
+        part(a, seen, n1) + part(b, seen, n0) + part(F.lit(n1) - a, unseen, n1) + part(F.lit(n0) - b, unseen, n0))))
     counted = sample.select("text", F.col("toxic").cast("int")).mapInPandas(term_rows, "term string, a long, b long")
     kept = (
         counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("a") + F.col("b") >= least_docs)
-        .withColumn("z", F.abs(z)).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(most_terms)
+        .withColumn("z", z).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(most_terms)
     )
     names = [r.term for r in kept.select("term").collect()]
     shared = spark.sparkContext.broadcast(names)
