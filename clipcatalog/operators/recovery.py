@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipcatalog import vocab
 from clipcatalog.functions.columns import as_col, attempt_hash, empty_to_null, lookup
+from clipcatalog.functions.structured import FIELD_MAP
 from clipcatalog.functions.text import (
     evidence_class, evidence_score, has_external_link, infer_language, normalize_caption,
     normalize_evidence_text, usable_ocr,
@@ -34,13 +35,12 @@ def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_us
         success, F.when(F.col("score") >= 0.30, "usable_recipe_text").otherwise("technical_success")
     ).otherwise(F.col("status"))
     error = F.coalesce("error", F.lit("")) if "error" in df.columns else F.lit("")
-    details = F.from_json("details", "map<string,string>") if "details" in df.columns else F.lit(None).cast(
-        "map<string,string>")
+    details = F.from_json("details", FIELD_MAP) if "details" in df.columns else F.lit(None).cast(FIELD_MAP)
     extra = F.create_map(
-        F.lit("evidence_quality_score"), F.col("score").cast("string"),
-        F.lit("evidence_quality_class"), evidence_class("score"),
+        F.lit("evidence_quality_score"), F.col("score").cast("variant"),
+        F.lit("evidence_quality_class"), evidence_class("score").cast("variant"),
     )
-    given = F.map_filter(F.coalesce(details, F.create_map().cast("map<string,string>")),
+    given = F.map_filter(F.coalesce(details, F.from_json(F.lit("{}"), FIELD_MAP)),
                          lambda k, _: ~F.map_contains_key(extra, k))
     kept = [c for c in df.columns if c not in (text, "status", "confidence", "error", "details")]
     return scored.select(
@@ -78,6 +78,7 @@ def evidence_from_attempts(df: DataFrame, text: str = "recovered_text", keep: li
     """Attempts that succeeded with useful text, as evidence rows."""
     keep = keep or [c for c in ("raw_id", "content_id", "url", "created_at") if c in df.columns]
     engine = empty_to_null("engine") if "engine" in df.columns else F.lit(None).cast("string")
+    details = empty_to_null("source_details") if "source_details" in df.columns else F.lit(None).cast("string")
     return _with_evidence_score(df, text).filter("_is_evidence").select(
         *keep,
         lookup("method", vocab.SOURCE_TYPE_BY_METHOD, F.col("method")).alias("source_type"),
@@ -87,6 +88,7 @@ def evidence_from_attempts(df: DataFrame, text: str = "recovered_text", keep: li
         F.col("_score").alias("evidence_quality_score"),
         evidence_class("_score").alias("evidence_quality_class"),
         (F.col("_score") >= 0.30).alias("is_recipe_signal"),
+        F.coalesce(details, F.lit("{}")).alias("source_details"),
         attempt_hash("raw_id", "method", "_body").alias("record_hash"),
     )
 

@@ -240,29 +240,32 @@ def enrich_with(rows: DataFrame, answer, key: str, prompt: str) -> DataFrame:
     """Ask a caller-supplied function for an answer to each prompt.
 
     ``answer`` maps a list of prompts to a list of answers; it runs on executors
-    over Arrow batches.  A failing row gets ``status = 'failed'`` and its error
-    text, and never fails the job.
+    over Arrow batches.  An exception in the place of an answer marks that prompt
+    as failed without asking again.  Only when the call itself raises, or gives
+    another number of answers, are its prompts asked one by one.  A failing row
+    gets ``status = 'failed'`` and its error text, and never fails the job.
     """
     key_type = rows.schema[key].dataType.simpleString()
 
+    def ask_one(one):
+        try:
+            return answer([one])[0]
+        except Exception as error:  # noqa: BLE001
+            return error
+
     def run(batches):
         import pandas as pd
 
         for batch in batches:
             prompts = batch[prompt].tolist()
             try:
-                answers, errors = list(answer(prompts)), [None] * len(prompts)
+                answers = list(answer(prompts))
                 if len(answers) != len(prompts):
                     raise ValueError("one answer per prompt expected")
-            except Exception:  # one bad prompt must not cost its batch
-                answers, errors = [], []
-                for one in prompts:
-                    try:
-                        answers.append(answer([one])[0])
-                        errors.append(None)
-                    except Exception as error:  # noqa: BLE001
-                        answers.append(None)
-                        errors.append(f"{type(error).__name__}: {error}")
+            except Exception:  # the call as a whole failed
+                answers = [ask_one(one) for one in prompts]
+            errors = [f"{type(a).__name__}: {a}" if isinstance(a, Exception) else None for a in answers]
+            answers = [None if isinstance(a, Exception) else a for a in answers]
             yield pd.DataFrame({
                 key: batch[key], "response": answers,
                 "status": ["ok" if e is None else "failed" for e in errors], "error": errors,

@@ -101,6 +101,7 @@ SELECT conv_id * 1000 + turn AS attempt_id, conv_id AS raw_id, CAST(conv_id AS S
   CAST((conv_id + turn) % 6 AS DOUBLE) / 10 AS confidence,
   CASE (conv_id + turn) % 7 WHEN 0 THEN 'timeout' ELSE NULL END AS error,
   CASE turn % 2 WHEN 0 THEN 'engine-a' ELSE '' END AS engine,
+  CASE turn % 3 WHEN 0 THEN concat('{"urls":["u', CAST(conv_id AS STRING), '"],"pages":', CAST(turn AS STRING), ',"ok":true}') END AS details,
   {ts} '2024-03-01 00:00:00' + (conv_id * 60 + turn) * INTERVAL '1' MINUTE AS created_at
 FROM conversations
 """

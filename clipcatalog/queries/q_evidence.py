@@ -19,12 +19,16 @@ _RESULT = f"""
 n AS (SELECT *, {_TEXT} AS x FROM recovered_fx),
 s AS (SELECT *, CASE WHEN x <> '' THEN {d.score('x', creator='creator_username')} ELSE 0.0 END AS score,
   method = 'ocr' AND x <> '' AND NOT {d.ocr_ok('x')} AS gib FROM n),
-r AS (SELECT attempt_id, raw_id, method, x AS recovered_text, length(x) AS text_length, score, creator_username, content_id, url, engine, created_at, error,
+r AS (SELECT attempt_id, raw_id, method, x AS recovered_text, length(x) AS text_length, score, creator_username, content_id, url, engine, created_at, error, details,
   CASE WHEN x <> '' THEN {d.language('x')} ELSE '' END AS language_hint,
   CASE WHEN gib THEN 'rejected_gibberish' WHEN x <> '' AND status = 'attempted_success' THEN CASE WHEN score >= 0.30 THEN 'usable_recipe_text' ELSE 'technical_success' END ELSE status END AS status,
   CASE WHEN gib THEN least(confidence, score) WHEN x <> '' AND status = 'attempted_success' THEN greatest(confidence, score) ELSE confidence END AS confidence FROM s)"""
 
 
+_DETAILS = f"""concat(coalesce(left(details, length(details) - 1) || ',', chr(123)), '"evidence_quality_score":', CAST(score AS VARCHAR),
+  ',"evidence_quality_class":"', {d.klass('score')}, '"', chr(125))"""
+
+
 def _results(t: Inputs):
     return E.attempt_result(t.fx("recovered_fx"))
 
@@ -33,11 +37,13 @@ def _results(t: Inputs):
 WITH {_RESULT}
 SELECT attempt_id, recovered_text, text_length, language_hint, confidence, status, coalesce(error, '') AS error_message, score,
   {d.klass('score')} AS evidence_class,
+  {_DETAILS} AS source_details,
   sha256(raw_id || '|' || method || '|' || {d.strip("coalesce(nullif(recovered_text, ''), nullif(error, ''), status)")}) AS record_hash FROM r""")
 def _(t: Inputs):
     return _results(t).select(
         "attempt_id", "recovered_text", "text_length", "language_hint", "confidence", "status", "error_message", "score",
-        F.get_json_object("source_details", "$.evidence_quality_class").alias("evidence_class"), "record_hash")
+        F.get_json_object("source_details", "$.evidence_quality_class").alias("evidence_class"),
+        "source_details", "record_hash")
 
 
 _SOURCE_TYPE = "CASE method " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.SOURCE_TYPE_BY_METHOD.items()) + " ELSE method END"
@@ -49,7 +55,7 @@ e AS (SELECT *, {d.score('recovered_text')} AS plain, recovered_text <> '' AND s
 @query("evidence_from_attempts", f"""
 WITH {_RESULT}, {_IS_EVIDENCE}
 SELECT raw_id, content_id, url, created_at, {_SOURCE_TYPE} AS source_type, coalesce(nullif(engine, ''), method) AS source_name, recovered_text AS evidence_text,
-  length(recovered_text) AS evidence_length, plain AS evidence_quality_score, {d.klass('plain')} AS evidence_quality_class, plain >= 0.30 AS is_recipe_signal,
+  length(recovered_text) AS evidence_length, plain AS evidence_quality_score, {d.klass('plain')} AS evidence_quality_class, plain >= 0.30 AS is_recipe_signal, {_DETAILS} AS source_details,
   sha256(raw_id || '|' || method || '|' || recovered_text) AS record_hash FROM e WHERE is_evidence""")
 def _(t: Inputs):
     return E.evidence_from_attempts(_results(t))

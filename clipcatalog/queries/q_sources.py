@@ -61,10 +61,10 @@ UNION ALL SELECT coalesce(title, ''), coalesce(url, ''), '', '' FROM captions_fx
 def _(t: Inputs):
     root = work_path(t.spark, "named-csv")
     rows = _verified(t)
-    S.write_csv_fixed_order(rows, f"{root}/a", VERIFIED)
+    S.write_csv_fixed_order(rows, f"{root}/all/a", VERIFIED)
     S.write_csv_fixed_order(rows.select(F.col("TITLE").alias("title"), F.col("URL_TIKTOK").alias("url_tiktok")),
-                            f"{root}/b", ["url_tiktok", "title"])
-    return S.read_named_csv(t.spark, [f"{root}/a", f"{root}/b"], ["TITLE", "URL_TIKTOK"],
+                            f"{root}/all/b", ["url_tiktok", "title"])
+    return S.read_named_csv(t.spark, [f"{root}/all"], ["TITLE", "URL_TIKTOK"],
                             ["TITLE", "URL_TIKTOK", "CONTENT_ID", "EVIDENCE_TEXT"], url="URL_TIKTOK")
 
 
@@ -165,12 +165,7 @@ SELECT raw_id, CASE WHEN contains(description, '12345 67890') THEN NULL ELSE CAS
   CASE WHEN contains(description, '12345 67890') THEN 'ValueError: unreadable caption' END AS error FROM captions_fx""")
 def _(t: Inputs):
     def answer(prompts):  # the caller's function: any client would stand here
-        lengths = []
-        for prompt in prompts:
-            if "12345 67890" in prompt:
-                raise ValueError("unreadable caption")
-            lengths.append(str(len(prompt)))
-        return lengths
+        return [ValueError("unreadable caption") if "12345 67890" in p else str(len(p)) for p in prompts]
 
     return enrich_with(t.fx("captions_fx"), answer, "raw_id", "description")
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,28 +74,54 @@ def required_columns(df: DataFrame, names) -> DataFrame:
     return df
 
 
+def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header fields to the files that carry them, from the first line of each file.
+
+    One distributed pass over the lines; only distinct headers and file names,
+    which the file listing holds anyway, reach the driver.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True).text(paths)
+        .filter("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("header").agg(F.sort_array(F.collect_set("path")).alias("files")).collect():
+        names = tuple(n.strip() for n in next(csv.reader([row["header"].lstrip("\ufeff")]), []))
+        found.setdefault(names, []).extend(re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in row["files"])
+    return found
+
+
 def read_named_csv(spark: SparkSession, paths: list[str], required: list[str], columns: list[str],
                    url: str | None = None) -> DataFrame:
     """CSV files by header name, one read per layout, one shape out.
 
-    Names match in any case; absent columns become ``''``; rows without a
-    ``url`` value are dropped.
+    Files of one folder may name their columns in different orders.  Names
+    match in any case; absent columns become ``''``; rows without a ``url``
+    value are dropped; files without a line are skipped.  A header is one line.
     """
+    if not paths:
+        raise ValueError("no input paths")
     out = None
-    for path in paths:
-        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option(
-            "recursiveFileLookup", True
-        ).csv(path)
-        df = df.toDF(*[c.lstrip("﻿") for c in df.columns])
-        required_columns(df, required)
-        by_name = {c.lower(): c for c in df.columns}
+    for names, files in sorted(_csv_headers(spark, paths).items()):
+        at: dict[str, int] = {}
+        for i, name in enumerate(names):
+            at.setdefault(name.lower(), i)
+        missing = sorted(n for n in required if n.lower() not in at)
+        if missing:
+            raise ValueError(f"missing required columns: {missing}")
+        df = (
+            spark.read.schema(_text_fields([f"c{i}" for i in range(len(names))]))
+            .option("header", True).option("multiLine", True).option("escape", '"').csv(sorted(files))
+        )
         picked = df.select(*[
-            (F.coalesce(F.col(f"`{by_name[n.lower()]}`"), F.lit("")) if n.lower() in by_name else F.lit("")).alias(n)
+            (F.coalesce(F.col(f"c{at[n.lower()]}"), F.lit("")) if n.lower() in at else F.lit("")).alias(n)
             for n in columns
         ])
         out = picked if out is None else out.unionByName(picked)
     if out is None:
-        raise ValueError("no input paths")
+        out = spark.createDataFrame([], _text_fields(columns))
     return out if url is None else out.filter(F.col(url) != "")
 
 

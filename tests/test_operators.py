@@ -215,6 +215,17 @@ def test_failed_prompts_do_not_fail_the_job(spark):
     assert got == {1: ("5", "ok"), 2: (None, "failed"), 3: ("2", "ok")}
 
 
+def test_an_error_per_prompt_is_not_asked_again(spark):
+    def answer(prompts):
+        if len(prompts) < 3:
+            raise AssertionError("asked again")
+        return [ValueError("bad") if p == "" else p.upper() for p in prompts]
+
+    df = spark.createDataFrame([(1, "ab"), (2, ""), (3, "c")], "id long, p string").coalesce(1)
+    got = {r["id"]: (r["response"], r["status"], r["error"]) for r in serving.enrich_with(df, answer, "id", "p").collect()}
+    assert got == {1: ("AB", "ok", None), 2: (None, "failed", "ValueError: bad"), 3: ("C", "ok", None)}
+
+
 def test_report(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 2.0), (None, None)], "id long, s double")
     report = check_report([("range", df, F.col("s") > 1), ("null", df, F.col("id").isNull())], [("unique", unique(df, "id"))])

@@ -52,6 +52,14 @@ def test_named_csv_and_missing_columns(spark, folder):
         S.read_named_csv(spark, [f"{folder}/a.csv"], ["TITLE", "DESCRIPTION"], ["TITLE"])
 
 
+def test_named_csv_with_two_header_orders_in_one_folder(spark, folder):
+    put(folder, "a b.csv", "title,url\nT1,U1\n\"two\nlines\",U3\n")
+    put(folder, "b.csv", "URL,Title\nU2,T2\n")
+    put(folder, "c.csv", "")
+    got = S.read_named_csv(spark, [folder], ["title", "url"], ["title", "url"])
+    assert sorted(tuple(r) for r in got.collect()) == [("T1", "U1"), ("T2", "U2"), ("two\nlines", "U3")]
+
+
 def test_inputs_must_exist(spark, folder):
     put(folder, "x.csv", "a\n")
     assert [r["name"] for r in S.list_inputs(spark, folder, "*.csv").collect()] == ["x.csv"]
