@@ -29,13 +29,25 @@ def drop_blocks(c, *tags: str) -> Column:
 
 
 def page_text(c) -> Column:
-    """Text of headings, paragraphs and list items, one per line."""
+    """Text inside headings, paragraphs and list items, one line per stretch between their tags.
+
+    Blocks nest: the rest of an outer block after an inner one is kept, as a line of
+    its own.  A block without an end tag reaches to the end of what encloses it.
+    """
     body = drop_blocks(F.coalesce(as_col(c), F.lit("")), "script", "style", "noscript", "svg")
-    blocks = F.regexp_extract_all(
-        body, F.lit(r"(?is)<(?:p|li|h1|h2|h3)(?:\s[^>]*)?>(.*?)</(?:p|li|h1|h2|h3)>"), F.lit(1)
-    )
-    parts = F.transform(blocks, lambda b: strip(F.regexp_replace(b, "<[^>]+>", " ")))
-    return normalize_caption(F.array_join(F.filter(parts, lambda p: p != ""), "\n"))
+    marked = F.regexp_replace(F.replace(body, F.lit("\x01"), F.lit("")), r"(?is)<(?:p|li|h1|h2|h3)(?:\s[^>]*)?>", "\x01+")
+    pieces = F.split(F.regexp_replace(marked, r"(?is)</(?:p|li|h1|h2|h3)>", "\x01-"), "\x01")
+    state = "struct<depth:int,parts:array<string>>"
+
+    def step(seen, piece):
+        depth = F.greatest(F.lit(0), seen["depth"] + F.when(piece.startswith("+"), 1).otherwise(-1))
+        part = strip(F.regexp_replace(F.substring(piece, 2, 2**31 - 1), "<[^>]+>", " "))
+        kept = F.when((depth > 0) & (part != ""), F.array(part)).otherwise(F.array().cast("array<string>"))
+        return F.struct(depth.alias("depth"), F.concat(seen["parts"], kept).alias("parts")).cast(state)
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("parts")).cast(state)
+    parts = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), start, step, lambda seen: seen["parts"])
+    return normalize_caption(F.array_join(parts, "\n"))
 
 
 def meta_descriptions(c) -> Column:

@@ -121,9 +121,15 @@ def _blocks_dropped(x: str, *tags: str) -> str:
 
 
 @query("page_text", rf"""
-WITH b AS (SELECT page_id, regexp_extract_all({_blocks_dropped('html', 'script', 'style', 'noscript', 'svg')},
-    '(?is)<(?:p|li|h1|h2|h3)(?:\s[^>]*)?>(.*?)</(?:p|li|h1|h2|h3)>', 1) AS parts FROM pages_fx)
-SELECT page_id, {d.caption("array_to_string(list_filter(list_transform(parts, lambda p: " + d.strip("regexp_replace(p, '<[^>]+>', ' ', 'g')") + "), lambda p: p <> ''), chr(10))")} AS page_text FROM b""")
+WITH m AS (SELECT page_id, string_split(regexp_replace(regexp_replace(
+    replace({_blocks_dropped("coalesce(html, '')", 'script', 'style', 'noscript', 'svg')}, chr(1), ''),
+    '(?is)<(?:p|li|h1|h2|h3)(?:\s[^>]*)?>', chr(1) || '+', 'g'), '(?is)</(?:p|li|h1|h2|h3)>', chr(1) || '-', 'g'), chr(1)) AS x FROM pages_fx),
+p AS (SELECT page_id, unnest(x) AS piece, generate_subscripts(x, 1) AS i FROM m),
+s AS (SELECT *, sum(CASE WHEN i = 1 THEN 0 WHEN starts_with(piece, '+') THEN 1 ELSE -1 END) OVER (PARTITION BY page_id ORDER BY i) AS total FROM p),
+k AS (SELECT *, i > 1 AND total > least(0, min(total) OVER (PARTITION BY page_id ORDER BY i)) AS inside,
+  {d.strip("regexp_replace(substr(piece, 2), '<[^>]+>', ' ', 'g')")} AS part FROM s),
+j AS (SELECT page_id, coalesce(string_agg(part, chr(10) ORDER BY i) FILTER (WHERE inside AND part <> ''), '') AS body FROM k GROUP BY page_id)
+SELECT page_id, {d.caption('body')} AS page_text FROM j""")
 def _(t: Inputs):
     return t.fx("pages_fx").select("page_id", H.page_text("html").alias("page_text"))
 

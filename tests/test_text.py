@@ -124,6 +124,11 @@ def test_page_text_and_tags(spark):
     assert one(spark, html, H.strip_tags("t")) == "One two skip Th&ree Four"
 
 
+def test_text_after_a_nested_block_is_kept(spark):
+    html = ["<ul><li><p>a</p> rest of item</li></ul>out", "</p>x<p>y</p>z<li>1<li>2</li></li>w", "no block", None]
+    assert many(spark, html, H.page_text("t")) == ["a\nrest of item", "y\n1\n2", "", ""]
+
+
 def test_json_in_pages(spark):
     html = '<SCRIPT type="x" id=\'S.1\'>{&quot;desc&quot;: 1}</SCRIPT>'
     assert one(spark, html, H.json_script("t", "S.1")) == '{"desc": 1}'
