@@ -184,5 +184,5 @@ SELECT raw_id, 'new_tiktok_video_detected' AS event_type, '2024-06-01T00:00:00+0
   creator_username, content_id AS video_id, content_id, title, description, url AS url_tiktok, url, description_is_partial, recovered_text AS raw_payload FROM captions_fx""")
 def _(t: Inputs):
     items = t.fx("captions_fx").withColumn("raw_payload", F.col("recovered_text"))
-    out = EV.build_event(items, F.lit("2024-06-01T00:00:00+00:00"), keep=["raw_id"])
+    out = EV.build_event(items, F.lit("2024-06-01T00:00:00+00:00"), "tiktok_creator_monitor", keep=["raw_id"])
     return out.drop("published_at", "language_hint")

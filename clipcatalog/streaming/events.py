@@ -114,8 +114,8 @@ def normalize_legacy_event(df: DataFrame, event: str = "event", keep: list[str]
         "record_hash", legacy_event_hash("title", "description", "url"))
 
 
-def build_event(items: DataFrame, now: Column, event_type: str = "new_tiktok_video_detected",
-                source_system: str = "tiktok_creator_monitor", keep: list[str] | None = None) -> DataFrame:
+def build_event(items: DataFrame, now: Column, source_system: str, event_type: str = "new_tiktok_video_detected",
+                keep: list[str] | None = None) -> DataFrame:
     """Content items to detection events, with both names of id and URL."""
     def optional(name, kind="string"):
         return F.col(name) if name in items.columns else F.lit(None).cast(kind)

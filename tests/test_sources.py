@@ -135,7 +135,7 @@ def test_events_round_trip(spark, folder):
     item = spark.createDataFrame([("tiktok", "c", "9", "t", "d", "u", True)],
                                  "platform string, creator_username string, content_id string, title string, "
                                  "description string, url string, description_is_partial boolean")
-    EV.write_events(EV.build_event(item, F.lit("2024-01-01T00:00:00+00:00")), {"path": f"{folder}/e"})
+    EV.write_events(EV.build_event(item, F.lit("2024-01-01T00:00:00+00:00"), "catalog_monitor"), {"path": f"{folder}/e"})
     valid, bad = EV.normalize_event(EV.parse_events(spark.read.text(f"{folder}/e")))
     row = valid.first()
     assert (row["content_id"], row["url"], row["description_is_partial"]) == ("9", "u", True) and bad.count() == 0
