@@ -1,4 +1,4 @@
-"""Keyed merges: one full outer join with a rule per column.
+"""Keyed merges: a join with a rule per column.
 
 A rule is a function ``(target, source) -> Column`` of the two values of a
 matched row; ``newer_row_rules`` compares whole rows.  Unmatched target rows stay as they are; unmatched source rows are
@@ -82,6 +82,34 @@ def merge(
     key is computed (``{"k": lambda pick: lower(pick("name"))}``).  As in SQL, a
     NULL key matches nothing.  The source must be unique on the key.
     """
+    t, s, condition, values = _sides(target, source, keys, rules, inserts, default_rule)
+    return t.join(s, condition, "full_outer").select(*values)
+
+
+def merge_small(
+    target: DataFrame,
+    source: DataFrame,
+    keys: dict[str, Callable] | list[str],
+    rules: dict[str, Rule] | None = None,
+    inserts: dict[str, Column] | None = None,
+    default_rule: Rule | None = None,
+) -> DataFrame:
+    """The rows of ``merge``, in a form that lets Spark broadcast the source.
+
+    Target rows keep their place and look the source up (left join); the source
+    rows without a partner follow.  Their partners are found by a semi join on the
+    keys, so that both joins have the source, or fewer rows, on the side that Spark
+    may broadcast.  The source is read three times, so it should be a table.
+    """
+    t, s, condition, values = _sides(target, source, keys, rules, inserts, default_rule)
+    known = t.join(s, condition, "left_semi").select(*[c for c in t.columns if c.startswith("t__key_")])
+    fresh = s.join(known, condition, "left_anti")
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema]
+    return t.join(s, condition, "left").select(*values).unionAll(fresh.select("*", *blank).select(*values))
+
+
+def _sides(target, source, keys, rules, inserts, default_rule):
+    """Both sides with prefixed columns, their join condition and the merged values."""
     rules, inserts = rules or {}, inserts or {}
     fallback = default_rule or take_source
     if not isinstance(keys, dict):
@@ -93,10 +121,7 @@ def merge(
         key_cols = [build(F.col).alias(f"{prefix}key_{name}") for name, build in keys.items()]
         return df.select(*columns, *key_cols, F.lit(True).alias(f"{prefix}hit"))
 
-    t, s = side(target, "t__"), side(source, "s__")
     condition = reduce(lambda a, b: a & b, [F.col(f"t__key_{k}") == F.col(f"s__key_{k}") for k in keys])
-    joined = t.join(s, condition, "full_outer")
-
     out = []
     for name in target.columns:
         old = F.col(f"t__{name}")
@@ -111,7 +136,7 @@ def merge(
             .otherwise(inserted)
         )
         out.append(value.cast(target.schema[name].dataType).alias(name))
-    return joined.select(*out)
+    return side(target, "t__"), side(source, "s__"), condition, out
 
 
 # --- the merges of the catalog's tables ------------------------------------------

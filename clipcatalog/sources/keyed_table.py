@@ -5,7 +5,12 @@ source touches, merges them, writes them as a new version and then replaces a
 small pointer file that lists, per bucket, which version is current.  Readers
 follow the pointer, so they see the old state or the new one, never a mix, and
 a lost executor or a failed job leaves the table as it was.  One writer at a
-time is assumed, as with any MERGE on a plain file table.
+time is assumed, as with any MERGE on a plain file table, and a file system
+whose rename replaces a file in one step.
+
+A batch rewrites the buckets it touches, which for random keys are all of
+them: choose the number of buckets by the size of the table, not by the number
+of cores.  Several tasks share a bucket in reading, merging and writing.
 """
 
 from __future__ import annotations
@@ -18,16 +23,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipcatalog.operators.upsert import merge
+from clipcatalog.operators.upsert import merge_small
+from clipcatalog.sources.session import landed
 
 BUCKET = "_bucket"
 
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: dict[str, Callable] | list[str],
-                 buckets: int = 64):
+                 buckets: int):
         """``keys``: key column names, or name -> function of a column picker
-        for keys that are computed (see ``merge``)."""
+        for keys that are computed (see ``merge``).  ``buckets`` is stored with the
+        first write; opening the table with another number is an error."""
         self.spark, self.path, self.schema, self.keys, self.buckets = spark, path, schema, keys, buckets
 
     # -- pointer file, kept on the same file system as the data ---------------
@@ -41,12 +48,15 @@ class KeyedTable:
         jvm, fs = self._fs()
         where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_current.json")
         if not fs.exists(where):
-            return {"batch": -1, "buckets": {}}
+            return {"batch": -1, "number": self.buckets, "buckets": {}}
         stream = fs.open(where)
         try:
-            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            state = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        if state["number"] != self.buckets:
+            raise ValueError(f"the table has {state['number']} buckets, not {self.buckets}")
+        return state
 
     def _publish(self, state: dict) -> None:
         jvm, fs = self._fs()
@@ -88,38 +98,51 @@ class KeyedTable:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self._key_columns()), F.lit(self.buckets)).cast("int")
 
+    def read_beside(self, source: DataFrame) -> DataFrame:
+        """The rows of those buckets that keys of ``source`` fall into."""
+        hit = source.select(self._bucket().alias(BUCKET)).distinct().collect()  # at most one row per bucket
+        return self._buckets_of(self._pointer(), [r[BUCKET] for r in hit])
+
+    def _buckets_of(self, state: dict, numbers: list[int]) -> DataFrame:
+        return self._read([f"{self.path}/{state['buckets'][str(b)]}" for b in sorted(numbers)
+                           if str(b) in state["buckets"]])
+
     def upsert(self, source: DataFrame, rules: dict | None = None, inserts: dict | None = None,
                default_rule: Callable | None = None, batch: int | None = None) -> bool:
-        """Merge a source that is unique on the key; False for a replayed batch."""
+        """Merge a source that is unique on the key; False for a replayed batch.
+
+        The source is written to the shared folder first: the check for repeated
+        keys and the merge see the same rows, also after executors are lost.
+        """
         state = self._pointer()
         if batch is not None and batch <= state["batch"]:
             return False
-        source = source.withColumn(BUCKET, self._bucket()).persist()
-        try:
-            keys = {f"_key{i}": c for i, c in enumerate(self._key_columns())}
-            per_key = source.select(BUCKET, *[c.alias(n) for n, c in keys.items()]).groupBy(BUCKET, *keys).agg(
-                F.count(F.lit(1)).alias("_n"))
-            repeated = F.col("_n") > 1
-            for name in keys:  # a NULL key matches nothing, so it may repeat
-                repeated = repeated & F.col(name).isNotNull()
-            # one row per bucket
-            found = per_key.groupBy(BUCKET).agg(F.count_if(repeated).alias("_repeated")).collect()
-            if any(r["_repeated"] for r in found):
-                raise ValueError("the source of an upsert must hold each key once")
-            touched = sorted(r[BUCKET] for r in found)
-            if touched:
-                old = self._read([f"{self.path}/{state['buckets'][str(b)]}" for b in touched
-                                  if str(b) in state["buckets"]])
-                merged = merge(old, source.drop(BUCKET), self.keys, rules, inserts, default_rule)
-                version = f"v-{uuid.uuid4().hex}"
-                (
-                    merged.withColumn(BUCKET, self._bucket())
-                    .repartition(BUCKET)
-                    .write.partitionBy(BUCKET).parquet(f"{self.path}/{version}")
-                )
-                state["buckets"].update({str(b): f"{version}/{BUCKET}={b}" for b in touched})
-        finally:
-            source.unpersist()
+        # only the table's columns; an untyped NULL column takes the table's type
+        types = {f.name: f.dataType for f in self.schema}
+        source = landed(source.select(*[
+            F.col(f.name).cast(types[f.name]) if isinstance(f.dataType, T.NullType) else F.col(f.name)
+            for f in source.schema if f.name in types
+        ]), "upsert")
+        keys = {f"_key{i}": c for i, c in enumerate(self._key_columns())}
+        per_key = source.select(self._bucket().alias(BUCKET), *[c.alias(n) for n, c in keys.items()]).groupBy(
+            BUCKET, *keys).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = F.col("_n") > 1
+        for name in keys:  # a NULL key matches nothing, so it may repeat
+            repeated = repeated & F.col(name).isNotNull()
+        # one row per bucket
+        found = per_key.groupBy(BUCKET).agg(F.count_if(repeated).alias("_repeated")).collect()
+        if any(r["_repeated"] for r in found):
+            raise ValueError("the source of an upsert must hold each key once")
+        touched = [r[BUCKET] for r in found]
+        if touched:
+            merged = merge_small(self._buckets_of(state, touched), source, self.keys, rules, inserts, default_rule)
+            version = f"v-{uuid.uuid4().hex}"
+            (
+                # brings a bucket's rows together, and adaptive execution cuts large buckets into several tasks
+                merged.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET)
+                .write.partitionBy(BUCKET).parquet(f"{self.path}/{version}")
+            )
+            state["buckets"].update({str(b): f"{version}/{BUCKET}={b}" for b in touched})
         if batch is not None:
             state["batch"] = batch
         self._publish(state)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str = "8", memory: str = "16g", name: str = "clipcatalog") -> SparkSession:
@@ -47,3 +47,13 @@ def shared_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder.
+
+    They are evaluated once, survive lost executors, and Spark knows their size.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clipcatalog.operators.upsert import unique_source
 from clipcatalog.sources.keyed_table import KeyedTable
+from clipcatalog.sources.session import landed
 
 
 def bounded_drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -56,15 +57,15 @@ def stream_unseen(stream: DataFrame, seen: KeyedTable, emit: Callable[[DataFrame
                   checkpoint: str) -> None:
     """Emit items whose key is not in the seen table, then remember them.
 
-    The seen table replaces streaming state, so it can grow without a memory
-    bound.  Emission comes first: a crash in between repeats an item, and never
+    The seen table, keyed by ``key``, replaces streaming state, so it can grow without
+    a memory bound; a batch reads only the buckets its items fall into.  Emission comes first: a crash in between repeats an item, and never
     loses one.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= seen.last_batch():
             return
-        first = unique_source(batch, [key], order)
-        known = seen.read().select(F.col(key).alias("_known"))
+        first = landed(unique_source(batch, [key], order), "unseen")
+        known = seen.read_beside(to_seen(first)).select(F.col(key).alias("_known"))
         emit(first.join(known, F.col(key) == F.col("_known"), "left_anti"), batch_id)
         seen.upsert(to_seen(first), rules, batch=batch_id)
 

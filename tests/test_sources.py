@@ -215,3 +215,37 @@ def test_typed_rows_use_every_part(spark):
 def test_layouts():
     assert len(schemas.VERIFIED_COLUMNS) == 13 and len(schemas.DISCOVERY_COLUMNS) == 19
     assert len(schemas.API_COLUMNS) == 16 and len(schemas.DASHBOARD_COLUMNS) == 41 and len(schemas.DEBUG_COLUMNS) == 34
+
+
+def test_keyed_table_keeps_its_number_of_buckets(spark, folder):
+    KeyedTable(spark, f"{folder}/t", SCHEMA, ["k"], buckets=4).upsert(spark.createDataFrame([("a", 1)], SCHEMA))
+    with pytest.raises(ValueError):
+        KeyedTable(spark, f"{folder}/t", SCHEMA, ["k"], buckets=8).read()
+
+
+def test_keyed_table_shares_a_bucket_between_tasks(spark, folder):
+    rows = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), F.col("id").alias("v"))
+    table = KeyedTable(spark, f"{folder}/t", SCHEMA, ["k"], buckets=2)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        table.upsert(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(table.read().inputFiles()) > 2
+    few = table.read_beside(rows.filter("v = 7"))
+    assert 0 < few.count() < 200_000 and few.filter("v = 7").count() == 1
+    assert table.read().count() == 200_000
+
+
+def test_merge_of_a_small_source_broadcasts_and_equals_the_full_join(spark, folder):
+    spark.range(1000).select(
+        F.when(F.col("id") % 50 > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("v")
+    ).write.parquet(f"{folder}/old")
+    spark.createDataFrame([("7", 70), ("x", 1), (None, 2), ("8", None)], SCHEMA).write.parquet(f"{folder}/new")
+    old, new = spark.read.parquet(f"{folder}/old"), spark.read.parquet(f"{folder}/new")
+    got = U.merge_small(old, new, ["k"], {"v": U.newest})
+    want = U.merge(old, new, ["k"], {"v": U.newest})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 1002
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
