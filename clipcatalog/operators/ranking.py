@@ -26,9 +26,9 @@ def top_per_key(df: DataFrame, keys: list, order: list[Column], n: int = 1, rank
     return out if rank else out.drop(name)
 
 
-def latest_per_key(df: DataFrame, keys: list, time: str, tie: list[Column] | None = None) -> DataFrame:
-    """The newest row per key; ``tie`` makes equal times deterministic."""
-    return top_per_key(df, keys, [F.col(time).desc_nulls_last(), *(tie or [])])
+def latest_per_key(df: DataFrame, keys: list, time: str, tie: list[Column]) -> DataFrame:
+    """The newest row per key; ``tie`` orders rows of equal time and must end in a unique column."""
+    return top_per_key(df, keys, [F.col(time).desc_nulls_last(), *tie])
 
 
 def dedup_evidence(df: DataFrame, key: str = "raw_id", source_type: str = "source_type", hash_column: str = "record_hash",
@@ -108,8 +108,8 @@ def best_source_row(df: DataFrame, keys: list[str], enriched: Column, tie: str)
     ])
 
 
-def latest_attempt_per_method(attempts: DataFrame, now: Column, hours: int, keys: list[str] | None = None,
-                              time: str = "created_at", tie: list[Column] | None = None) -> DataFrame:
+def latest_attempt_per_method(attempts: DataFrame, now: Column, hours: int, tie: list[Column],
+                              keys: list[str] | None = None, time: str = "created_at") -> DataFrame:
     """Newest attempt per item and method inside the retry window."""
     recent = attempts.filter(F.col(time) >= now - F.make_dt_interval(hours=F.lit(hours)))
     return latest_per_key(recent, keys or ["raw_id", "method"], time, tie)

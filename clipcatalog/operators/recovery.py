@@ -126,13 +126,13 @@ def queue_status_after_answer(status, is_recipe) -> Column:
     )
 
 
-def skip_recent(plan: DataFrame, attempts: DataFrame, now: Column, hours: int, force: bool = False,
-                keys: list[str] | None = None, tie: list[Column] | None = None) -> DataFrame:
+def skip_recent(plan: DataFrame, attempts: DataFrame, now: Column, hours: int, tie: list[Column],
+                force: bool = False, keys: list[str] | None = None) -> DataFrame:
     """Planned methods without those whose last recent attempt was of no use."""
     if force:
         return plan
     keys = keys or ["raw_id", "method"]
-    blocked = latest_attempt_per_method(attempts, now, hours, keys, tie=tie).filter(
+    blocked = latest_attempt_per_method(attempts, now, hours, tie, keys).filter(
         F.col("status").isin(vocab.RETRY_BLOCKING_STATUSES)
     )
     return plan.join(blocked.select(*keys), keys, "left_anti")

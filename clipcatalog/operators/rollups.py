@@ -163,11 +163,15 @@ def _rate(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), F.nullif(whole, F.lit(0)).cast("double"))
 
 
-def quality_daily(bronze: DataFrame, catalog: DataFrame, api: DataFrame, evidence: DataFrame,
+def quality_daily(bronze: DataFrame, catalog: DataFrame, published: Column, evidence: DataFrame,
                   run_date: Column) -> DataFrame:
-    """One row of layer counts and rates over the whole catalog."""
+    """One row of layer counts and rates over the whole catalog.
+
+    ``published`` tells which catalog rows are served; they are counted in the same pass.
+    """
     c = catalog.agg(
         _rows().alias("n"),
+        F.count_if(published).alias("gold_rows"),
         F.count_if(F.col("is_recipe")).alias("recipes"),
         F.count_if(F.col("recipe_status") == "full_recipe").alias("full"),
         F.count_if(F.col("recipe_status") == "partial_recipe").alias("partial"),
@@ -180,7 +184,7 @@ def quality_daily(bronze: DataFrame, catalog: DataFrame, api: DataFrame, evidenc
         F.count_if(F.col("source_type") == "video_ocr").alias("ocr"),
         F.count_if((F.col("source_type") == "video_ocr") & F.col("is_recipe_signal")).alias("usable_ocr"),
     )
-    row = scalar_cross_join(bronze.agg(_rows().alias("bronze_rows")), c, api.agg(_rows().alias("gold_rows")), e)
+    row = scalar_cross_join(bronze.agg(_rows().alias("bronze_rows")), c, e)
     n = F.col("n")
     return row.select(
         run_date.alias("run_date"), "bronze_rows", n.alias("silver_rows"), "gold_rows",

@@ -11,10 +11,10 @@ from clipcatalog import schemas, vocab
 from clipcatalog.functions.columns import video_id_from_url
 
 
-def serving_gate(df: DataFrame, min_score: float = 0.60, min_ingredients: int = 2, min_steps: int = 1,
-                 statuses: list[str] | None = None) -> DataFrame:
-    """Rows good enough to publish."""
-    return df.filter(
+def published(min_score: float = 0.60, min_ingredients: int = 2, min_steps: int = 1,
+              statuses: list[str] | None = None) -> Column:
+    """True for catalog rows good enough to publish."""
+    return (
         F.col("is_recipe")
         & F.col("recipe_status").isin(statuses or vocab.PUBLISHED_STATUSES)
         & (F.col("recipe_quality_score") >= min_score)
@@ -25,6 +25,11 @@ def serving_gate(df: DataFrame, min_score: float = 0.60, min_ingredients: int =
     )
 
 
+def serving_gate(df: DataFrame, **limits) -> DataFrame:
+    """Rows good enough to publish; ``limits`` as in ``published``."""
+    return df.filter(published(**limits))
+
+
 def serving_projection(df: DataFrame, consumer: str = "api") -> DataFrame:
     """Columns of one consumer: ``api``, ``dashboard`` or ``debug``."""
     layout = {

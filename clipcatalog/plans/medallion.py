@@ -21,6 +21,11 @@ from clipcatalog.operators.ranking import best_source_row
 from clipcatalog.operators.rollups import evidence_concat, evidence_stats
 from clipcatalog.plans import views
 
+def answer_tie() -> list[Column]:
+    """Order of answers of one item and time, by their texts."""
+    return [F.col("llm_raw_response").asc_nulls_last(), F.col("record_hash").asc_nulls_last()]
+
+
 def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) -> DataFrame:
     """Landing rows to one best, hashed row per (platform, content key).
 
@@ -128,10 +133,9 @@ def run_batch(landing: DataFrame, silver: DataFrame, evidence: DataFrame, ask: C
     requests = enrichment_requests(bronze, silver, evidence, instruction=instruction)
     typed, bad = typed_rows(requests, ask(requests), model, now)
     known = typed.unionByName(silver, allowMissingColumns=True)
-    recipes, parts = views.stage_recipes(known), views.stage_evidence(evidence)
-    catalog = views.build_catalog(known, evidence)
-    api = views.api_catalog(catalog)
+    recipes, parts = views.stage_recipes(known, answer_tie()), views.stage_evidence(evidence)
+    catalog = views.build_catalog(known, evidence, answer_tie())
     return {
-        "bronze": bronze, "requests": requests, "typed": typed, "rejected": bad, "catalog": catalog, "api": api,
-        "checks": views.catalog_checks(recipes, parts, catalog, api),
+        "bronze": bronze, "requests": requests, "typed": typed, "rejected": bad, "catalog": catalog, "api": views.api_catalog(catalog),
+        "checks": views.catalog_checks(recipes, parts, catalog),
     }

@@ -16,20 +16,23 @@ from clipcatalog.functions.columns import (
     clamp01, display_title, normalize_language_code, scoring_key, title_case,
 )
 from clipcatalog.functions.structured import array_counts, quality_grade, quality_score
-from clipcatalog.operators.checks import check_report, unique
+from clipcatalog.operators.checks import check_report
 from clipcatalog.operators.joins import left_join_features
 from clipcatalog.operators.ranking import best_row_per_key, dedup_evidence, latest_per_key
 from clipcatalog.operators.rollups import (
     catalog_summary, evidence_rollup, rollup_by_cuisine, rollup_by_ingredient, rollup_by_language, rollup_by_model,
 )
-from clipcatalog.operators.serving import serving_gate, serving_projection
+from clipcatalog.operators.serving import published, serving_gate, serving_projection
 
 OPTIONAL_TEXTS = ["original_description", "recovered_text", "evidence_text", "rejection_reason", "final_recipe_language",
                   "record_hash"]
 
 
-def stage_recipes(rows: DataFrame, tie: list[Column] | None = None) -> DataFrame:
-    """Latest answer per item with normalised languages, scores and flags."""
+def stage_recipes(rows: DataFrame, tie: list[Column]) -> DataFrame:
+    """Latest answer per item with normalised languages, scores and flags.
+
+    ``tie`` orders answers of one item and time; it must tell any two of them apart.
+    """
     absent = {c: F.lit(None).cast("string") for c in OPTIONAL_TEXTS if c not in rows.columns}
     if "evidence_quality_score" not in rows.columns:
         absent["evidence_quality_score"] = F.lit(None).cast("double")
@@ -99,12 +102,12 @@ def api_catalog(rows: DataFrame) -> DataFrame:
     return serving_projection(serving_gate(rows), "api")
 
 
-def build_catalog(silver: DataFrame, evidence: DataFrame, tie: list[Column] | None = None) -> DataFrame:
+def build_catalog(silver: DataFrame, evidence: DataFrame, tie: list[Column]) -> DataFrame:
     """Typed rows and evidence rows to the catalog, as one plan."""
     return catalog(score_recipes(stage_recipes(silver, tie), evidence_by_item(stage_evidence(evidence))))
 
 
-def view_chain(silver: DataFrame, evidence: DataFrame, tie: list[Column] | None = None) -> dict:
+def view_chain(silver: DataFrame, evidence: DataFrame, tie: list[Column]) -> dict:
     """The views by name, for ``publish_views``."""
     return {
         "stg_recipes": lambda v: stage_recipes(silver, tie),
@@ -134,15 +137,19 @@ def analytics(silver: DataFrame, now: Column) -> dict[str, DataFrame]:
     }
 
 
-def catalog_checks(recipes: DataFrame, evidence: DataFrame, gold: DataFrame, api: DataFrame) -> DataFrame:
-    """Report of every declared check over the staged and published views."""
+def catalog_checks(recipes: DataFrame, evidence: DataFrame, gold: DataFrame) -> DataFrame:
+    """Report of every declared check over the staged and published views.
+
+    The published rows are those of the catalog that pass the gate, so their checks are
+    conditions on the catalog, counted with its own.
+    """
     def is_null(c):
         return F.col(c).isNull()
 
     def outside(c):
         return (F.col(c) < 0) | (F.col(c) > 1)
 
-    full = F.col("recipe_status") == "full_recipe"
+    full, served = F.col("recipe_status") == "full_recipe", published()
     return check_report(
         [
             ("recipes.raw_id.not_null", recipes, is_null("raw_id")),
@@ -157,9 +164,9 @@ def catalog_checks(recipes: DataFrame, evidence: DataFrame, gold: DataFrame, api
             ("catalog.final_recipe_confidence.range", gold, outside("final_recipe_confidence")),
             ("catalog.full_recipe.ingredients", gold, full & (F.coalesce("ingredient_count", F.lit(0)) < 2)),
             ("catalog.full_recipe.steps", gold, full & (F.coalesce("step_count", F.lit(0)) == 0)),
-            ("api.id.not_null", api, is_null("id")),
-            ("api.url_tiktok.not_null", api, is_null("url_tiktok")),
-            ("api.recipe_quality_score.minimum", api, F.coalesce("recipe_quality_score", F.lit(0.0)) < 0.60),
+            ("api.id.not_null", gold, served & is_null("raw_id")),
+            ("api.url_tiktok.not_null", gold, served & is_null("url_tiktok")),
+            ("api.recipe_quality_score.minimum", gold, served & (F.coalesce("recipe_quality_score", F.lit(0.0)) < 0.60)),
         ],
-        [("recipes.raw_id.unique", unique(recipes, "raw_id")), ("api.id.unique", unique(api, "id"))],
+        [("recipes.raw_id.unique", recipes, "raw_id", None), ("api.id.unique", gold, "raw_id", served)],
     )

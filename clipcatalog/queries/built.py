@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clipcatalog.plans import views
 from clipcatalog.queries.registry import Inputs
 
 
+def tie() -> list:
+    """Order of answers of one item and time."""
+    return [F.col("record_hash").asc_nulls_last()]
+
+
 def recipes(t: Inputs) -> DataFrame:
-    return views.stage_recipes(t.fx("silver_fx"))
+    return views.stage_recipes(t.fx("silver_fx"), tie())
 
 
 def evidence(t: Inputs) -> DataFrame:

@@ -82,14 +82,14 @@ def _(t: Inputs):
 @query("skip_recent", f"""
 WITH plan AS (SELECT DISTINCT a.raw_id, m.method FROM attempts_fx a, (SELECT unnest({list(vocab.METHOD_ORDER)}) AS method) m),
 last AS (SELECT raw_id, method, status FROM attempts_fx WHERE created_at >= TIMESTAMP '2024-03-03 00:00:00' - INTERVAL 24 HOUR
-  QUALIFY row_number() OVER (PARTITION BY raw_id, method ORDER BY created_at DESC) = 1)
+  QUALIFY row_number() OVER (PARTITION BY raw_id, method ORDER BY created_at DESC, attempt_id DESC) = 1)
 SELECT p.raw_id, p.method FROM plan p LEFT JOIN last l ON l.raw_id = p.raw_id AND l.method = p.method AND l.status IN {d.in_list(vocab.RETRY_BLOCKING_STATUSES)}
 WHERE l.raw_id IS NULL""")
 def _(t: Inputs):
     attempts = t.fx("attempts_fx")
     methods = F.array(*[F.lit(m) for m in vocab.METHOD_ORDER])
     plan = attempts.select("raw_id").distinct().select("raw_id", F.explode(methods).alias("method"))
-    return E.skip_recent(plan, attempts, at("2024-03-03 00:00:00"), 24)
+    return E.skip_recent(plan, attempts, at("2024-03-03 00:00:00"), 24, [F.col("attempt_id").desc()])
 
 
 @query("method_plan", f"""
@@ -124,7 +124,7 @@ SELECT raw_id, array_to_string(ran5, ',') AS methods_run, round(b5, 9) AS best_s
 def _(t: Inputs):
     from clipcatalog.operators.ranking import latest_per_key
 
-    attempts = latest_per_key(t.fx("attempts_fx"), ["raw_id", "method"], "created_at")
+    attempts = latest_per_key(t.fx("attempts_fx"), ["raw_id", "method"], "created_at", [F.col("attempt_id").desc()])
     items = best_score_per_key(t.fx("evidence_fx")).select(
         "raw_id", F.greatest(F.lit(0.0), F.col("best_score") - 0.8).alias("best_score"),
         (F.col("raw_id") % 2 == 0).alias("has_link"))

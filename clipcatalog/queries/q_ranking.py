@@ -61,9 +61,10 @@ def _(t: Inputs):
 
 @query("latest_attempt_per_method", """
 SELECT raw_id, method, status, attempt_id FROM attempts_fx WHERE created_at >= TIMESTAMP '2024-03-03 00:00:00' - INTERVAL 36 HOUR
-QUALIFY row_number() OVER (PARTITION BY raw_id, method ORDER BY created_at DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY raw_id, method ORDER BY created_at DESC, attempt_id DESC) = 1""")
 def _(t: Inputs):
-    return W.latest_attempt_per_method(t.fx("attempts_fx"), at("2024-03-03 00:00:00"), 36).select(
+    newest = [F.col("attempt_id").desc()]
+    return W.latest_attempt_per_method(t.fx("attempts_fx"), at("2024-03-03 00:00:00"), 36, newest).select(
         "raw_id", "method", "status", "attempt_id")
 
 

@@ -135,9 +135,9 @@ SELECT DATE '2024-06-01' AS run_date, (SELECT count(*) FROM captions_fx) AS bron
 FROM gold_catalog""")
 def _(t: Inputs):
     gold = built.gold(t)
-    from clipcatalog.plans.views import api_catalog
+    from clipcatalog.operators.serving import published
 
-    row = A.quality_daily(t.fx("captions_fx"), gold, api_catalog(gold), built.evidence(t), F.lit("2024-06-01").cast("date"))
+    row = A.quality_daily(t.fx("captions_fx"), gold, published(), built.evidence(t), F.lit("2024-06-01").cast("date"))
     return _rounded(row, "recipe_rate", "full_recipe_rate", "partial_recipe_rate", "rejected_rate",
                     "avg_recipe_quality_score", "missing_final_json_rate", "usable_ocr_rate")
 

@@ -244,16 +244,10 @@ UNION ALL SELECT raw_id, 'published' FROM gold_catalog WHERE coalesce(recipe_qua
 def _(t: Inputs):
     gold = built.gold(t)
     full = F.col("recipe_status") == "full_recipe"
-    found = [
-        ("ingredients", K.conditional_minimum(gold, full, "ingredient_count", 2)),
-        ("steps", K.conditional_minimum(gold, full, "step_count", 1)),
-        ("published", K.conditional_minimum(gold, None, "recipe_quality_score", 0.60)),
-    ]
-    out = None
-    for rule, rows in found:
-        part = rows.select("raw_id", F.lit(rule).alias("rule"))
-        out = part if out is None else out.unionAll(part)
-    return out
+    return K.conditional_minimums(gold, [
+        ("ingredients", full, "ingredient_count", 2), ("steps", full, "step_count", 1),
+        ("published", None, "recipe_quality_score", 0.60),
+    ]).select("raw_id", "rule")
 
 
 _SOURCES = d.in_list(vocab.EVIDENCE_SOURCE_TYPES)
@@ -282,4 +276,4 @@ _REPORT = " UNION ALL ".join(
 @query("check_report", f"SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS result FROM ({_REPORT})")
 def _(t: Inputs):
     recipes, evidence, gold = built.recipes(t), built.evidence(t), built.gold(t)
-    return views.catalog_checks(recipes, evidence, gold, views.api_catalog(gold))
+    return views.catalog_checks(recipes, evidence, gold)

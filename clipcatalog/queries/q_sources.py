@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from clipcatalog import schemas
 from clipcatalog.operators.serving import enrich_with
 from clipcatalog.plans import views
+from clipcatalog.queries import built
 from clipcatalog.queries.q_joins import NOW_SQL, now
 from clipcatalog.queries.registry import Inputs, query
 from clipcatalog.sources import files as S
@@ -140,7 +141,7 @@ def _(t: Inputs):
 SELECT recipe_status, recipe_quality_grade, count(*) AS n, count(*) FILTER (raw_id IN (SELECT id FROM gold_api)) AS published
 FROM gold_catalog GROUP BY 1, 2""")
 def _(t: Inputs):
-    S.publish_views(t.spark, views.view_chain(t.fx("silver_fx"), t.fx("evidence_fx")))
+    S.publish_views(t.spark, views.view_chain(t.fx("silver_fx"), t.fx("evidence_fx"), built.tie()))
     return t.spark.sql("""
         SELECT c.recipe_status, c.recipe_quality_grade, count(*) AS n, count(a.id) AS published
         FROM gold_catalog c LEFT JOIN gold_api_catalog a ON a.id = c.raw_id GROUP BY 1, 2""")

@@ -18,7 +18,7 @@ SELECT * FROM (
     coalesce({d.staging_language('final_recipe_language', 'NULL')}, {d.staging_language('recipe_language')}) AS final_recipe_language,
     {d.clamp('processing_confidence')} AS processing_confidence, model_name, processed_at, record_hash
   FROM silver_fx
-  QUALIFY row_number() OVER (PARTITION BY raw_id ORDER BY processed_at DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY raw_id ORDER BY processed_at DESC, record_hash) = 1
 )
 """
 

@@ -9,7 +9,7 @@ from clipcatalog import vocab
 from clipcatalog.operators import joins as J
 from clipcatalog.operators import ordinals, ranking, recovery, rollups, serving
 from clipcatalog.operators import upsert as U
-from clipcatalog.operators.checks import check_report, unique
+from clipcatalog.operators.checks import check_report
 
 T0 = datetime(2024, 3, 1)
 
@@ -171,9 +171,10 @@ def test_forced_retry_skips_nothing(spark):
     log = spark.createDataFrame([(1, "ocr", "attempted_failed", T0), (1, "comments", "usable_recipe_text", T0)],
                                 "raw_id long, method string, status string, created_at timestamp_ntz")
     now = F.lit("2024-03-01 05:00:00").cast("timestamp_ntz")
-    assert rows(recovery.skip_recent(plan, log, now, 24)) == [(1, "comments")]
-    assert recovery.skip_recent(plan, log, now, 2).count() == 2
-    assert recovery.skip_recent(plan, log, now, 24, force=True).count() == 2
+    tie = [F.col("status")]
+    assert rows(recovery.skip_recent(plan, log, now, 24, tie)) == [(1, "comments")]
+    assert recovery.skip_recent(plan, log, now, 2, tie).count() == 2
+    assert recovery.skip_recent(plan, log, now, 24, tie, force=True).count() == 2
 
 
 def test_list_limits_and_empty_facets(spark):
@@ -228,8 +229,10 @@ def test_an_error_per_prompt_is_not_asked_again(spark):
 
 def test_report(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 2.0), (None, None)], "id long, s double")
-    report = check_report([("range", df, F.col("s") > 1), ("null", df, F.col("id").isNull())], [("unique", unique(df, "id"))])
-    assert rows(report) == [("null", 1, "fail"), ("range", 1, "fail"), ("unique", 1, "fail")]
+    report = check_report([("range", df, F.col("s") > 1), ("null", df, F.col("id").isNull())],
+                          [("unique", df, "id", None), ("some", df, "id", F.col("s") < 0)])
+    assert rows(report) == [
+        ("null", 1, "fail"), ("range", 1, "fail"), ("some", 0, "pass"), ("unique", 1, "fail")]
 
 
 def test_best_row_prefers_full_recipes(spark):

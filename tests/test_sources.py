@@ -177,12 +177,12 @@ def test_batch_run_end_to_end(spark):
     now = F.lit("2024-02-01").cast("timestamp_ntz")
     typed, bad = medallion.typed_rows(requests, answers, "model-x", now)
     assert [r["raw_id"] for r in bad.collect()] == [3]
-    gold = views.build_catalog(typed, ev)
+    gold = views.build_catalog(typed, ev, [F.col("record_hash")])
     api = views.api_catalog(gold).collect()
     assert [(r["id"], r["title"], r["language"], r["cuisine_style"], r["recipe_quality_grade"]) for r in api] == [
         (2, "Cake", "en", "French", "A")]
-    recipes, evidence = views.stage_recipes(typed), views.stage_evidence(ev)
-    report = views.catalog_checks(recipes, evidence, gold, views.api_catalog(gold))
+    recipes, evidence = views.stage_recipes(typed, [F.col("record_hash")]), views.stage_evidence(ev)
+    report = views.catalog_checks(recipes, evidence, gold)
     assert {r["result"] for r in report.collect()} == {"pass"}
 
     old = spark.createDataFrame([], typed.schema)
