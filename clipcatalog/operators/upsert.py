@@ -227,3 +227,9 @@ def creator_state_upsert(target: DataFrame, runs: DataFrame, now: Column, key: s
         "scanned", "accepted", "error",
     )
     return merge(target, source, [key])
+
+
+def upsert_creator_scores(target: DataFrame, scores: DataFrame, now: Column, key: str = "creator_username",
+                          time_column: str = "updated_at") -> DataFrame:
+    """Creator scores (see ``creator_quality``): all columns replaced, update time set on both branches."""
+    return merge(target, scores, [key], {time_column: always(now)}, {time_column: now})

@@ -251,3 +251,13 @@ def test_pieces_are_all_counted(spark):
     row = rollups.distinct_lines_concat(lines, "item", "ordinal", "text").first()
     assert row["pieces"] == 7000 and len(row["text"]) == vocab.PIECES_CHARS
     assert rollups.segments_concat(lines, "item", "ordinal", "text").first()["pieces"] == 7000
+
+
+def test_creator_scores_replace_known_creators_and_add_new_ones(spark):
+    schema = "creator_username string, videos_scanned long, status string, updated_at timestamp_ntz"
+    old = spark.createDataFrame([("a", 1, "active", T0), ("b", 2, "active", T0)], schema)
+    new = spark.createDataFrame([("b", 5, "high_yield"), ("c", 7, "active")], "creator_username string, videos_scanned long, status string")
+    now = F.lit("2024-03-02 00:00:00").cast("timestamp_ntz")
+    got = U.upsert_creator_scores(old, new, now).orderBy("creator_username").collect()
+    assert [(r[0], r[1], r[2], r[3] == T0) for r in got] == [
+        ("a", 1, "active", True), ("b", 5, "high_yield", False), ("c", 7, "active", False)]
