@@ -3,7 +3,8 @@
 Each permutation of the shingle hashes gives two signature values, its minimum and its
 maximum, so 60 permutations make 120 values.  Five minima (or five maxima) of different
 permutations form a band: 24 bands.  A pair at the threshold of 0.85 shares none of them
-with probability 8e-7.
+with probability 8e-7.  A lower threshold needs more bands: at 0.80, 36 of them (180 values)
+miss a pair with probability 6e-7.
 
 1. One pass over the texts: set size, set digest, bands.  Documents with equal sets become
    one class, named by the smallest id; only class names go on.
@@ -25,6 +26,7 @@ with a null id stand for themselves; repeated rows of one id are one document.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -36,16 +38,15 @@ from pyspark.sql import functions as F
 from clipcatalog.llm.common import components, groups, record_batch, settled, slices
 
 WIDTH, PERCENT, BANDS, ROWS = 5, 85, 24, 5
-PERMUTATIONS = BANDS * ROWS // 2
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
-@lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, ...]:
+@lru_cache(maxsize=4)
+def _tables(permutations: int = BANDS * ROWS // 2) -> tuple[np.ndarray, ...]:
     rng = np.random.default_rng(20_240_501)
     codes = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    factor = rng.integers(0, 1 << 31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    shift = rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
+    factor = rng.integers(0, 1 << 31, permutations, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    shift = rng.integers(0, 1 << 32, permutations, dtype=np.uint32)
     return codes, factor, shift
 
 
@@ -90,10 +91,10 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(word_hashes(text, width))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, n_bands: int = BANDS) -> np.ndarray:
     """Minima of all permutations, then their maxima."""
-    _, factor, shift = _tables()
-    low, high = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32), np.zeros(PERMUTATIONS, np.uint32)
+    _, factor, shift = _tables(n_bands * ROWS // 2)
+    low, high = np.full(len(factor), 0xFFFFFFFF, np.uint32), np.zeros(len(factor), np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), 4096):
         values = short[None, at : at + 4096] * factor[:, None] + shift[:, None]
@@ -103,8 +104,8 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def bands(values: np.ndarray) -> np.ndarray:
-    rows = values.reshape(BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    rows = values.reshape(-1, ROWS).astype(np.uint64)
+    key = np.arange(1, len(rows) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for k in range(ROWS):
         key = mixed(key ^ rows[:, k])
     return key.view(np.int64)
@@ -115,13 +116,13 @@ FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("dige
 FEATURES_DDL = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
 
 
-def shingled(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def shingled(docs: DataFrame, width: int = WIDTH, n_bands: int = BANDS) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out: dict[str, list] = {f.name: [] for f in FEATURES}
             for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = shingle_set(body, width)
-                values = signature(own) if len(own) else None
+                values = signature(own, n_bands) if len(own) else None
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None
                 for name, value in zip(out, (key, len(own), digest, None if values is None else bands(values),
                                              None if values is None else values.tobytes())):
@@ -186,6 +187,17 @@ CELLS_DDL = "bucket long, lo int, hi int, role int, doc_id long, body binary"
 CELL = ["bucket", "lo", "hi"]
 
 
+@lru_cache(maxsize=16)
+def least_equal(percent: int, values: int, miss: float = 1e-6) -> int:
+    """Equal values that a pair at ``percent`` has at least, but with probability ``miss``."""
+    p, below = percent / 100, 0.0
+    for equal in range(values + 1):
+        below += math.comb(values, equal) * p**equal * (1 - p) ** (values - equal)
+        if below > miss:
+            return equal
+    return values
+
+
 def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256) -> DataFrame:
     """Likely pairs of different groups in one bucket; ``members(bucket, rep, component, n_shingles, signature)``.
 
@@ -200,7 +212,6 @@ def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
     )
-    near = percent / 100 - 0.17  # five standard errors of an estimate from 120 values
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, lo, hi), rows in groups(batches, CELL):
@@ -213,7 +224,7 @@ def leftover_pairs(members: DataFrame, percent: int = PERCENT, block: int = 256)
                 if lo == hi:
                     at = at[rep[at] > rep[i]]
                 same = values[at] == values[i]
-                at = at[(same.mean(axis=1) >= near) & ~same[:, : band * ROWS].reshape(len(at), band, ROWS).all(axis=2).any(axis=1)]
+                at = at[(same.sum(axis=1) >= least_equal(percent, values.shape[1])) & ~same[:, : band * ROWS].reshape(len(at), band, ROWS).all(axis=2).any(axis=1)]
                 found += [(i, k) for k in at]
             if not found:
                 continue
@@ -272,10 +283,10 @@ def confirmed_cells(docs: DataFrame, cells: DataFrame, percent: int = PERCENT, w
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
-                    width: int = WIDTH) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row."""
+                    width: int = WIDTH, n_bands: int = BANDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row; an even number of bands."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    features = settled(shingled(rows, width), "shingles")
+    features = settled(shingled(rows, width, n_bands), "shingles")
     classes = settled(
         features.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
         .agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "signature"), "doc_id").alias("s")).select("digest", "s.*"),

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from clipcatalog.llm import minmax_dedup, packing_plan, secrets, tiling_decontam, toxic_neighbours
 from clipcatalog.llm.common import settled, table
 
+#: near-duplicates share 80 of 100 word shingles; at 0.80, 36 bands of 5 miss a pair with probability 6e-7
+NEAR_PERCENT, NEAR_BANDS = 80, 36
+
 #: no SQL: the classifier, the linked groups and the tokenizer cannot be expressed in it
 ORACLE_SQL = None
 
@@ -26,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
-    gone = minmax_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = minmax_dedup.near_duplicates(docs, percent=NEAR_PERCENT, n_bands=NEAR_BANDS).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -1,7 +1,10 @@
 """The pipeline against plain Python on the smallest tables."""
 
+import math
+import random
+
 import corpus_pipeline
-from clipcatalog.llm import secrets, toxic_neighbours
+from clipcatalog.llm import minmax_dedup, secrets, toxic_neighbours
 from clipcatalog.llm.common import settled, table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -54,3 +57,33 @@ def test_odd_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = settled(stage(spark, docs, FOLDER), name)
     assert docs.count() == 4
+
+
+def test_near_duplicate_stage_links_at_80(spark):
+    """A 200-word text with four scattered edited words (176 of 216 shingles) goes; brute force at 80."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for _ in range(12):
+        base = [word() for _ in range(200)]
+        for edits in ((), (30, 80, 120, 170), (20, 60, 100, 140, 180), (50, 90, 150)):
+            texts.append(" ".join(word() if k in edits else w for k, w in enumerate(base)))
+    sets = [shingles(t) for t in texts]
+    assert len(sets[0] & sets[1]) == 176 and len(sets[0] | sets[1]) == 216
+    up = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((up[a], up[b]))
+                up = [low if r == high else r for r in up]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert {r.doc_id for r in kept.collect()} == {i for i, r in enumerate(up) if i == r}
+
+
+def test_estimate_bound():
+    """The fewest equal values of a linked pair leave out at most one in a million, at any threshold."""
+    for percent, values in ((85, 120), (80, 120), (80, 180)):
+        least, p = minmax_dedup.least_equal(percent, values), percent / 100
+        tail = lambda n: sum(math.comb(values, k) * p**k * (1 - p) ** (values - k) for k in range(n))
+        assert tail(least) <= 1e-6 < tail(least + 1)
