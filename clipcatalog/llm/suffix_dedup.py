@@ -77,16 +77,16 @@ ROWS = pa.schema([(c, pa.int64()) for c in ("g", "e", "did", "x", "lo", "hi")])
 ROWS_DDL = "g long, e long, did long, x long, lo long, hi long"
 
 
-def sampled(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row per owning gram of ``texts(did, text)``."""
+def sampled(texts: DataFrame, length: int, gram: int, segment: int = SEGMENT) -> DataFrame:
+    """One row per owning gram of ``texts(did, text)`` and segment of a text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             parts = []
             for did, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data = np.frombuffer((body or "").encode("utf-8", "surrogatepass"), np.uint8)
-                for base in range(0, max(0, len(data) - length + 1), SEGMENT):
-                    x, lo, hi, g, e = owners(data[base : base + SEGMENT + length - 1], length, gram)
+                for base in range(0, max(0, len(data) - length + 1), segment):
+                    x, lo, hi, g, e = owners(data[base : base + segment + length - 1], length, gram)
                     parts.append((g.view(np.int64), e.view(np.int64), np.full(len(x), did), x + base, lo + base, hi + base))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], schema=ROWS)
@@ -168,7 +168,7 @@ def with_contexts(edges: DataFrame, texts: DataFrame, length: int) -> DataFrame:
 
     places = edges.groupBy("did").agg(F.collect_list(F.struct("g", "x", "lo", "hi")).alias("places"))  # as many as a text has
     return texts.join(places, "did").select("did", "text", "places").mapInArrow(
-        run, "g long, did long, x long, lo long, hi long, before binary, ahead binary").dropDuplicates(["did", "x"])
+        run, "g long, did long, x long, lo long, hi long, before binary, ahead binary").dropDuplicates(["did", "x", "lo"])  # a cut text gives two rows at one gram
 
 
 def edge_stretches(contexts: DataFrame, length: int, hot_rows: int) -> DataFrame:
@@ -256,12 +256,12 @@ def cut_out(texts: DataFrame, stretches: DataFrame, length: int, with_kept: bool
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   hot_rows: int = 2000, with_kept: bool = False) -> DataFrame:
+                   hot_rows: int = 2000, with_kept: bool = False, segment: int = SEGMENT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row; ``with_kept`` adds the kept bytes."""
     body = F.col(text).cast("string")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("did"))
     texts = rows.select("did", "text")
-    samples = settled(sampled(texts.where(F.octet_length("text") >= length), length, gram), "samples")
+    samples = settled(sampled(texts.where(F.octet_length("text") >= length), length, gram, segment), "samples")
     shared = settled(samples.join(repeated(samples, ["g"], "x"), "g").distinct(), "shared")
     whole = repeated(shared, ["g", "e"], "lo").withColumn("again", F.lit(True))
     marked = settled(shared.join(whole, ["g", "e"], "left"), "marked")

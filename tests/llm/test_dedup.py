@@ -169,3 +169,18 @@ def test_segments(monkeypatch, spark):
     assert (whole[1][1:] == whole[2][:-1] + 1).all() and whole[2][-1] == 900 - 64
     for x, lo, hi in zip(*whole[:3]):
         assert hi <= x <= lo + 44
+
+
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_repeats_across_segments(spark, hot):
+    """Two occurrences each, that start, end or lie at the cuts of a long text."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    texts = []
+    for k in range(20):
+        shared = text(64 + 3 * k)
+        texts += [text(90 + 7 * k) + shared + text(150), text(13 * k) + shared + text(rng.randrange(300))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs, length=64, gram=20, hot_rows=hot, segment=100)
+    by = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()}
+    assert [by[i] for i in range(len(texts))] == brute_repeats(texts, 64)
