@@ -44,10 +44,16 @@ BASE = (
     Rule("access", rb"AKIA[A-Z0-9]+", 18),
     Rule("hex", rb"[0-9a-f]{16,}", 16),
 )
+# A private key: marker, headers of an encrypted key, body, END line.  Every start of what follows the marker is a
+# match, as the ends of one match must lie side by side; a cut-off key goes on into the key behind it.
+_BODY = rb"[A-Za-z0-9+/=\\\x20\t\r\n]*"
+_MORE_OF_KEY = rb"-+((END[A-Z\x20]*-+)?BEGIN[A-Z\x20]*-+|(Type|Info):\x20?[A-Za-z0-9,-]*)" + _BODY
+_BEGINS = rb"B(E(G(I(N[A-Z\x20]*-*)?)?)?)?"
+_LAST = rb"(-+(" + _BEGINS + rb"|E(N(D[A-Z\x20]*(-+(" + _BEGINS + rb")?)?)?)?|T(y(pe?)?)?|I(n(fo?)?)?)?)?"
 MORE = (
     Rule("hub", rb"gh[opsu]_[A-Za-z0-9]+", 40),
     Rule("jwt", rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
-    Rule("pem", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20),
+    Rule("pem", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----" + _BODY + rb"(" + _MORE_OF_KEY + rb")*" + _LAST, 20),
 )
 RULES = BASE + MORE
 

@@ -73,3 +73,24 @@ def test_frame(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
     clean = secrets.mask_secrets(docs)
     assert clean.columns == docs.columns and clean.count() == docs.count()
+
+
+BODY = "MIIEpAIBAAKCAQEA7x+/Qz\nabcDEF0123\n9w=="
+PEM = "-----BEGIN RSA PRIVATE KEY-----\n" + BODY + "\n-----END RSA PRIVATE KEY-----"
+
+
+@pytest.mark.parametrize("text, want", [
+    (f"é {PEM}, and more", "é [secret], and more"),
+    (f"a: {PEM}\nthen words", "a: [secret]\nthen words"),
+    (f"a: {PEM}\n{PEM}. b", "a: [secret]\n[secret]. b"),
+    (f"a: {PEM}{PEM}. b", "a: [secret]. b"),
+    (f"a: {PEM[:50]}", "a: [secret]"),
+    (f"a: {PEM[:-20]}", "a: [secret]"),
+    (f"a: {PEM[:50]}\n--{PEM}. b", "a: [secret]. b"),
+    ('{"key": "%s"}' % PEM.replace("\n", "\\n"), '{"key": "[secret]"}'),
+    ("a: " + PEM.replace("\n", " ") + ". b", "a: [secret]. b"),
+    ("a: " + PEM.replace("KEY-----\nM", "KEY-----\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A1B\r\n\r\nM") + ". b", "a: [secret]. b"),
+    ("a: -----BEGIN PUBLIC KEY-----\nabc\n-----END PUBLIC KEY-----", "a: -----BEGIN PUBLIC KEY-----\nabc\n-----END PUBLIC KEY-----"),
+])
+def test_whole_private_keys(text, want):
+    assert secrets.masked(text) == want
