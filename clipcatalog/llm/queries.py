@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clipcatalog.llm import (
-    fingerprints, language_id, minmax_dedup, packing_plan, quality_bayes, ranked_search, secrets, suffix_dedup,
+    collocations, fingerprints, language_id, minmax_dedup, packing_plan, quality_bayes, ranked_search, secrets, suffix_dedup,
     tiling_decontam, token_output, toxic_neighbours, vector_dedup,
 )
 from clipcatalog.llm.common import table
@@ -55,6 +55,10 @@ def op10_quality_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_bayes.document_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
@@ -66,7 +70,10 @@ def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minmax_dedup, op2_secrets, op3_token_output, op4_suffix_dedup, op5_vector_dedup, op6_tiling_decontam,
-        op7_language_id, op8_toxic_neighbours, op9_packing_plan, op10_quality_bayes, op12_fingerprints, op13_ranked_search,
+        op7_language_id, op8_toxic_neighbours, op9_packing_plan, op10_quality_bayes, op11_collocations,
+        op12_fingerprints, op13_ranked_search,
     )
 }
-ORACLES: dict[str, str] = {"op13_ranked_search": ranked_search.ORACLE}
+ORACLES: dict[str, str] = {
+    "op11_collocations": collocations.ORACLE, "op13_ranked_search": ranked_search.ORACLE,
+}
