@@ -106,8 +106,8 @@ class Parser:
         return [t * w / size for t, w in zip(total, self.weight)]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        found = words(text)
-        if not found or not self.languages:
+        found = words(text)  # number signs such as a half count as word characters, but not as letters
+        if not self.languages or not any(c.isalpha() for word in found for c in word):
             return UNKNOWN, 0.0
         bits = self.entropies(found)
         best = min(range(len(bits)), key=lambda k: (bits[k], self.languages[k]))

@@ -314,6 +314,7 @@ def search(index: DataFrame, queries: DataFrame, item_id: str = "item_id", text:
     weights = settled(
         asked.select("part", "term").distinct().join(spread.select("term", weight.alias("weight")), "term"), "weights")
     lists = named.join(weights, "term").select(*CELL, "term", "df", "weight", "heads", "pairs", "body")
+    # a cell is a shard's work for a part of the queries; its bytes do not show it, so tasks follow the number of cells
     met = settled(named.select("shard", "term").join(weights, "term").select(*CELL).distinct(), "met")
     places = index.where(F.col("term") == DOCUMENTS).join(met, "shard").select(
         *CELL, "term", "df", F.lit(0).cast("long").alias("weight"), "heads", "pairs", "body")
@@ -352,7 +353,7 @@ def search(index: DataFrame, queries: DataFrame, item_id: str = "item_id", text:
 
     hits = (
         lists.union(places).union(asks)
-        .repartition(*CELL).sortWithinPartitions(*CELL, "term").mapInArrow(run, HITS_DDL)
+        .repartition(min(10_000, met.count() // 2 + 1), *CELL).sortWithinPartitions(*CELL, "term").mapInArrow(run, HITS_DDL)
     )
     ranked = hits.withColumn("rank", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id")))).where(F.col("rank") <= k)

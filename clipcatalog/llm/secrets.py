@@ -7,6 +7,8 @@ once: at each byte the state names the rules of which a match may end here.  A r
 ends is one match; its start comes from a small automaton for the reversed pattern of the
 rule, run backwards from the first end.  Matches of one rule are leftmost and do not
 overlap; matches that fail the length test are dropped but still use up their bytes.
+Behind the marker of a private key, ``key_end`` follows the key's lines; prose stays.
+The automata are made once, on the driver, and go to the tasks as arrays.
 
 Patterns match bytes, letters of ``(?i)`` patterns in either ASCII case.  Spans count
 code points, end exclusive.  Null texts are empty, texts of any length are scanned whole.
@@ -18,8 +20,6 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from re import _constants as sre
-from re import _parser
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +31,16 @@ from clipcatalog.llm.common import record_batch, slices
 
 @dataclass(frozen=True)
 class Rule:
-    """A match needs ``least`` bytes, in all or (``value``) from the first possible end on."""
+    """A match needs ``least`` bytes, in all or (``value``) from the first possible end on.
+
+    ``key`` marks the rule whose matches go on with the lines of a private key.
+    """
 
     kind: str
     pattern: bytes
     least: int
     value: bool = False
+    key: bool = False
 
 
 BASE = (
@@ -44,22 +48,114 @@ BASE = (
     Rule("access", rb"AKIA[A-Z0-9]+", 18),
     Rule("hex", rb"[0-9a-f]{16,}", 16),
 )
-# A private key: marker, headers of an encrypted key, body, END line.  Every start of what follows the marker is a
-# match, as the ends of one match must lie side by side; a cut-off key goes on into the key behind it.
-_BODY = rb"[A-Za-z0-9+/=\\\x20\t\r\n]*"
-_MORE_OF_KEY = rb"-+((END[A-Z\x20]*-+)?BEGIN[A-Z\x20]*-+|(Type|Info):\x20?[A-Za-z0-9,-]*)" + _BODY
-_BEGINS = rb"B(E(G(I(N[A-Z\x20]*-*)?)?)?)?"
-_LAST = rb"(-+(" + _BEGINS + rb"|E(N(D[A-Z\x20]*(-+(" + _BEGINS + rb")?)?)?)?|T(y(pe?)?)?|I(n(fo?)?)?)?)?"
 MORE = (
     Rule("hub", rb"gh[opsu]_[A-Za-z0-9]+", 40),
     Rule("jwt", rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 40),
-    Rule("pem", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----" + _BODY + rb"(" + _MORE_OF_KEY + rb")*" + _LAST, 20),
+    Rule("pem", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----", 20, key=True),
 )
 RULES = BASE + MORE
 
 
+KEY_PART = re.compile(
+    rb"(?:[\x20\t\r\n]|\\[nrt])*+"  # also line ends written out
+    rb"(?:(?P<head>(?:Proc-Type|DEK-Info):\x20?[A-Za-z0-9,-]*+)|(?P<body>[A-Za-z0-9+/=]++)"
+    rb"|(?P<mark>-++(?:(?P<turn>END|BEGIN)[A-Z\x20]*+-*+)?))")
+
+
+def key_end(data: bytes, at: int, least: int = 16) -> int:
+    """End of the key whose marker ends at ``at``: headers, base64 lines and the END line.
+
+    A run of ``least`` base64 signs belongs to the key while no shorter one came before it;
+    shorter ones do when the END line, or the next key, follows.
+    """
+    end, short = at, False
+    while part := KEY_PART.match(data, at):
+        at = part.end()
+        if part["body"]:
+            short = short or len(part["body"]) < least
+        elif part["mark"] and not part["turn"]:
+            return at if at == len(data) and not short else end  # the text ends within a line of dashes
+        if part["turn"] or not short:
+            end, short = at, False
+        if part["turn"] == b"END":
+            break
+    return end
+
+
+ANY_BYTE = frozenset(range(256))
+CLASS_PART = re.compile(rb"\\x([0-9A-Fa-f]{2})|\\([^a-zA-Z0-9])|([^\\\]])", re.S)
+
+
+def parsed(pattern: bytes) -> list:
+    """The parts of a pattern: byte sets, ``("or", branches)`` and ``("many", low, high, part)``.
+
+    Signs, ``\\xNN``, classes, groups, ``|`` and ``* + ? {n} {n,}``; ``(?i)`` at the start.
+    """
+    fold = pattern.startswith(b"(?i)")
+    at = 4 if fold else 0
+
+    def one(byte: re.Match) -> int:
+        return int(byte[1], 16) if byte[1] else (byte[2] or byte[3])[0]
+
+    def byte_set(found: set[int]) -> frozenset[int]:
+        if fold:
+            found |= {b ^ 32 for b in found if chr(b).isascii() and chr(b).isalpha()}
+        return frozenset(found)
+
+    def part():
+        nonlocal at
+        sign = pattern[at : at + 1]
+        if sign == b"(":
+            at += 1
+            inner = branches()
+            at += 1
+            return inner
+        if sign == b"[":
+            at += 1
+            negative, found = pattern[at : at + 1] == b"^", set()
+            at += negative
+            while pattern[at : at + 1] != b"]":
+                low = CLASS_PART.match(pattern, at)
+                at = low.end()
+                high = low
+                if pattern[at : at + 1] == b"-" and pattern[at + 1 : at + 2] != b"]":
+                    high = CLASS_PART.match(pattern, at + 1)
+                    at = high.end()
+                found.update(range(one(low), one(high) + 1))
+            at += 1
+            found = byte_set(found)
+            return ANY_BYTE - found if negative else found
+        byte = CLASS_PART.match(pattern, at)
+        if not byte or sign in b"*+?{^$.":
+            raise ValueError(f"pattern part {pattern[at:]!r} is not supported")
+        at = byte.end()
+        return byte_set({one(byte)})
+
+    def branches():
+        nonlocal at
+        out = [[]]
+        while at < len(pattern) and pattern[at : at + 1] != b")":
+            if pattern[at : at + 1] == b"|":
+                at += 1
+                out.append([])
+                continue
+            own = part()
+            times = re.compile(rb"([*+?])|\{(\d+)(,?)\}").match(pattern, at)
+            if times:
+                at = times.end()
+                low = {b"*": 0, b"+": 1, b"?": 0}[times[1]] if times[1] else int(times[2])
+                own = "many", low, 1 if times[1] == b"?" else low if times[2] and not times[3] else None, own
+            out[-1].append(own)
+        return "or", out
+
+    tree = branches()
+    if at < len(pattern):
+        raise ValueError(f"pattern part {pattern[at:]!r} is not supported")
+    return [tree]
+
+
 class _Nfa:
-    """Empty moves and byte-set moves; built from the parse tree of a pattern."""
+    """Empty moves and byte-set moves; built from the parts of a pattern."""
 
     def __init__(self) -> None:
         self.empty: list[list[int]] = []
@@ -70,36 +166,32 @@ class _Nfa:
         self.moves.append([])
         return len(self.empty) - 1
 
-    def add(self, tree, at: int, back: bool, fold: bool) -> int:
-        """Append the parts of ``tree`` behind node ``at`` (in reverse when ``back``); returns the last node."""
-        for op, arg in reversed(list(tree)) if back else list(tree):
-            if op is sre.SUBPATTERN:
-                at = self.add(arg[3], at, back, fold)
-            elif op is sre.BRANCH:
+    def add(self, parts: list, at: int, back: bool) -> int:
+        """Append ``parts`` behind node ``at`` (in reverse when ``back``); returns the last node."""
+        for own in reversed(parts) if back else parts:
+            if isinstance(own, frozenset):
+                to = self.node()
+                self.moves[at].append((own, to))
+                at = to
+            elif own[0] == "or":
                 end = self.node()
-                for branch in arg[1]:
-                    self.empty[self.add(branch, at, back, fold)].append(end)
+                for branch in own[1]:
+                    self.empty[self.add(branch, at, back)].append(end)
                 at = end
-            elif op is sre.MAX_REPEAT:
-                low, high, inner = arg
+            else:
+                _, low, high, inner = own
                 for _ in range(low):
-                    at = self.add(inner, at, back, fold)
-                if high is sre.MAXREPEAT:
-                    loop = self.node()
-                    self.empty[at].append(loop)
-                    self.empty[self.add(inner, loop, back, fold)].append(loop)
+                    at = self.add([inner], at, back)
+                loop = self.node()  # any number more, or one more where ``high`` says so
+                self.empty[at].append(loop)
+                if high is None:
+                    self.empty[self.add([inner], loop, back)].append(loop)
                     at = loop
-                else:
+                elif high > low:
                     end = self.node()
-                    for _ in range(high - low):
-                        self.empty[at].append(end)
-                        at = self.add(inner, at, back, fold)
-                    self.empty[at].append(end)
+                    self.empty[loop].append(end)
+                    self.empty[self.add([inner], loop, back)].append(end)
                     at = end
-            else:
-                to = self.node()
-                self.moves[at].append((_bytes(op, arg, fold), to))
-                at = to
         return at
 
     def closure(self, nodes: Iterable[int]) -> frozenset[int]:
@@ -111,31 +203,6 @@ class _Nfa:
         return frozenset(seen)
 
 
-def _bytes(op, arg, fold: bool) -> frozenset[int]:
-    if op is sre.LITERAL:
-        found = {arg}
-    elif op is sre.NOT_LITERAL:
-        found = set(range(256)) - {arg}
-    elif op is sre.ANY:
-        found = set(range(256)) - {10}
-    elif op is sre.IN:
-        found = set()
-        for kind, value in arg:
-            if kind is sre.LITERAL:
-                found.add(value)
-            elif kind is sre.RANGE:
-                found.update(range(value[0], value[1] + 1))
-            elif kind is not sre.NEGATE:
-                raise ValueError(f"pattern part {kind} is not supported")
-        if arg[0][0] is sre.NEGATE:
-            found = set(range(256)) - found
-    else:
-        raise ValueError(f"pattern part {op} is not supported")
-    if fold:
-        found |= {b ^ 32 for b in found if chr(b).isascii() and chr(b).isalpha()}
-    return frozenset(found)
-
-
 def automaton(patterns: list[bytes], back: bool = False, anywhere: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Minimal automaton: ``moves[state, byte]`` and ``ends[state]``, bit k set where pattern k may end.
 
@@ -144,11 +211,9 @@ def automaton(patterns: list[bytes], back: bool = False, anywhere: bool = True)
     nfa, accept = _Nfa(), {}
     start = nfa.node()
     for k, pattern in enumerate(patterns):
-        tree = _parser.parse(pattern)
-        fold = bool(tree.state.flags & re.IGNORECASE)
         first = nfa.node()
         nfa.empty[start].append(first)
-        accept[nfa.add(tree, first, back, fold)] = 1 << k
+        accept[nfa.add(parsed(pattern), first, back)] = 1 << k
     sets = {s for moves in nfa.moves for s, _ in moves}
     signature: dict[tuple, int] = {}
     group = [signature.setdefault(tuple(b in s for s in sets), len(signature)) for b in range(256)]
@@ -181,12 +246,16 @@ def automaton(patterns: list[bytes], back: bool = False, anywhere: bool = True)
     return renumber[moves[order]][:, group].astype(np.int32), ends[order]
 
 
+@lru_cache(maxsize=4)
+def automata(rules: tuple[Rule, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The automaton of all rules, then the reversed one of each."""
+    return [automaton([r.pattern for r in rules]), *(automaton([r.pattern], back=True, anywhere=False) for r in rules)]
+
+
 class Scanner:
-    def __init__(self, rules: tuple[Rule, ...] = RULES):
+    def __init__(self, rules: tuple[Rule, ...] = RULES, arrays: list[tuple[np.ndarray, np.ndarray]] | None = None):
         self.rules = rules
-        moves, ends = automaton([r.pattern for r in rules])
-        self.states = _linked(moves, ends)
-        self.back = [_linked(*automaton([r.pattern], back=True, anywhere=False)) for r in rules]
+        self.states, *self.back = (_linked(*own) for own in arrays or automata(rules))
 
     def ends(self, data: bytes) -> dict[int, list[list[int]]]:
         """Per rule the runs ``[first, last]`` of bytes at which a match may end."""
@@ -227,7 +296,7 @@ class Scanner:
                     continue
                 cursor = last + 1
                 if last + 1 - (first if rule.value else begin) >= rule.least:
-                    out.append((begin, k, last + 1))
+                    out.append((begin, k, key_end(data, last + 1) if rule.key else last + 1))
         return sorted(out)
 
 
@@ -245,17 +314,22 @@ def _linked(moves: np.ndarray, ends: np.ndarray) -> list:
     return rows[0]
 
 
-@lru_cache(maxsize=4)
-def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    return Scanner(rules)
+_scanners: dict[tuple[Rule, ...], Scanner] = {}
+
+
+def scanner(rules: tuple[Rule, ...], arrays=None) -> Scanner:
+    """The scanner of this process; a task hands it the broadcast ``arrays``."""
+    if rules not in _scanners:
+        _scanners[rules] = Scanner(rules, arrays.value if arrays else None)
+    return _scanners[rules]
 
 
-def text_spans(text: str | None, rules: tuple[Rule, ...] = RULES) -> list[tuple[str, int, int]]:
+def text_spans(text: str | None, rules: tuple[Rule, ...] = RULES, arrays=None) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then in order of the rules."""
     if not text:
         return []
     data = text.encode("utf-8", "surrogatepass")
-    found = scanner(rules).spans(data)
+    found = scanner(rules, arrays).spans(data)
     if found and len(data) != len(text):
         heads = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
         point = lambda at: int(heads[at - 1]) if at else 0
@@ -269,11 +343,12 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end"
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id, found array<struct<kind, start, end>>``, a row per input row."""
     schema = pa.schema([("doc_id", pa.int64()), ("found", SPANS)])
+    arrays = docs.sparkSession.sparkContext.broadcast(automata(rules))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = [
-                [{"kind": k, "start": a, "end": b} for k, a, b in text_spans(body, rules)]
+                [{"kind": k, "start": a, "end": b} for k, a, b in text_spans(body, rules, arrays)]
                 for body in batch.column(1).to_pylist()
             ]
             yield record_batch(schema, doc_id=batch.column(0).to_pylist(), found=found)
@@ -282,12 +357,12 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
     return rows.mapInArrow(run, "doc_id long, found array<struct<kind:string,start:long,end:long>>")
 
 
-def masked(text: str | None, rules: tuple[Rule, ...] = RULES) -> str | None:
+def masked(text: str | None, rules: tuple[Rule, ...] = RULES, arrays=None) -> str | None:
     """The text with every found span (overlapping ones as one) replaced by ``[secret]``."""
     if not text:
         return text
     out, at = [], 0
-    for _, start, end in text_spans(text, rules):
+    for _, start, end in text_spans(text, rules, arrays):
         if start >= at:
             out += [text[at:start], "[secret]"]
         at = max(at, end)
@@ -296,10 +371,11 @@ def masked(text: str | None, rules: tuple[Rule, ...] = RULES) -> str | None:
 
 def mask_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The same rows and columns with the secrets of ``text`` masked."""
+    arrays = docs.sparkSession.sparkContext.broadcast(automata(rules))
 
     @F.pandas_udf("string")
     def mask(texts):
-        return texts.map(lambda body: masked(body, rules) if isinstance(body, str) else None)
+        return texts.map(lambda body: masked(body, rules, arrays) if isinstance(body, str) else None)
 
     return docs.withColumn(text, mask(F.col(text).cast("string")))
 

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k"
 END = 2
+#: the rank form recurses once per blank of a run and fails on some hundred thousand
+LONG_BLANKS = 10_000
+_LONG_BLANKS = re.compile(r"\s{%d}" % LONG_BLANKS)
 
 
 class Encoder:
     """Ids of a vocabulary that comes both as ``.json`` and as ``.tiktoken`` ranks.
 
     The rank form gives the same ids several times faster.  Texts that hold the string of
-    a special token go to the ``.json`` form, which reads it as that token.
+    a special token go to the ``.json`` form, which reads it as that token, and so do texts
+    with a very long run of blanks.
     """
 
     def __init__(self, vocabulary: str):
@@ -32,7 +37,7 @@ class Encoder:
         self._special = [t.content for t in self._full.get_added_tokens_decoder().values()]
 
     def encode(self, text: str) -> list[int]:
-        if any(s in text for s in self._special):
+        if any(s in text for s in self._special) or (len(text) >= LONG_BLANKS and _LONG_BLANKS.search(text)):
             return self._full.encode(text, add_special_tokens=False).ids
         return self._ranks.encode_ordinary(text)
 

@@ -38,12 +38,12 @@ def test_suffix_automaton():
 
 def test_languages(spark):
     rows = [(i, prose(TONGUES[k], 60), k, "s") for i, k in enumerate(list(TONGUES) * 40)]
-    rows += [(200, None, "aa", "s"), (201, "", "aa", "s"), (202, "123 !!", None, "s"), (203, "ka " * 50_000, None, "s"), (None, "x", None, "s")]
+    rows += [(200, None, "aa", "s"), (201, "", "aa", "s"), (202, "123 !!", None, "s"), (203, "ka " * 50_000, None, "s"), (None, "x", None, "s"), (204, "½ ² ①", None, "s")]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, lang string, source string, score double")
     got = {r.doc_id: r for r in language_id.held_out_languages(docs).collect()}
     held = [r for r in rows[:120] if got[r[0]].held_out]
     assert len(held) > 20 and all(got[r[0]].lang_pred == r[2] for r in held)
-    assert [got[i].lang_pred for i in (200, 201, 202, 203)] == ["und", "und", "und", "aa"]
+    assert [got[i].lang_pred for i in (200, 201, 202, 203, 204)] == ["und", "und", "und", "aa", "und"]
     assert all(0 <= r.score <= 1 for r in got.values())
     assert {r.lang_pred for r in language_id.held_out_languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language_id.held_out_languages(docs.limit(0)).count() == 0

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
@@ -36,6 +37,17 @@ def test_ids_random(text):
     assert tokens.encoder().document(text).tolist() == reference(text)
 
 
+@pytest.mark.parametrize("text", [" ", "\n", "^", "\u00a0", "ab", "7", " \n"])
+def test_ids_of_very_long_runs(text):
+    """A million equal signs neither end the worker nor change the ids."""
+    body = "a" + text * (1_000_000 // len(text)) + " b"
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(body, add_special_tokens=False).ids
+    assert tokens.encoder().encode(body) == want
+    for size in (tokens.LONG_BLANKS - 1, tokens.LONG_BLANKS, tokens.LONG_BLANKS + 1):
+        body = "a" + text * (size // len(text)) + "b"
+        assert tokens.encoder().encode(body) == tokens.encoder()._full.encode(body, add_special_tokens=False).ids
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
 def test_plan(counts):

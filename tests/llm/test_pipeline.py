@@ -30,7 +30,7 @@ def test_stages(spark):
     up = {i: i for i in sets}
     for a in sorted(sets):
         for b in sorted(sets):
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= corpus_pipeline.NEAR_PERCENT * len(sets[a] | sets[b]):
                 low, high = sorted((up[a], up[b]))
                 up = {i: low if r == high else r for i, r in up.items()}
     assert set(rows[2]) == {i for i, r in up.items() if i == r}
@@ -52,11 +52,22 @@ def test_stages(spark):
     assert max(fill.values()) <= 1024
 
 
-def test_odd_rows(spark):
-    docs = spark.createDataFrame([(None, "x"), (1, None), (2, ""), (3, "y z")], "doc_id long, text string")
+def through(spark, rows):
+    """All stages over rows with extra columns whose names the operators use themselves."""
+    docs = spark.createDataFrame([(*r, "k", 1, 2.5) for r in rows], "doc_id long, text string, kept string, n_shingles int, bins double")
+    columns = docs.columns
     for name, stage in corpus_pipeline.STAGES:
+        assert docs.columns == columns
         docs = settled(stage(spark, docs, FOLDER), name)
-    assert docs.count() == 4
+    return docs.collect()
+
+
+def test_odd_rows(spark):
+    rows = [(None, "x"), (1, None), (2, ""), (3, "y z"), (4, "y z"), (4, "y z"), (5, "word " * 30_000), (6, " " * 1_000_000)]
+    pieces = through(spark, rows)
+    assert {p.doc_id for p in pieces} == {None, 1, 2, 3, 5, 6}
+    assert sum(p.length for p in pieces if p.doc_id == 6) == 1_000_001
+    assert through(spark, []) == []
 
 
 def test_near_duplicate_stage_links_at_80(spark):
@@ -73,7 +84,7 @@ def test_near_duplicate_stage_links_at_80(spark):
     up = list(range(len(texts)))
     for a in range(len(texts)):
         for b in range(a + 1, len(texts)):
-            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            if 100 * len(sets[a] & sets[b]) >= corpus_pipeline.NEAR_PERCENT * len(sets[a] | sets[b]):
                 low, high = sorted((up[a], up[b]))
                 up = [low if r == high else r for r in up]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -58,6 +58,21 @@ def test_minimal():
     assert len(moves) == 4 and ends.sum() == 1  # start, after a letter, after b, dead
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab-\\x41 ", max_size=12))
+def test_patterns_against_re(text):
+    """The own pattern parts mean what they mean to ``re``, forwards and backwards."""
+    for pattern in (rb"(?i)(a|bA?)+[^\x20b-]{2}", rb"a{2,}[-x]?\\*", rb"(ab?|\x62)*-", rb"[A-Z0-9]+(\x20|)a"):
+        moves, ends = secrets.automaton([pattern], anywhere=False)
+        state, data = 0, text.encode()
+        for byte in data:
+            state = moves[state, byte]
+        assert bool(ends[state]) == bool(re.fullmatch(pattern, data))
+    for bad in (rb"a*?", rb"^a", rb"a{1,2}", rb"a)", rb"\d"):
+        with pytest.raises(ValueError):
+            secrets.parsed(bad)
+
+
 def test_frame(spark):
     texts = [*CASES, "0123456789abcdef " * 20_000]
     docs = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)] + [(None, "x", "k"), (3, "x", "k"), (3, "x", "k")],
@@ -90,6 +105,10 @@ PEM = "-----BEGIN RSA PRIVATE KEY-----\n" + BODY + "\n-----END RSA PRIVATE KEY--
     ('{"key": "%s"}' % PEM.replace("\n", "\\n"), '{"key": "[secret]"}'),
     ("a: " + PEM.replace("\n", " ") + ". b", "a: [secret]. b"),
     ("a: " + PEM.replace("KEY-----\nM", "KEY-----\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A1B\r\n\r\nM") + ". b", "a: [secret]. b"),
+    ("see -----BEGIN PRIVATE KEY-----\n\nOur recipe of the day\nTake two eggs, beat", "see [secret]\n\nOur recipe of the day\nTake two eggs, beat"),
+    ("a: -----BEGIN PRIVATE KEY-----\n" + "M" * 64 + "\nThanks for reading", "a: [secret]\nThanks for reading"),
+    ("a: -----BEGIN PRIVATE KEY-----" + "M" * 64, "a: [secret]"),
+    ("a: -----BEGIN PRIVATE KEY----- --- b", "a: [secret] --- b"),
     ("a: -----BEGIN PUBLIC KEY-----\nabc\n-----END PUBLIC KEY-----", "a: -----BEGIN PUBLIC KEY-----\nabc\n-----END PUBLIC KEY-----"),
 ])
 def test_whole_private_keys(text, want):
