@@ -147,7 +147,33 @@ def _(t: Inputs):
         F.count(F.lit(1)).alias("n"), F.count_distinct("record_hash").alias("items"), F.max("event_id").alias("last_event"))
 
 
-@query("stream_first_seen", f"WITH {_EVENTS} SELECT content_id, count(DISTINCT 1) AS times FROM v GROUP BY content_id")
+_TIMED = T.StructType([*_ORDERED, T.StructField("ts", T.TimestampNTZType())])
+
+
+@query("stream_first_seen", f"""
+WITH {_EVENTS} SELECT content_id, count(DISTINCT CAST(ts AS DATE)) AS times, min(CAST(ts AS DATE)) AS first_day
+FROM v JOIN events e USING (event_id) GROUP BY content_id""")
+def _(t: Inputs):
+    """Each item once a day: state of some days, events in the order of time, then old ones again, which come too late."""
+    path, out = work_path(t.spark, "events"), work_path(t.spark, "first-seen")
+    rows = t.fx("event_json_fx").select("event_id", "value", "ts")
+    # 8 slices of the given month are under four days each
+    EV.replay_events(rows, path, "ts", 8)
+    early = rows.agg((F.min("ts") + F.expr("INTERVAL 3 DAYS")).alias("until"))
+    EV.write_events(rows.join(early, F.col("ts") < F.col("until")).drop("until"), {"path": path})
+    raw = t.spark.readStream.option("maxFilesPerTrigger", 2).text(path)
+    row = F.from_json("value", _TIMED)
+    valid, _bad = EV.normalize_event(
+        EV.parse_events(raw.select(row["event_id"].alias("event_id"), row["ts"].cast("timestamp").alias("ts"), row["value"].alias("value"))),
+        keep=["event_id", "ts"])
+    daily = valid.select("content_id", "ts", F.to_date("ts").alias("day"))
+    first = SK.stream_first_seen(daily, ["content_id", "day"], ("ts", "5 days"))
+    SK.bounded_drain(first, lambda batch, _: batch.write.mode("append").parquet(out), work_path(t.spark, "cp"))
+    return t.spark.read.parquet(out).groupBy("content_id").agg(
+        F.count(F.lit(1)).alias("times"), F.min("day").alias("first_day"))
+
+
+@query("stream_first_seen_ever", f"WITH {_EVENTS} SELECT content_id, count(DISTINCT 1) AS times FROM v GROUP BY content_id")
 def _(t: Inputs):
     path, out = work_path(t.spark, "events"), work_path(t.spark, "first-seen")
     _publish(t, path, with_order=True)

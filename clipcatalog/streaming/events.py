@@ -57,6 +57,19 @@ def write_events(df: DataFrame, sink: dict, columns: list[str] | None = None, ke
     return None
 
 
+def replay_events(df: DataFrame, path: str, time: str, slices: int, columns: list[str] | None = None) -> None:
+    """A table as files of JSON events that a file stream reads in the order of time.
+
+    The time span is cut into equal ``slices``, written one after the other.  Within a slice rows
+    are in no order, so a watermark on them needs a delay of at least a slice.  Rows without a time come first.
+    """
+    first, last = df.agg(F.min(F.unix_micros(F.col(time).cast("timestamp"))), F.max(F.unix_micros(F.col(time).cast("timestamp")))).first()
+    width = ((last or 0) - (first or 0)) // slices + 1
+    at = F.coalesce(F.floor((F.unix_micros(F.col(time).cast("timestamp")) - (first or 0)) / width), F.lit(0))
+    for k in range(slices):
+        write_events(df.filter(at == k), {"path": path}, columns)
+
+
 def normalize_event(df: DataFrame, event: str = "event", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows) of parsed events.
 

@@ -12,11 +12,12 @@ from clipcatalog.sources.keyed_table import KeyedTable
 from clipcatalog.sources.session import landed
 
 
-def bounded_drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Consume what is there in micro-batches, then stop."""
+def bounded_drain(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> list:
+    """Consume what is there in micro-batches, then stop; returns the progress of the latest batches."""
     query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()
     query.awaitTermination()
+    return query.recentProgress
 
 
 def stream_upsert(stream: DataFrame, table: KeyedTable, checkpoint: str, keys: list[str], order: list[Column],
@@ -44,8 +45,13 @@ def stream_upsert(stream: DataFrame, table: KeyedTable, checkpoint: str, keys: l
 def stream_first_seen(stream: DataFrame, keys: list[str], watermark: tuple[str, str] | None = None) -> DataFrame:
     """Each item once only.
 
-    With ``watermark=(time column, delay)`` the state forgets old keys and stays
-    bounded; without it every key is remembered for ever.
+    With ``watermark=(time column, delay)`` a key is forgotten once the watermark, the
+    latest time seen less ``delay``, has passed the key's own time by ``delay``, so the state
+    holds the keys of about two delays, however long the stream runs.  Repeats within ``delay`` of an
+    item's first row are left out for sure; with a period (such as the day) among the keys
+    and a delay of at least that period, an item comes once per period.  Late rows, older
+    than the watermark, are left out and counted in the progress (``numRowsDroppedByWatermark``).
+    Without a watermark every key is remembered for ever.
     """
     if watermark is None:
         return stream.dropDuplicates(keys)

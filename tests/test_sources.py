@@ -151,6 +151,23 @@ def test_first_seen_with_watermark(spark, folder):
     assert sorted(r["k"] for r in spark.read.parquet(f"{folder}/out").collect()) == ["a", "b"]
 
 
+def test_first_seen_forgets_old_keys(spark, folder):
+    """A month in daily files: state stays at some days, repeats are left out, late rows are counted and left out."""
+    days = spark.range(30 * 200).selectExpr(
+        "cast(id div 200 as int) as d", "concat('k', id % 100) as k").selectExpr(
+        "k", "d", "timestamp'2024-01-01 12:00:00' + make_dt_interval(d, cast(substr(k, 2) as int) % 10) as ts")
+    EV.replay_events(days, f"{folder}/in", "ts", 30, ["k", "ts"])
+    EV.write_events(days.filter("d < 5"), {"path": f"{folder}/in"}, ["k", "ts"])
+    stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 2).json(f"{folder}/in")
+    first = SK.stream_first_seen(stream.withColumn("day", F.to_date("ts")), ["k", "day"], ("ts", "2 days"))
+    progress = SK.bounded_drain(first, lambda batch, _: batch.write.mode("append").parquet(f"{folder}/out"), f"{folder}/cp")
+    got = spark.read.parquet(f"{folder}/out")
+    assert got.count() == got.select("k", "day").distinct().count() == 30 * 100
+    states = [p["stateOperators"][0] for p in progress if p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in states) <= 10 * 100 and states[-1]["numRowsTotal"] <= 5 * 100
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) >= 5 * 100
+
+
 def test_batch_run_end_to_end(spark):
     """Landing rows to the catalog, with answers that come from the prompts."""
     landing = spark.createDataFrame([
