@@ -157,5 +157,70 @@ def normalize_answers(df: DataFrame, response: str = "response", keep: list[str]
     )
 
 
+#: members of a recipe object that are lists
+LIST_MEMBERS = ("ingredients", "steps", "notes", "missing_info")
+
+
+def json_items(body, member: str) -> Column:
+    """Items of a list member of a JSON object, each as JSON; any other value but null is one item."""
+    value = F.try_element_at(F.from_json(as_col(body), FIELD_MAP), F.lit(member))
+    kind = F.schema_of_variant(value)
+    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>")).when(kind != "VOID", F.array(value))
+    return F.transform(F.coalesce(items, F.array().cast("array<variant>")), lambda v: F.to_json(v))
+
+
+def with_json_items(body, lists: dict[str, Column]) -> Column:
+    """The JSON object with some list members replaced, in its order; absent ones stay absent."""
+    members = F.from_json(as_col(body), FIELD_MAP)
+
+    def replaced(name: Column, value: Column) -> Column:
+        out = value
+        for member, items in lists.items():
+            made = F.try_parse_json(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
+            out = F.when(name == member, made).otherwise(out)
+        return out
+
+    return F.to_json(F.transform_values(members, replaced))
+
+
+def merged_lists(rows: DataFrame, key: str, lists: list[str], order: list[str]) -> DataFrame:
+    """Per key the union of list columns over its rows, in the order of the rows.
+
+    A value that an earlier row holds is left out; a row's own repeats stay.  Values are brought
+    together by key and value, combined before the shuffle, so no task gathers a
+    key's rows; only the union itself is one array.
+    """
+    def placed(name: str) -> Column:
+        own = F.transform(F.coalesce(F.col(name), F.array().cast("array<string>")), lambda v, i: F.struct(v.alias("value"), i.alias("at")))
+        return F.transform(own, lambda x: F.struct(F.lit(name).alias("list"), x["value"].alias("value"), x["at"].alias("at")))
+
+    items = rows.select(key, F.struct(*order).alias("_row"), F.explode(F.concat(*map(placed, lists))).alias("_x")).select(
+        key, "_row", "_x.list", "_x.value", "_x.at")
+    own = items.groupBy(key, "list", "value", "_row").agg(F.sort_array(F.collect_list("at")).alias("at"))  # one row's repeats
+    first = own.groupBy(key, "list", "value").agg(F.min(F.struct("_row", "at")).alias("_first"))
+    found = first.select(key, "list", "value", "_first._row", F.explode("_first.at").alias("at"))
+    union = lambda name: F.sort_array(F.collect_list(F.when(F.col("list") == name, F.struct("_row", "at", "value"))))
+    return found.groupBy(key).agg(*[F.transform(union(n), lambda x: x["value"]).alias(n) for n in lists])
+
+
+def merged_answers(rows: DataFrame, key: str, order: list[Column], best: list[str], filled: dict[str, list],
+                   any_of: list[str], most: list[str], lists: list[str], part: str = "part_no") -> DataFrame:
+    """One row per key out of its answers to several parts.
+
+    ``best`` columns come from the first row of ``order``; ``filled`` ones from the first row where
+    they hold none of the given empty values; ``any_of`` are true when any row says so, ``most`` are maxima,
+    ``lists`` unions in the order of the parts.  ``parts`` counts the parts.
+    """
+    ranked = rows.withColumn("_rank", F.struct(*[c.alias(f"r{i}") for i, c in enumerate(order)]))
+    chosen = ranked.groupBy(key).agg(
+        F.min_by(F.struct(*best), "_rank").alias("_best"),
+        *[F.coalesce(F.min_by(c, F.when(F.col(c).isNotNull() & ~F.col(c).isin(empty), F.col("_rank"))), F.min_by(c, "_rank")).alias(c)
+          for c, empty in filled.items()],
+        *[F.max(F.coalesce(c, F.lit(False))).alias(c) for c in any_of], *[F.max(c).alias(c) for c in most],
+    ).select(key, "_best.*", *filled, *any_of, *most)
+    unions = merged_lists(ranked.withColumn("_part", F.array(F.col(part).cast("string"))), key, [*lists, "_part"], [part, "_rank"])
+    return chosen.join(unions, key).withColumn("parts", F.size("_part")).drop("_part")
+
+
 def _recipe_only(text: Column) -> Column:
     return F.when(F.col("is_recipe"), F.coalesce(text, F.lit(""))).otherwise(F.lit(""))

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipcatalog import schemas
 from clipcatalog.functions.columns import batch_hash, blank_to_null, build_payload, content_key, default_blank, path_id, try_boolean
 from clipcatalog.functions.structured import processing_confidence, prompt_payload
 from clipcatalog.functions.text import evidence_score
-from clipcatalog.operators.answers import normalize_answers
+from clipcatalog.operators.answers import LIST_MEMBERS, json_items, merged_answers, normalize_answers, with_json_items
 from clipcatalog.operators.joins import incremental_candidates, with_evidence_text
 from clipcatalog.operators.ranking import best_source_row
 from clipcatalog.operators.rollups import evidence_concat, evidence_stats
@@ -61,8 +61,8 @@ def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) ->
 
 
 def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new",
-                        instruction: str = "") -> DataFrame:
-    """Rows to enrich with their request body; one row per evidence part.
+                        instruction: str = "", part_rows: int = 1000) -> DataFrame:
+    """Rows to enrich with their request body; one row per evidence part of ``part_rows`` texts.
 
     ``instruction`` is what the caller's model is told to do.
     """
@@ -70,7 +70,7 @@ def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFram
               ("original_description", "recovered_text")}
     source = bronze.withColumns({"original": member["original_description"], "recovered_text": member["recovered_text"]})
     chosen = incremental_candidates(source, silver, evidence_stats(evidence), mode)
-    full = with_evidence_text(chosen, evidence_concat(evidence))
+    full = with_evidence_text(chosen, evidence_concat(evidence, part_rows=part_rows))
     return full.select(
         "raw_id", "part_no", "title", "url", "record_hash", "original_description",
         F.coalesce("all_recovered_text", F.lit("")).alias("recovered_text"),
@@ -85,10 +85,12 @@ def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column)
     """Answers to (typed rows, quarantined rows).
 
     An answer belongs to the evidence part (``raw_id``, ``part_no``) it was asked for; without
-    a ``part_no`` it belongs to part 0.  An item gets one typed row: of its usable answers one
-    that calls it a recipe, then the most confident, then the best evidence, then the first
-    part.  ``evidence_parts`` counts the parts with a usable answer; the texts of all parts
-    stay in the evidence table.
+    a ``part_no`` it belongs to part 0.  An item gets one typed row out of all its usable answers.
+    They rank: those that call it a recipe, then the most confident, then the best evidence, then
+    the first part.  Judgements and texts of the item come from the first; its title, text,
+    language, cuisine and main ingredient from the first that has one.  Ingredients, steps, notes and missing
+    points are the union over all parts, in their order, values of earlier parts left out.  A list or
+    instructions in any part count.  ``evidence_parts`` counts the parts with a usable answer.
     """
     if "part_no" not in answers.columns:
         answers = answers.withColumn("part_no", F.lit(0))
@@ -96,32 +98,47 @@ def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column)
     bad = typed.filter(F.col("error").isNotNull()).select("raw_id", "part_no", "response", "error")
     good = typed.filter(F.col("error").isNull())
     joined = good.join(requests, ["raw_id", "part_no"])
+    members = [f"json_{m}" for m in LIST_MEMBERS]
     rows = joined.select(
         "raw_id", "part_no", F.col("title").alias("original_title"), "original_description", "recovered_text", "evidence_text",
         F.coalesce(F.nullif("evidence_quality_score", F.lit(0.0)), evidence_score("evidence_text")).alias("evidence_quality_score"),
-        F.col("url").alias("url_tiktok"), F.col("lang").alias("recipe_language"), F.col("is_veg").alias("is_vegetarian"),
-        F.col("cuisine").alias("cuisine_style"), F.col("ingredient").alias("main_ingredient"),
-        F.to_json("ingredients").alias("ingredients"), "is_recipe", "recipe_status", "has_ingredient_list",
-        "has_instructions", "caption_completeness_score", "rejection_reason", "final_recipe_title",
-        "final_recipe_text", "final_recipe_json", F.to_json("missing_recipe_info").alias("missing_recipe_info"),
-        "final_recipe_confidence", "final_recipe_language",
+        F.col("url").alias("url_tiktok"), "lang", F.col("is_veg").alias("is_vegetarian"), "cuisine", "ingredient", "ingredients",
+        "is_recipe", "recipe_status", "has_ingredient_list", "has_instructions", "caption_completeness_score", "rejection_reason",
+        "final_recipe_title", "final_recipe_text", "final_recipe_json", "missing_recipe_info", "final_recipe_confidence",
+        "final_recipe_language", F.col("response").alias("llm_raw_response"), "record_hash",
+        *[json_items("final_recipe_json", m).alias(f"json_{m}") for m in LIST_MEMBERS],
+    )
+    order = [
+        ~F.coalesce("is_recipe", F.lit(False)), -F.coalesce("final_recipe_confidence", F.lit(-1.0)),
+        -F.coalesce("evidence_quality_score", F.lit(-1.0)), F.col("part_no"), F.col("llm_raw_response"),
+    ]
+    merged = merged_answers(
+        rows, "raw_id", order,
+        best=["original_title", "original_description", "recovered_text", "evidence_text", "evidence_quality_score", "url_tiktok",
+              "is_vegetarian", "is_recipe", "recipe_status", "rejection_reason", "final_recipe_json", "final_recipe_confidence",
+              "llm_raw_response", "record_hash"],
+        filled={"lang": ["", "unknown"], "cuisine": ["", "unknown"], "ingredient": ["", "unknown"], "final_recipe_title": [""],
+                "final_recipe_text": [""], "final_recipe_language": ["", "unknown"]},
+        any_of=["has_ingredient_list", "has_instructions"], most=["caption_completeness_score"],
+        lists=["ingredients", "missing_recipe_info", *members],
+    )
+    typed_ = merged.select(
+        "raw_id", "original_title", "original_description", "recovered_text", "evidence_text", "evidence_quality_score", "url_tiktok",
+        F.col("lang").alias("recipe_language"), "is_vegetarian", F.col("cuisine").alias("cuisine_style"),
+        F.col("ingredient").alias("main_ingredient"), F.to_json("ingredients").alias("ingredients"), "is_recipe", "recipe_status",
+        "has_ingredient_list", "has_instructions", "caption_completeness_score", "rejection_reason", "final_recipe_title",
+        "final_recipe_text", with_json_items("final_recipe_json", {m: F.col(f"json_{m}") for m in LIST_MEMBERS}).alias("final_recipe_json"),
+        F.to_json("missing_recipe_info").alias("missing_recipe_info"), "final_recipe_confidence", "final_recipe_language",
         processing_confidence("lang", "is_recipe", "has_ingredient_list", "has_instructions",
                               "caption_completeness_score").alias("processing_confidence"),
-        F.lit(model).alias("model_name"), F.col("response").alias("llm_raw_response"), "record_hash",
-        now.alias("processed_at"),
-    )
-    item = Window.partitionBy("raw_id")  # as many rows as the item has parts
-    order = item.orderBy(
-        F.col("is_recipe").desc_nulls_last(), F.col("final_recipe_confidence").desc_nulls_last(),
-        F.col("evidence_quality_score").desc_nulls_last(), "part_no", "llm_raw_response",
+        F.lit(model).alias("model_name"), "llm_raw_response", "record_hash", now.alias("processed_at"),
+        F.col("parts").alias("evidence_parts"),
     )
-    best = rows.withColumns({"evidence_parts": F.size(F.collect_set("part_no").over(item)),
-                             "_rank": F.row_number().over(order)})
-    return best.filter("_rank = 1").drop("_rank", "part_no"), bad
+    return typed_, bad
 
 
 def run_batch(landing: DataFrame, silver: DataFrame, evidence: DataFrame, ask: Callable[[DataFrame], DataFrame],
-              model: str, now: Column, instruction: str = "") -> dict[str, DataFrame]:
+              model: str, now: Column, instruction: str = "", part_rows: int = 1000) -> dict[str, DataFrame]:
     """Landing rows to published tables in one go.
 
     ``silver`` holds the typed rows of earlier runs, ``ask`` turns requests into answers
@@ -130,7 +147,7 @@ def run_batch(landing: DataFrame, silver: DataFrame, evidence: DataFrame, ask: C
     the frames; ``typed`` is what this run adds to ``silver``.
     """
     bronze = landing_rows(landing, keep_id=True).withColumn("ingested_at", now)
-    requests = enrichment_requests(bronze, silver, evidence, instruction=instruction)
+    requests = enrichment_requests(bronze, silver, evidence, instruction=instruction, part_rows=part_rows)
     typed, bad = typed_rows(requests, ask(requests), model, now)
     known = typed.unionByName(silver, allowMissingColumns=True)
     recipes, parts = views.stage_recipes(known, answer_tie()), views.stage_evidence(evidence)

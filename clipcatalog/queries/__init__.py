@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from clipcatalog.queries.registry import ORACLES, QUERIES
 from clipcatalog.queries import (  # noqa: F401  (importing registers the queries)
-    q_columns, q_evidence, q_joins, q_ranking, q_rollups, q_serving, q_sources, q_streams, q_structured, q_text,
+    q_batch, q_columns, q_evidence, q_joins, q_ranking, q_rollups, q_serving, q_sources, q_streams, q_structured, q_text,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

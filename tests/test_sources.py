@@ -1,3 +1,4 @@
+import json
 import tempfile
 
 import pytest
@@ -213,20 +214,34 @@ def test_batch_run_end_to_end(spark):
     assert again["api"].collect() == first["api"].collect()
 
 
-def test_typed_rows_use_every_part(spark):
-    """An item whose evidence fills several requests gets one row, from its best answer."""
+def test_typed_rows_merge_every_part(spark):
+    """An item whose evidence fills several requests gets one row that holds what every part's answer says."""
     requests = spark.createDataFrame(
-        [(1, p, "T", "u", "h", "o", "r", f"evidence {p}", 0.0) for p in range(3)],
+        [(i, p, "T", "u", "h", "o", "r", f"evidence {p}", 0.0) for i in (1, 2) for p in range(4)],
         "raw_id long, part_no int, title string, url string, record_hash string, original_description string, "
         "recovered_text string, evidence_text string, evidence_quality_score double")
-    answer = '{"lang":"en","ingredients":["egg"],"caption_completeness_score":%s,"recipe_title":"Cake"%s}'
-    recipe = ',"recipe_text":"Mix. Bake.","final_recipe_json":{"steps":["mix"]}'
+    parts = [
+        '{"lang":"unknown","ingredients":["egg","flour"],"caption_completeness_score":0.1,"cuisine":"french","missing_info":["oven"],'
+        '"is_recipe":true,"final_recipe_json":{"steps":["mix","mix",{"do":"rest"}],"notes":"cold"}}',
+        '{"lang":"en","ingredients":["Flour","milk"],"caption_completeness_score":0.9,"recipe_title":"Cake","is_recipe":true,'
+        '"has_instructions":false,"recipe_text":"Mix. Bake.","final_recipe_json":{"steps":["bake","mix"]},"missing_info":["time","oven"]}',
+        "sorry",
+        '{"lang":"en","ingredients":["salt"],"caption_completeness_score":0.8,"recipe_title":"Pie","is_recipe":false,'
+        '"has_instructions":true,"final_recipe_json":{"steps":["serve",{"do":"rest"}]}}',
+    ]
     answers = spark.createDataFrame(
-        [(1, 0, "sorry"), (1, 1, answer % (0.1, "")), (1, 2, answer % (0.9, recipe))], "raw_id long, part_no int, response string")
-    typed, bad = medallion.typed_rows(requests, answers, "m", F.lit("2024-02-01").cast("timestamp_ntz"))
-    rows = typed.collect()
-    assert len(rows) == 1 and rows[0]["evidence_text"] == "evidence 2" and rows[0]["evidence_parts"] == 2
-    assert [(r["raw_id"], r["part_no"]) for r in bad.collect()] == [(1, 0)]
+        [(1, p, r) for p, r in enumerate(parts)] + [(2, 0, parts[1])], "raw_id long, part_no int, response string")
+    typed, bad = medallion.typed_rows(requests, answers.repartition(3), "m", F.lit("2024-02-01").cast("timestamp_ntz"))
+    rows = {r["raw_id"]: r.asDict() for r in typed.collect()}
+    assert [(r["raw_id"], r["part_no"]) for r in bad.collect()] == [(1, 2)] and set(rows) == {1, 2}
+    one, two = rows[1], rows[2]
+    assert json.loads(one["ingredients"]) == ["egg", "flour", "milk", "salt"] and json.loads(one["missing_recipe_info"]) == ["oven", "time"]
+    made = json.loads(one["final_recipe_json"])
+    assert made["steps"] == ["mix", "mix", {"do": "rest"}, "bake", "serve"] and made["notes"] == ["cold"] and made["title"] == "Cake"
+    assert (one["evidence_text"], one["evidence_parts"], one["recipe_language"], one["cuisine_style"]) == ("evidence 1", 3, "en", "french")
+    assert one["has_instructions"] and one["caption_completeness_score"] == 0.9 and one["final_recipe_title"] == "Cake"
+    assert json.loads(two["ingredients"]) == ["flour", "milk"] and json.loads(two["final_recipe_json"])["steps"] == ["bake", "mix"]
+    assert (two["evidence_parts"], two["cuisine_style"], two["has_instructions"]) == (1, "unknown", False)
 
 
 def test_layouts():
