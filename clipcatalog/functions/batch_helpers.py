@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipcatalog import vocab
+from clipcatalog.functions import columns
 
 CAPTION_KEYS = tuple(vocab.CAPTION_JSON_KEYS)
 ID_KEYS = tuple(vocab.CAPTION_ID_KEYS)
@@ -44,6 +45,132 @@ def html_batch(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
+# --- features of a text, from one read of it ------------------------------------
+
+VOCABULARIES = {"recipe": vocab.RECIPE_WORDS, "ingredient": vocab.INGREDIENT_WORDS, "verb": vocab.COOKING_VERBS, "signal": vocab.RECIPE_SIGNALS}
+
+
+def term_matcher(vocabularies: dict[str, list[str]]) -> tuple[re.Pattern, dict[str, int]]:
+    """One pattern for all terms, and per term the bits of the vocabularies it satisfies.
+
+    A match consumes a first character and looks ahead for the longest term that begins
+    there; the terms that begin there as well are its prefixes, so their bits are its own.
+    Every position is looked at, so overlapping terms are all seen.
+    """
+    terms = sorted({t for own in vocabularies.values() for t in own})
+    bits = {t: sum(1 << k for k, own in enumerate(vocabularies.values()) if any(t.startswith(o) for o in own)) for t in terms}
+
+    def branch(tails: list[str]) -> str:
+        heads: dict[str, list[str]] = {}
+        for tail in tails:
+            if tail:
+                heads.setdefault(tail[0], []).append(tail[1:])
+        parts = "|".join(re.escape(h) + branch(own) for h, own in heads.items())
+        return f"(?:{parts})?" if parts and "" in tails else f"(?:{parts})" if parts else ""
+
+    heads = dict.fromkeys(t[0] for t in terms)
+    pattern = "|".join(f"{re.escape(h)}(?=({branch([t[1:] for t in terms if t[0] == h])}))" for h in heads)
+    return re.compile(pattern), bits
+
+
+TERMS, TERM_BITS = term_matcher(VOCABULARIES)
+ALL_BITS = (1 << len(VOCABULARIES)) - 1
+DIGITS = re.compile(r"\d+")
+AMOUNT = re.compile(
+    rf"\b(?:\d+(?:[.,]\d+)?\s?(?:{vocab.QUANTITY_UNITS})\b|\d+\s?/\s?\d+\b|\d{{2,3}}\s?(?:{vocab.TEMPERATURE_UNITS})\b)")
+NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
+NO_LETTER = bytes(b for b in range(256) if not (b < 128 and chr(b).isalpha()))
+
+
+def term_bits(low: str) -> int:
+    found = 0
+    for match in TERMS.finditer(low):
+        found |= TERM_BITS[low[match.start() : match.end(match.lastindex)]]
+        if found == ALL_BITS:
+            break
+    return found
+
+
+def letters(text: str) -> int:
+    count = len(text.encode("utf-8", "surrogatepass").translate(None, NO_LETTER))
+    if not text.isascii():
+        count += sum(map(str.isalpha, "".join(NOT_ASCII.findall(text))))
+    return count
+
+
+def has_amount(low: str) -> bool:
+    return any(AMOUNT.match(low, run.start()) for run in DIGITS.finditer(low))
+
+
+FEATURES = T.StructType([
+    T.StructField("letters", T.DoubleType()), T.StructField("amount", T.BooleanType()),
+    *[T.StructField(name, T.BooleanType()) for name in VOCABULARIES],
+])
+
+
+@F.pandas_udf(FEATURES)
+def features_batch(values: pd.Series) -> pd.DataFrame:
+    rows = []
+    for text in values:
+        text = text or ""
+        low = text.lower()
+        bits = term_bits(low)
+        rows.append((letters(text) / len(text) if text else 0.0, has_amount(low), *(bool(bits >> k & 1) for k in range(len(VOCABULARIES)))))
+    return pd.DataFrame(rows, columns=FEATURES.names)
+
+
+# --- page text -------------------------------------------------------------------
+
+WHITE_SPACE = columns.WHITESPACE
+BLOCK_TAG = re.compile(r"<(?:(/)(?:p|li|h1|h2|h3)|(?:p|li|h1|h2|h3)(?:\s[^>]*)?)>", re.I | re.A)
+ANY_TAG = re.compile(r"<[^>]+>")
+DROPPED = {tag: (re.compile(f"<{tag}", re.I | re.A), re.compile(f"</{tag}>", re.I | re.A)) for tag in ("script", "style", "noscript", "svg")}
+
+
+def without_elements(body: str, tag: str) -> str:
+    """Each element of a kind, from its tag to the next end tag, as a blank; one without an end stays."""
+    opens, closes = DROPPED[tag]
+    out, at = [], 0
+    while start := opens.search(body, at):
+        inner = body.find(">", start.end())
+        end = closes.search(body, inner + 1) if inner >= 0 else None
+        if end is None:
+            break
+        out += [body[at : start.start()], " "]
+        at = end.end()
+    return "".join(out) + body[at:] if at else body
+
+
+def block_texts(page: str) -> list[str]:
+    """Text of each stretch between block tags that lies inside a block; one walk over the tags."""
+    body = page.replace("\x01", "")
+    for tag in DROPPED:
+        body = without_elements(body, tag)
+    depth, at, out = 0, 0, []
+
+    def stretch(piece: str) -> None:
+        last = piece.rfind(">") + 1  # signs behind the last tag end can be no tag
+        text = (ANY_TAG.sub(" ", piece[:last]) + piece[last:]).strip(WHITE_SPACE)
+        if text:
+            out.append(text)
+
+    for tag in BLOCK_TAG.finditer(body, 0, body.rfind(">") + 1):
+        if depth:
+            stretch(body[at : tag.start()])
+        depth, at = max(0, depth - 1 if tag[1] else depth + 1), tag.end()
+    if depth:
+        stretch(body[at:])
+    return out
+
+
+@F.pandas_udf(T.StringType())
+def page_batch(pages: pd.Series) -> pd.Series:
+    def read(page: str) -> str:
+        return ESCAPED.sub(decode_escape, html.unescape("\n".join(block_texts(page))))
+
+    return pages.map(read, na_action="ignore")
+
+
 def walk(node, wanted: str, out: list[str]) -> None:
     """Collect caption-like texts of a JSON document at any depth."""
     pending = [node]

@@ -7,9 +7,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clipcatalog.functions.batch_helpers import walk_batch
+from clipcatalog.functions.batch_helpers import page_batch, walk_batch
 from clipcatalog.functions.columns import as_col, empty_to_null, is_json, strip
-from clipcatalog.functions.text import decode_html, normalize_caption, normalize_captions
+from clipcatalog.functions.text import cleaned_caption, decode_html, normalize_caption, normalize_captions
 
 # --- fixed values: the four attribute orders of a description tag -------------
 META_PATTERNS = [
@@ -33,21 +33,9 @@ def page_text(c) -> Column:
 
     Blocks nest: the rest of an outer block after an inner one is kept, as a line of
     its own.  A block without an end tag reaches to the end of what encloses it.
+    The tags are walked once, in an Arrow batch, in time that grows with the page.
     """
-    body = drop_blocks(F.coalesce(as_col(c), F.lit("")), "script", "style", "noscript", "svg")
-    marked = F.regexp_replace(F.replace(body, F.lit("\x01"), F.lit("")), r"(?is)<(?:p|li|h1|h2|h3)(?:\s[^>]*)?>", "\x01+")
-    pieces = F.split(F.regexp_replace(marked, r"(?is)</(?:p|li|h1|h2|h3)>", "\x01-"), "\x01")
-    state = "struct<depth:int,parts:array<string>>"
-
-    def step(seen, piece):
-        depth = F.greatest(F.lit(0), seen["depth"] + F.when(piece.startswith("+"), 1).otherwise(-1))
-        part = strip(F.regexp_replace(F.substring(piece, 2, 2**31 - 1), "<[^>]+>", " "))
-        kept = F.when((depth > 0) & (part != ""), F.array(part)).otherwise(F.array().cast("array<string>"))
-        return F.struct(depth.alias("depth"), F.concat(seen["parts"], kept).alias("parts")).cast(state)
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("parts")).cast(state)
-    parts = F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), start, step, lambda seen: seen["parts"])
-    return normalize_caption(F.array_join(parts, "\n"))
+    return cleaned_caption(page_batch(F.coalesce(as_col(c), F.lit(""))))
 
 
 def meta_descriptions(c) -> Column:

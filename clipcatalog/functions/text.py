@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
-from clipcatalog.functions.batch_helpers import html_batch, nfkc_batch, unescape_batch
+from clipcatalog.functions.batch_helpers import features_batch, html_batch, nfkc_batch, unescape_batch
 from clipcatalog.functions.columns import as_col, empty_to_null, literal_array, lookup, strip
 
 # Characters that compatibility normalisation provably leaves alone in any
@@ -45,7 +45,7 @@ def nfkc(c) -> Column:
 
 def normalize_evidence_text(c) -> Column:
     text = nfkc(F.coalesce(as_col(c), F.lit("")))
-    return _collapse(F.translate(text, "\r", "\n"))
+    return _collapse(F.replace(text, F.lit("\r"), F.lit("\n")))
 
 
 def decode_entities(c) -> Column:
@@ -60,12 +60,16 @@ def decode_html(c) -> Column:
     return _only_where(text.rlike(r"&[#A-Za-z]"), text, html_batch)
 
 
-def normalize_caption(c) -> Column:
-    text = decode_entities(F.coalesce(as_col(c), F.lit("")))
+def cleaned_caption(text: Column) -> Column:
+    """Written-out line ends and slashes, and blanks, of a text whose entities are decoded."""
     text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\/"), F.lit("/"))
     return _collapse(text)
 
 
+def normalize_caption(c) -> Column:
+    return cleaned_caption(decode_entities(F.coalesce(as_col(c), F.lit(""))))
+
+
 def normalize_captions(array) -> Column:
     """``normalize_caption`` on each element, with one pass through the helper.
 
@@ -149,20 +153,29 @@ def clean_hashtags(array) -> Column:
     return F.transform(given, lambda x: F.ltrim(F.lower(strip(x)), F.lit("#")))
 
 
+def text_features(c) -> Column:
+    """``letters`` (share), ``amount`` and one flag per vocabulary (``recipe, ingredient, verb, signal``) as a struct.
+
+    They come from one read of the text, in an Arrow batch.  Calls on the same column in one
+    projection are one call.
+    """
+    return features_batch(as_col(c))
+
+
 def evidence_score(c, hashtags=None, creator=None, normalized: bool = False) -> Column:
     """How useful a text is as recipe evidence, in [0, 1] with 4 decimals."""
     text = as_col(c) if normalized else normalize_evidence_text(c)
-    lower = F.lower(text)
+    found = text_features(text)
 
     def points(condition, value):
         return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
 
     score = (
         F.when(F.length(text) >= 120, F.lit(0.15)).when(F.length(text) >= 60, F.lit(0.08)).otherwise(F.lit(0.0))
-        + points(contains_any(lower, vocab.RECIPE_WORDS), 0.20)
-        + points(contains_any(lower, vocab.INGREDIENT_WORDS), 0.15)
-        + points(has_quantity(lower), 0.20)
-        + points(contains_any(lower, vocab.COOKING_VERBS), 0.15)
+        + points(found["recipe"], 0.20)
+        + points(found["ingredient"], 0.15)
+        + points(found["amount"], 0.20)
+        + points(found["verb"], 0.15)
     )
     if hashtags is not None:
         score = score + points(
@@ -172,7 +185,7 @@ def evidence_score(c, hashtags=None, creator=None, normalized: bool = False) ->
     if creator is not None:
         name = F.ltrim(F.lower(strip(F.coalesce(as_col(creator), F.lit("")))), F.lit("@"))
         score = score + points(name.isin(vocab.KNOWN_CREATORS), 0.05)
-    score = F.when(alpha_ratio(text) < 0.35, score * F.lit(0.45)).otherwise(score)
+    score = F.when(found["letters"] < 0.35, score * F.lit(0.45)).otherwise(score)
     return F.round(F.greatest(F.lit(0.0), F.least(score, F.lit(1.0))), 4)
 
 
@@ -187,7 +200,7 @@ def evidence_class(score) -> Column:
 def usable_ocr(c, normalized: bool = False, score=None) -> Column:
     text = as_col(c) if normalized else normalize_evidence_text(c)
     points = evidence_score(text, normalized=True) if score is None else as_col(score)
-    return (F.length(text) >= 40) & (alpha_ratio(text) >= 0.45) & (points >= 0.30)
+    return (F.length(text) >= 40) & (text_features(text)["letters"] >= 0.45) & (points >= 0.30)
 
 
 def infer_language(c, rules=None, default: str = "en") -> Column:
@@ -217,10 +230,8 @@ def script_profile(*cols) -> Column:
 
 def recipe_signal(c) -> Column:
     """A signal word anywhere, or a hashtag that is in the signal list."""
-    text = F.lower(F.coalesce(as_col(c), F.lit("")))
-    return contains_any(text, vocab.RECIPE_SIGNALS) | F.arrays_overlap(
-        content_hashtags(text), literal_array(vocab.SIGNAL_HASHTAGS)
-    )
+    text = F.coalesce(as_col(c), F.lit(""))
+    return text_features(text)["signal"] | F.arrays_overlap(content_hashtags(text), literal_array(vocab.SIGNAL_HASHTAGS))
 
 
 def comment_signal(c) -> Column:

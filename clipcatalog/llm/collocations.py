@@ -40,6 +40,7 @@ from clipcatalog.llm.minmax_dedup import mixed
 from clipcatalog.llm.suffix_dedup import prefix_sums, string_hash
 
 LEAST, LONGEST, TOP, INSIDE = 30, 4, 2000, 80
+SLICE = 1_000_000  # bytes of text that are hashed at once
 WORD_BYTE, BLANK, BREAK = 0, 1, 2
 KINDS = np.zeros(256, np.uint8)
 KINDS[list(b" \t")] = BLANK
@@ -157,7 +158,7 @@ CHUNKS = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("mass", pa.int6
 CHUNKS_DDL = "part long, kind int, mass long, body binary"
 
 
-def chunk_counts(rows: DataFrame, layout: Layout, chunk: int = 4_000_000) -> DataFrame:
+def chunk_counts(rows: DataFrame, layout: Layout, chunk: int = 2_000_000) -> DataFrame:
     """Phrase counts of chunks of text, cut by hash: a row of mass (kind 0) and one of counts (kind 1) per part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +175,7 @@ def chunk_counts(rows: DataFrame, layout: Layout, chunk: int = 4_000_000) -> Dat
                 pa.array(number * 2, pa.int64()), pa.array([0] * len(own) + [1] * len(own), pa.int32()),
                 pa.array(mass * 2, pa.int64()), pa.array([None] * len(own) + list(bodies), pa.binary())], schema=CHUNKS)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             held += Phrases(batch.column(0).to_pylist(), batch.column(1).to_pylist()).own
             if sum(map(len, held)) >= chunk:
                 yield made()
@@ -220,7 +221,7 @@ COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.s
 COUNTS_DDL = "lang string, size int, phrase string, f long"
 
 
-def marked_counts(rows: DataFrame, bits, layout: Layout, most_held: int = 500_000) -> DataFrame:
+def marked_counts(rows: DataFrame, bits, layout: Layout, most_held: int = 200_000) -> DataFrame:
     """Counts of the phrases with a set bit, and of all words (size 0), of stretches of each task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +233,7 @@ def marked_counts(rows: DataFrame, bits, layout: Layout, most_held: int = 500_00
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTS)], schema=COUNTS)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             own = Phrases(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for name, n in zip(own.names, np.bincount(own.lang, minlength=len(own.names)).tolist()):
                 if n:

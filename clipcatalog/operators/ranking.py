@@ -169,7 +169,8 @@ def best_caption(candidates: DataFrame, key: str, ordinal: str, text: str = "can
     clean = computed(candidates, {"caption": normalize_caption(text)}, [key, ordinal, existing]).filter(
         looks_like_caption("caption", existing))
     return top_per_key(
-        clean, [key], [recipe_signal("caption").desc(), F.length("caption").desc(), F.col(ordinal).asc()]
+        computed(clean, {"_signal": recipe_signal("caption")}), [key],
+        [F.col("_signal").desc(), F.length("caption").desc(), F.col(ordinal).asc()],
     ).select(key, "caption", F.lit("web_metadata").alias("source"))
 
 
