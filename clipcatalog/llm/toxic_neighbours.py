@@ -1,26 +1,28 @@
 """Toxicity from the nearest labelled examples under exact TF-IDF cosine.
 
-Fitting, on at most ``sample_docs`` labelled documents in hash order (a stated bound):
+Fitting, on at most ``per_label`` labelled documents of each label in hash order (a stated
+bound; so rare labels are all there):
 
-* Terms are words and their first 3-6 letters.  Those that differ between the two labels
-  by ``least_z`` standard deviations (root of the likelihood ratio) are kept, ``most_terms``
-  at most.
-* Document frequencies of these terms are counted over *all* documents.
+* Terms are the words of the examples, all of them.
+* Document frequencies of these terms are counted over *all* documents.  A term weighs
+  (1 + ln tf) * idf * relevance; the relevance is the root of the likelihood ratio of the term and
+  the label, so terms that say nothing of it count little, but none is left out.
 * The examples form a block-max index: blocks of ``block`` examples with similar vectors,
-  and per term and block the largest weight.  A query adds up these bounds per block and
-  opens blocks from the highest bound down until no block can beat its k-th best example,
-  so the k nearest are exact.
-* The squared cosines of the k nearest vote.  A monotone fit of the votes of the examples
-  among each other (each left out in turn) turns a vote into a probability.
-
-Scoring is one pass over the documents with this bounded model; a worker looks a distinct
-word up once.  A text without any kept term, as null and empty ones, has no neighbour and
-scores the rate of such examples.  Equal texts count once in fitting.
+  and for each term the blocks that hold it with its largest weight there.  A query adds
+  up these bounds per block and opens blocks from the highest bound down until no block can
+  beat its k-th best example, so the k nearest are exact.
+* The squared cosines of the k nearest vote, each label weighted by how many labelled documents
+  an example stands for.  A monotone fit of the votes of the examples among each other
+  (each left out in turn) turns a vote into a probability.
+
+Scoring is one pass over the documents with this bounded model.  A text without any known
+term, as null and empty ones, has no neighbour and scores the rate of such examples.
+Equal texts count once in fitting.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -29,94 +31,88 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clipcatalog.llm.common import record_batch, remainder, settled, slices
 
 WORD = re.compile(r"[^\W\d_]+")
-HEADS = (3, 4, 5, 6)
-
-
-def terms_of(word: str) -> list[str]:
-    return [word, *("^" + word[:k] for k in HEADS if len(word) > k)]
 
 
 def words(text: str | None) -> Counter:
     return Counter(WORD.findall(text.lower())) if text else Counter()
 
 
-class Terms:
-    """Counts of the kept terms in a text; distinct words are looked up once."""
-
-    def __init__(self, names: list[str], most_cached: int = 400_000):
-        self.number = {t: k for k, t in enumerate(names)}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.most_cached = most_cached
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        if len(self.known) > self.most_cached:
-            self.known.clear()
-        known, out = self.known, {}
-        for word, n in words(text).items():
-            found = known.get(word)
-            if found is None:
-                found = known[word] = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-            for k in found:
-                out[k] = out.get(k, 0) + n
-        return out
-
-
-def vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and unit TF-IDF weights; empty when nothing weighs."""
-    at = np.array(sorted(counts), np.int64)
-    weight = (1 + np.log([counts[k] for k in at])) * idf[at] if len(at) else np.zeros(0)
-    norm = math.sqrt(float(weight @ weight))
+def term_counts(number: dict[str, int], text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the known terms of a text, rising, and how often they occur."""
+    found = sorted((number[w], n) for w, n in words(text).items() if w in number)
+    at, n = zip(*found) if found else ((), ())
+    return np.array(at, np.int64), np.array(n, np.int64)
+
+
+def vector(at: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers and unit weights; empty when nothing weighs."""
+    weight = (1 + np.log(counts)) * weights[at]
+    norm = float(np.sqrt(weight @ weight))
     return (at, weight / norm) if norm > 0 else (at[:0], weight[:0])
 
 
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places ``start .. start + length - 1``, one span after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
+
+
 class BlockMaxIndex:
-    def __init__(self, ids: list[int], labels: list[int], vectors: list, terms: int, block: int = 64):
+    def __init__(self, ids: list[int], labels: list[int], vectors: list, terms: int, block: int = 32):
         order = sorted(range(len(ids)), key=lambda i: (labels[i], int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
         self.ids, self.labels = np.array([ids[i] for i in order]), np.array([labels[i] for i in order], float)
-        self.blocks, self.size = [], block
-        self.bound = np.zeros((terms, -(-len(order) // block)))
-        for b in range(self.bound.shape[1]):
-            own = [vectors[i] for i in order[b * block : (b + 1) * block]]
-            row = {t: r for r, t in enumerate(sorted({int(t) for at, _ in own for t in at}))}
-            weights = np.zeros((len(row), len(own)))
-            for c, (at, weight) in enumerate(own):
-                weights[[row[int(t)] for t in at], c] = weight
-            self.bound[list(row), b] = weights.max(axis=1)
-            self.blocks.append((row, weights))
+        self.size, self.blocks = block, -(-len(order) // block)
+        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        term, weight = (np.concatenate([vectors[i][c] for i in order]) for c in (0, 1))
+        by = np.lexsort((place, term))  # postings by term and, within it, by block
+        self.place, self.weight = place[by].astype(np.int32), weight[by]
+        key = term[by] * self.blocks + self.place // block
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        self.first, self.length = first, np.diff(first, append=len(key))
+        self.most, self.block = np.maximum.reduceat(self.weight, first), (key[first] % self.blocks).astype(np.int32)
+        self.of_term = np.searchsorted(key[first] // self.blocks, np.arange(terms + 1))
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, leave: int | None = None) -> list[tuple[float, int]]:
         """The ``k`` highest (cosine, place) above 0, best first; ``leave`` is a place to leave out."""
+        lengths = self.of_term[at + 1] - self.of_term[at]
+        pairs, own = spans(self.of_term[at], lengths), np.repeat(weight, lengths)  # (term, block) and the query's weight
+        bound = np.bincount(self.block[pairs], own * self.most[pairs], self.blocks)
+        order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []
-        if not len(at):
-            return best
-        bound = weight @ self.bound[at]
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] <= best[-1][0] + 1e-12):
+        done, step = 0, 4
+        while done < self.blocks:
+            least = best[-1][0] + 1e-12 if len(best) == k else 0.0
+            opened = order[done : done + step]
+            opened = opened[bound[opened] > least]
+            if not len(opened):
                 break
-            row, weights = self.blocks[b]
-            own = [(row[int(t)], w) for t, w in zip(at, weight) if int(t) in row]
-            cosine = np.array([w for _, w in own]) @ weights[[r for r, _ in own]]
-            places = np.flatnonzero(cosine > (best[-1][0] if len(best) == k else 0))
-            best += [(float(cosine[p]), b * self.size + int(p)) for p in places if b * self.size + p != leave]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
+            wanted = np.isin(self.block[pairs], opened)
+            held = self.length[pairs[wanted]]
+            postings = spans(self.first[pairs[wanted]], held)
+            cosine = np.bincount(self.place[postings], np.repeat(own[wanted], held) * self.weight[postings])
+            if leave is not None and leave < len(cosine):
+                cosine[leave] = 0
+            places = np.flatnonzero(cosine > least)
+            best = sorted([*best, *zip(cosine[places].tolist(), places.tolist())], key=lambda x: (-x[0], x[1]))[:k]
+            done, step = done + step, 2 * step
         return best
 
 
-def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def monotone(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Non-decreasing steps (votes, smoothed rates) by pooling neighbours that are out of order."""
     pools: list[list[float]] = []  # first vote, positives, rows
-    for v, y in sorted(zip(votes.tolist(), labels.tolist())):
+    for v, y, w in sorted(zip(votes.tolist(), labels.tolist(), (np.ones(len(votes)) if weights is None else weights).tolist())):
         if pools and pools[-1][0] == v:
-            pools[-1][1] += y
-            pools[-1][2] += 1
+            pools[-1][1] += y * w
+            pools[-1][2] += w
         else:
-            pools.append([v, y, 1])
+            pools.append([v, y * w, w])
     merged: list[list[float]] = []
     for pool in pools:
         merged.append(pool)
@@ -130,15 +126,19 @@ def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 @dataclass
 class Model:
     names: list[str]
-    idf: np.ndarray
+    weights: np.ndarray
     index: BlockMaxIndex | None
+    stands_for: tuple[float, float]  # labelled documents per example, of label 0 and 1
     steps: tuple[np.ndarray, np.ndarray]
     without: float
     k: int
 
     def vote(self, near: list[tuple[float, int]]) -> float | None:
-        share = sum(c * c for c, _ in near)
-        return sum(c * c * self.index.labels[p] for c, p in near) / share if share else None
+        if not near:
+            return None
+        cosine, label = np.array([c for c, _ in near]), self.index.labels[[p for _, p in near]]
+        share = cosine * cosine * np.where(label > 0, self.stands_for[1], self.stands_for[0])
+        return float((share * label).sum() / share.sum())
 
     def score(self, vote: float | None) -> float:
         if vote is None or not len(self.steps[0]):
@@ -146,93 +146,99 @@ class Model:
         return float(self.steps[1][max(0, np.searchsorted(self.steps[0], vote, side="right") - 1)])
 
 
-def example_sample(docs: DataFrame, labels: DataFrame, sample_docs: int) -> DataFrame:
-    """``doc_id, text, toxic`` of at most ``sample_docs`` labelled documents, equal texts once."""
-    chosen = (
-        labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    )
-    texts = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")  # sample_docs rows of two numbers
-    return texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+def example_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> tuple[DataFrame, tuple[float, float]]:
+    """``doc_id, text, toxic`` of at most ``per_label`` labelled documents of a label, equal texts once; labelled ones per example."""
+    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = known.withColumn("nth", nth).where(F.col("nth") <= per_label).drop("nth")
+    totals = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    texts = docs.where("text is not null").join(F.broadcast(chosen), "doc_id")  # 2 * per_label rows of two numbers
+    sample = texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    return sample, tuple(max(1.0, totals.get(y, 0) / per_label) for y in (0, 1))
+
+
+def relevance(in_toxic: np.ndarray, in_other: np.ndarray, toxic: int, other: int) -> np.ndarray:
+    """Root of the likelihood ratio of "holds the term" and the label, and a little for every term."""
+    n, seen = toxic + other, in_toxic + in_other
+
+    def part(both: np.ndarray, row: np.ndarray, column: int) -> np.ndarray:
+        share = np.divide(both * n, row * column, out=np.ones(len(both)), where=both > 0)
+        return both * np.log(share)
+
+    ratio = (part(in_toxic, seen, toxic) + part(in_other, seen, other)
+             + part(toxic - in_toxic, n - seen, toxic) + part(other - in_other, n - seen, other))
+    return 0.1 + np.sqrt(np.maximum(0.0, 2 * ratio))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 6000, least_z: float = 5.0, least_docs: int = 5,
-        most_terms: int = 4000, k: int = 15, block: int = 64) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, k: int = 15, block: int = 32) -> Model:
     """``docs(doc_id, text)`` give the corpus counts, ``labels(doc_id, toxic)`` the examples."""
     spark = docs.sparkSession
-    sample = settled(example_sample(docs, labels, sample_docs), "examples")
-    n1, n0 = sample.agg(F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))).first()
-    n1, n0 = n1 or 0, n0 or 0
+    sample, stands_for = example_sample(docs, labels, per_label)
+    sample = settled(sample.select("text", "doc_id", F.col("toxic").cast("int").alias("toxic")), "examples")
 
     def term_rows(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, list[int]] = {}
         for frame in frames:
             for text, toxic in zip(frame["text"], frame["toxic"]):
-                for term in {t for w in words(text) for t in terms_of(w)}:
+                for term in words(text):
                     total.setdefault(term, [0, 0])[toxic] += 1
         yield pd.DataFrame([(t, a, b) for t, (b, a) in total.items()], columns=["term", "a", "b"])
 
-    n = n1 + n0
-
-    def part(seen: Column, row: Column, column: int) -> Column:
-        return F.when(seen > 0, seen * F.log(seen * n / (row * column))).otherwise(0.0)
-
-    a, b = F.col("a"), F.col("b")
-    seen, unseen = a + b, F.lit(n) - a - b
-    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (  # signed root of the likelihood ratio, without its sign
-        part(a, seen, n1) + part(b, seen, n0) + part(F.lit(n1) - a, unseen, n1) + part(F.lit(n0) - b, unseen, n0))))
-    counted = sample.select("text", F.col("toxic").cast("int")).mapInPandas(term_rows, "term string, a long, b long")
-    kept = (
-        counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("a") + F.col("b") >= least_docs)
-        .withColumn("z", z).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(most_terms)
-    )
-    names = [r.term for r in kept.select("term").collect()]
+    counted = sample.select("text", "toxic").mapInPandas(term_rows, "term string, a long, b long")
+    terms = counted.groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toArrow().sort_by("term")  # those of the sample
+    names = terms["term"].to_pylist()
     shared = spark.sparkContext.broadcast(names)
 
     def frequencies(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, total = Terms(shared.value), Counter()
+        number = {t: i for i, t in enumerate(shared.value)}
+        total, rows = np.zeros(len(number), np.int64), 0
         for frame in frames:
             for text in frame["text"]:
-                total[-1] += 1
-                total.update(terms.counts(text).keys())
-        yield pd.DataFrame({"term": list(total), "n": list(total.values())}).astype("int64")
+                rows += 1
+                total[term_counts(number, text)[0]] += 1
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"term": np.append(seen, -1), "n": np.append(total[seen], rows)})
 
-    df = {r.term: r.n for r in docs.select("text").mapInPandas(frequencies, "term long, n long").groupBy("term")
-          .agg(F.sum("n").alias("n")).collect()}  # most_terms + 1 rows at most
-    n = df.get(-1, 0)
-    idf = np.log((n + 1) / (np.array([df.get(t, 0) for t in range(len(names))]) + 1.0))
+    df = np.zeros(len(names) + 1)
+    every = docs.select("text").mapInPandas(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df[every["term"].to_numpy()] = every["n"].to_numpy()  # one row per term of the sample; -1 is the number of documents
+    idf = np.log((df[-1] + 1) / (df[:-1] + 1))
 
     def example_vectors(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = Terms(shared.value)
+        number = {t: i for i, t in enumerate(shared.value)}
         for frame in frames:
-            own = [terms.counts(text) for text in frame["text"]]
+            own = [term_counts(number, text) for text in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"],
-                                "at": [list(c) for c in own], "n": [list(c.values()) for c in own]})
+                                "at": [at.tobytes() for at, _ in own], "n": [n.tobytes() for _, n in own]})
 
-    examples = sample.select("text", "doc_id", F.col("toxic").cast("int")).mapInPandas(
-        example_vectors, "doc_id long, toxic int, at array<int>, n array<int>").orderBy("doc_id").collect()
-    ids, marks, vectors, bare = [], [], [], [0.0, 0]
+    examples = sample.mapInPandas(example_vectors, "doc_id long, toxic int, at binary, n binary").orderBy("doc_id").collect()
+    n1 = sum(r.toxic for r in examples)
+    n0 = len(examples) - n1
+    weights = idf * relevance(terms["a"].to_numpy().astype(float), terms["b"].to_numpy().astype(float), n1, n0)
+    ids, marks, vectors, bare = [], [], [], [0.0, 0.0]
     for row in examples:
-        own = vector(dict(zip(row["at"], row["n"])), idf)
+        own = vector(np.frombuffer(row["at"], np.int64), np.frombuffer(row["n"], np.int64), weights)
         if len(own[0]):
             ids.append(row.doc_id)
             marks.append(row.toxic)
             vectors.append(own)
         else:
-            bare = [bare[0] + row.toxic, bare[1] + 1]
-    model = Model(names, idf, BlockMaxIndex(ids, marks, vectors, len(names), block) if ids else None,
-                  (np.zeros(0), np.zeros(0)), 0.0, k)
+            bare = [bare[0] + row.toxic * stands_for[1], bare[1] + stands_for[row.toxic]]
+    model = Model(names, weights, BlockMaxIndex(ids, marks, vectors, len(names), block) if ids else None,
+                  stands_for, (np.zeros(0), np.zeros(0)), 0.0, k)
     votes, known = [], []
     place = {i: p for p, i in enumerate(model.index.ids.tolist())} if ids else {}
     for i, own, y in zip(ids, vectors, marks):
         vote = model.vote(model.index.nearest(*own, k, leave=place[i]))
         if vote is None:
-            bare = [bare[0] + y, bare[1] + 1]
+            bare = [bare[0] + y * stands_for[1], bare[1] + stands_for[y]]
         else:
             votes.append(vote)
             known.append(y)
-    model.steps = monotone(np.array(votes), np.array(known, float))
-    prior = (n1 + 0.5) / (n1 + n0 + 1) if n1 + n0 else 0.0
+    known_ = np.array(known, float)
+    model.steps = monotone(np.array(votes), known_, np.where(known_ > 0, stands_for[1], stands_for[0]))
+    all_toxic, everything = n1 * stands_for[1], n1 * stands_for[1] + n0 * stands_for[0]
+    prior = (all_toxic + 0.5) / (everything + 1) if examples else 0.0
     model.without = (bare[0] + prior) / (bare[1] + 1)
     return model
 
@@ -244,24 +250,25 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence"
 class Scorer:
     """Scores texts with a model; equal term counts are scored once."""
 
-    def __init__(self, model: Model, most_cached: int = 50_000):
-        self.model, self.terms, self.seen, self.most_cached = model, Terms(model.names), {}, most_cached
+    def __init__(self, model: Model, most_cached: int = 20_000):
+        self.model, self.seen, self.most_cached = model, {}, most_cached
+        self.number = {t: i for i, t in enumerate(model.names)}
 
     def __call__(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        counts = self.terms.counts(text)
-        key = tuple(sorted(counts.items()))
+        at, counts = term_counts(self.number, text)
+        key = hashlib.blake2b(at.tobytes() + counts.tobytes(), digest_size=16).digest()
         if key not in self.seen:
             if len(self.seen) > self.most_cached:
                 self.seen.clear()
             own = self.model
-            near = own.index.nearest(*vector(counts, own.idf), own.k) if own.index else []
+            near = own.index.nearest(*vector(at, counts, own.weights), own.k) if own.index and len(at) else []
             self.seen[key] = own.score(own.vote(near)), near
         return self.seen[key]
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", shown: int = 3) -> DataFrame:
     """``doc_id, score, evidence`` (the ``shown`` nearest examples) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample and ``most_terms``
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, index = Scorer(shared.value), shared.value.index

@@ -1,5 +1,6 @@
 """Language, toxicity, quality and decontamination on small fixtures."""
 
+import math
 import random
 
 import numpy as np
@@ -69,6 +70,83 @@ def test_block_max_is_exact():
     assert index.nearest(np.zeros(0, int), np.zeros(0), 5) == []
 
 
+def dense_scores(docs, labels, k=15):
+    """Scores with plain loops: idf, relevance, cosine with every example, votes and calibration together."""
+    known = {}
+    for i, y in labels:
+        if i is not None and y is not None:
+            known[i] = max(y, known.get(i, 0))
+    examples = {}
+    for i, t in docs:
+        if t is not None and i in known:
+            old = examples.get(t)
+            examples[t] = (min(i, old[0]), max(known[i], old[1])) if old else (i, known[i])
+    examples = sorted((i, y, t) for t, (i, y) in examples.items())
+    n1 = sum(y for _, y, _ in examples)
+    n = len(examples)
+    bags = [toxic_neighbours.words(t) for _, _, t in examples]
+    every = [toxic_neighbours.words(t) for _, t in docs]
+    weight = {}
+    for term in {w for b in bags for w in b}:
+        a = sum(y for b, (_, y, _) in zip(bags, examples) if term in b)
+        m = sum(term in b for b in bags)
+        ratio = 0.0
+        for both, row, column in ((a, m, n1), (m - a, m, n - n1), (n1 - a, n - m, n1), (n - n1 - m + a, n - m, n - n1)):
+            ratio += both * math.log(both * n / (row * column)) if both else 0.0
+        idf = math.log((len(docs) + 1) / (sum(term in b for b in every) + 1))
+        weight[term] = idf * (0.1 + math.sqrt(max(0.0, 2 * ratio)))
+
+    def unit(bag):
+        v = {w: (1 + math.log(c)) * weight[w] for w, c in bag.items() if w in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    units = [unit(b) for b in bags]
+
+    def vote(v, leave=None):
+        near = sorted(((sum(x * u.get(w, 0.0) for w, x in v.items()), i) for i, u in enumerate(units) if i != leave), reverse=True)[:k]
+        near = [(c, i) for c, i in near if c > 0]
+        share = sum(c * c for c, _ in near)
+        return sum(c * c * examples[i][1] for c, i in near) / share if share else None
+
+    own = [vote(u, i) for i, u in enumerate(units)]
+    steps = toxic_neighbours.monotone(np.array([v for v in own if v is not None]), np.array([e[1] for e, v in zip(examples, own) if v is not None], float))
+    bare = [e[1] for e, v in zip(examples, own) if v is None]
+    without = (sum(bare) + (n1 + 0.5) / (n + 1)) / (len(bare) + 1)
+    out = []
+    for bag in every:
+        v = vote(unit(bag))
+        out.append(without if v is None else float(steps[1][max(0, np.searchsorted(steps[0], v + 1e-9, side="right") - 1)]))
+    return out
+
+
+def test_scores_against_dense_brute_force(spark):
+    own = random.Random(21)
+    pool = [f"wort{a}" for a in "abcdefghijklmnopqrstuvwxyz"] + ["common", "words"]
+    docs = [(i, " ".join(own.choices(pool, k=own.randint(1, 12))) + (" vilest" if i % 5 == 0 else "")) for i in range(120)]
+    docs += [(200, None), (201, "unknown only"), (202, docs[3][1])]
+    labels = [(i, int(i % 5 == 0)) for i in range(100)] + [(202, 0), (None, 1), (7, None)]
+    model = toxic_neighbours.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.doc_id: r.score for r in toxic_neighbours.score(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    want = dense_scores(docs, labels)
+    close = [abs(got[i] - s) < 1e-6 for (i, _), s in zip(docs, want)]
+    assert sum(close) >= len(close) - 2  # votes that tie at the k-th cosine may fall either way
+
+
+def test_rare_toxic_word_is_evidence(spark):
+    """A word that only four labelled examples hold still finds them."""
+    own = random.Random(22)
+    text = lambda: " ".join("".join(own.choice("abcdefgh") for _ in range(3)) for _ in range(40))
+    rows = [(i, text() + (" zonkwort" if i < 4 else " grubbix" if i % 9 == 0 else ""), int(i < 4 or i % 9 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxic_neighbours.fit(docs, labels)
+    new = spark.createDataFrame([(1, "zonkwort zonkwort"), (2, text() + " zonkwort zonkwort"), (3, text())], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxic_neighbours.score(new, model, shown=4).collect()}
+    assert got[1].score >= 0.5 and {e.doc_id for e in got[1].evidence} == {0, 1, 2, 3} and all(e.toxic == 1 for e in got[1].evidence)
+    assert got[2].score >= 0.5 and got[3].score < 0.5
+
+
 def test_monotone():
     steps, rates = toxic_neighbours.monotone(np.array([0, 0, 0.2, 0.5, 0.7, 1, 1]), np.array([0, 0, 1, 0, 1, 1, 1.0]))
     assert (np.diff(steps) > 0).all() and (np.diff(rates) >= 0).all() and rates[0] < 0.5 < rates[-1]
