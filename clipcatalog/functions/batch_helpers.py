@@ -80,22 +80,48 @@ AMOUNT = re.compile(
     rf"\b(?:\d+(?:[.,]\d+)?\s?(?:{vocab.QUANTITY_UNITS})\b|\d+\s?/\s?\d+\b|\d{{2,3}}\s?(?:{vocab.TEMPERATURE_UNITS})\b)")
 NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
 NO_LETTER = bytes(b for b in range(256) if not (b < 128 and chr(b).isalpha()))
+NO_DIGIT = bytes(b for b in range(256) if not (b < 128 and chr(b).isdecimal()))
 
 
-def term_bits(low: str) -> int:
+_native: list = []
+
+
+def native_terms():
+    """The same terms as an Aho-Corasick automaton, where the workers have one; made once per task."""
+    if not _native:
+        try:
+            import ahocorasick
+        except ModuleNotFoundError:
+            _native.append(None)
+        else:
+            own = ahocorasick.Automaton()
+            for term, bits in TERM_BITS.items():
+                own.add_word(term, bits)
+            own.make_automaton()
+            _native.append(own)
+    return _native[0]
+
+
+def term_bits(low: str, native=None) -> int:
     found = 0
-    for match in TERMS.finditer(low):
-        found |= TERM_BITS[low[match.start() : match.end(match.lastindex)]]
+    hits = (bits for _, bits in native.iter(low)) if native else (
+        TERM_BITS[low[m.start() : m.end(m.lastindex)]] for m in TERMS.finditer(low))
+    for bits in hits:
+        found |= bits
         if found == ALL_BITS:
             break
     return found
 
 
-def letters(text: str) -> int:
-    count = len(text.encode("utf-8", "surrogatepass").translate(None, NO_LETTER))
-    if not text.isascii():
-        count += sum(map(str.isalpha, "".join(NOT_ASCII.findall(text))))
-    return count
+def letters_and_digits(text: str) -> tuple[int, bool]:
+    """Number of letters, and whether there is any digit."""
+    body = text.encode("utf-8", "surrogatepass")
+    count, digit = len(body.translate(None, NO_LETTER)), len(body.translate(None, NO_DIGIT)) > 0
+    if len(body) > len(text):
+        rest = "".join(NOT_ASCII.findall(text))
+        count += sum(map(str.isalpha, rest))
+        digit = digit or any(map(str.isdecimal, rest))
+    return count, digit
 
 
 def has_amount(low: str) -> bool:
@@ -110,12 +136,13 @@ FEATURES = T.StructType([
 
 @F.pandas_udf(FEATURES)
 def features_batch(values: pd.Series) -> pd.DataFrame:
-    rows = []
+    rows, native = [], native_terms()
     for text in values:
         text = text or ""
         low = text.lower()
-        bits = term_bits(low)
-        rows.append((letters(text) / len(text) if text else 0.0, has_amount(low), *(bool(bits >> k & 1) for k in range(len(VOCABULARIES)))))
+        bits = term_bits(low, native)
+        letters, digit = letters_and_digits(text)
+        rows.append((letters / len(text) if text else 0.0, digit and has_amount(low), *(bool(bits >> k & 1) for k in range(len(VOCABULARIES)))))
     return pd.DataFrame(rows, columns=FEATURES.names)
 
 

@@ -31,8 +31,8 @@ def _only_where(needs_work: Column, text: Column, helper) -> Column:
 
 
 def _collapse(text: Column) -> Column:
-    # single blanks are left alone: they are most of a text and need no change
-    text = F.regexp_replace(text, "[ \t]{2,}|\t", " ")
+    # single blanks are left alone: they are most of a text and need no change; one class leads, so other signs fail at once
+    text = F.regexp_replace(text, r"[ \t](?:[ \t]+|(?<=\t))", " ")
     return strip(F.regexp_replace(text, "\n{3,}", "\n\n"))
 
 

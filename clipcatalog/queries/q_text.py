@@ -10,6 +10,7 @@ from clipcatalog.functions import text as X
 from clipcatalog.functions.columns import display_title, language_label, title_case
 from clipcatalog.functions.register import register_functions
 from clipcatalog.operators.recovery import caption_upgrade
+from clipcatalog.operators.staging import computed
 from clipcatalog.queries import duck as d
 from clipcatalog.queries.registry import Inputs, query
 
@@ -56,7 +57,7 @@ SELECT raw_id, {d.score('x')} AS score,
 FROM n""")
 def _(t: Inputs):
     creator = F.when(F.col("raw_id") % 3 == 0, "@FitWaffle").otherwise(F.col("creator_username"))
-    rows = t.fx("captions_fx").select("raw_id", creator.alias("creator"), X.normalize_evidence_text("description").alias("x"))
+    rows = computed(t.fx("captions_fx").withColumn("creator", creator), {"x": X.normalize_evidence_text("description")}, ["raw_id", "creator"])
     return rows.select(
         "raw_id", X.evidence_score("x", normalized=True).alias("score"),
         X.evidence_score("x", X.content_hashtags("x"), "creator", normalized=True).alias("score_with_hints"),
