@@ -29,35 +29,47 @@ def _split_text(text: Column) -> Column:
     return F.when(blank, _empty()).otherwise(F.filter(items, lambda x: x != ""))
 
 
+def _unwrapped(text: Column) -> Column:
+    """The innermost value: through objects with a list member and through JSON in quotes, at any depth.
+
+    Each step takes off one layer until nothing changes; a text has no more layers than braces and quotes.
+    """
+    state = "struct<text:string,done:boolean>"
+    most = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit(""))) + F.length(text) - F.length(
+        F.replace(text, F.lit('\\"'), F.lit("_"))) + 1
+    wrapped = text.startswith("{") | text.startswith('"')
+    steps = F.when(wrapped, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
+
+    def step(seen, _):
+        own = seen["text"]
+        inner = strip(F.when(own.startswith("{") & is_json(own), F.coalesce(*[
+            F.when(~F.coalesce(member, F.lit("")).isin("", "[]", "{}", "false", "0"), member)
+            for member in (F.get_json_object(own, f"$.{k}") for k in ("ingredients", "items", "values"))
+        ])).when(own.startswith('"') & is_json(own), F.try_variant_get(F.try_parse_json(own), "$", "string")))
+        return F.when(seen["done"], seen).otherwise(
+            F.struct(F.coalesce(inner, own).alias("text"), inner.isNull().alias("done")).cast(state))
+
+    start = F.struct(text.alias("text"), F.lit(False).alias("done")).cast(state)
+    return F.aggregate(steps, start, step, lambda seen: seen["text"])
+
+
 def coerce_list_field(c) -> Column:
     """JSON array, object, quoted text, lines or commas to a list of texts.
 
-    An object gives the list under ``ingredients``, ``items`` or ``values``
-    when one of them is set, else itself as the only item.
+    An object gives the list under ``ingredients``, ``items`` or ``values`` when one of them is
+    set, however deep objects and quoted JSON are nested, else itself as the only item.
     """
-    raw = F.coalesce(as_col(c), F.lit(""))
-    text = strip(raw)
-    kind = F.coalesce(json_kind(text), F.lit("TEXT"))
-
-    nested = F.coalesce(*[
-        F.when(~F.coalesce(member, F.lit("")).isin("", "[]", "{}", "false", "0"), member)
-        for member in (F.get_json_object(text, f"$.{k}") for k in ("ingredients", "items", "values"))
-    ])
-    nested_kind = F.coalesce(json_kind(nested), F.lit("TEXT"))
-    from_object = (
-        F.when(nested.isNull(), F.array(text))
-        .when(nested_kind.startswith("ARRAY"), _texts(nested))
-        .when(nested_kind.startswith("OBJECT"), F.array(nested))
-        .otherwise(_split_text(strip(nested)))
-    )
-    return (
-        F.when(kind == "TEXT", _split_text(text))
-        .when(kind == "VOID", _empty())
-        .when(kind.startswith("ARRAY"), _texts(text))
-        .when(kind.startswith("OBJECT"), from_object)
-        .when(kind == "STRING", _split_text(strip(F.try_variant_get(F.try_parse_json(text), "$", "string"))))
-        .otherwise(F.array(text))
-    )
+    text = _unwrapped(strip(F.coalesce(as_col(c), F.lit(""))))
+    staged = F.transform(F.array(text), lambda own: F.struct(own.alias("text"), F.coalesce(json_kind(own), F.lit("TEXT")).alias("kind")))
+
+    def listed(own):
+        text, kind = own["text"], own["kind"]
+        return (
+            F.when(kind == "TEXT", _split_text(text)).when(kind == "VOID", _empty())
+            .when(kind.startswith("ARRAY"), _texts(text)).otherwise(F.array(text))
+        )
+
+    return F.get(F.transform(staged, listed), 0)
 
 
 def _member(json: Column, *names: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from clipcatalog import vocab
 from clipcatalog.functions import batch_helpers
 from clipcatalog.functions import text as _text
 
@@ -41,8 +42,8 @@ SQL_FUNCTIONS = {
     "clip_split_list": ("c STRING", "ARRAY<STRING>", r"split(c, '[,;|\\n]')"),
     "clip_coerce_bool": (
         "c STRING", "BOOLEAN",
-        "CASE WHEN lower(trim(c)) IN ('true','yes','y','1','vegetarian','veg','végétarien') THEN true "
-        "WHEN lower(trim(c)) IN ('false','no','n','0','non-vegetarian','non vegetarian','not vegetarian') THEN false END",
+        "CASE WHEN lower({0}) IN ({1}) THEN true WHEN lower({0}) IN ({2}) THEN false END".format(
+            r"regexp_replace(c, '(?U)^\\s+|\\s+$', '')", *(", ".join(f"'{v}'" for v in own) for own in (vocab.ANSWER_TRUE, vocab.ANSWER_FALSE))),
     ),
 }
 

@@ -51,7 +51,8 @@ def normalize_evidence_text(c) -> Column:
 def decode_entities(c) -> Column:
     """HTML entities and ``\\uXXXX`` escapes to characters."""
     text = as_col(c)
-    return _only_where(text.rlike(r"&[#A-Za-z]|\\u[0-9a-fA-F]{4}"), text, unescape_batch)
+    # one class leads, so other signs fail at once
+    return _only_where(text.rlike(r"[&\\](?:(?<=&)[#A-Za-z]|(?<=\\)u[0-9a-fA-F]{4})"), text, unescape_batch)
 
 
 def decode_html(c) -> Column:
@@ -231,7 +232,8 @@ def script_profile(*cols) -> Column:
 def recipe_signal(c) -> Column:
     """A signal word anywhere, or a hashtag that is in the signal list."""
     text = F.coalesce(as_col(c), F.lit(""))
-    return text_features(text)["signal"] | F.arrays_overlap(content_hashtags(text), literal_array(vocab.SIGNAL_HASHTAGS))
+    tagged = F.contains(text, F.lit("#")) & F.arrays_overlap(content_hashtags(text), literal_array(vocab.SIGNAL_HASHTAGS))
+    return text_features(text)["signal"] | tagged
 
 
 def comment_signal(c) -> Column:

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from clipcatalog import vocab
 from clipcatalog.operators import rollups as A
+from clipcatalog.operators import upsert as U
 from clipcatalog.queries import built
 from clipcatalog.queries import duck as d
 from clipcatalog.queries.q_joins import NOW_SQL, now
 from clipcatalog.queries.registry import Inputs, query
+from clipcatalog.sources.session import landed
 
 
 def _rounded(df, *names):
@@ -142,19 +144,40 @@ def _(t: Inputs):
                     "avg_recipe_quality_score", "missing_final_json_rate", "usable_ocr_rate")
 
 
-@query("creator_quality", """
-WITH b AS (SELECT raw_id, lower(creator_username) AS c, ingested_at FROM captions_fx WHERE coalesce(creator_username, '') <> ''),
-s AS (SELECT c, count(*) AS n, max(ingested_at) AS last_at FROM b GROUP BY c),
-e AS (SELECT b.c, count(*) FILTER (r.is_recipe) AS recipes, count(*) FILTER (r.recipe_status = 'full_recipe') AS fulls,
-  avg(greatest(coalesce(r.final_recipe_confidence, 0), coalesce(r.caption_completeness_score, 0), coalesce(r.processing_confidence, 0))) AS q
-  FROM b LEFT JOIN stg_recipes r ON b.raw_id = r.raw_id GROUP BY b.c)
+def _creator_sql(condition: str) -> str:
+    return f"""
 SELECT s.c AS creator_username, s.n AS videos_scanned, e.recipes AS videos_accepted, e.recipes AS recipes_extracted, e.fulls AS full_recipes,
   round(e.q, 6) AS avg_quality_score, round(e.fulls / s.n, 6) AS yield_rate, s.last_at AS last_scanned_at,
-  CASE WHEN e.fulls / s.n >= 0.25 THEN 'high_yield' ELSE 'active' END AS status FROM s JOIN e ON s.c = e.c""")
+  CASE WHEN e.fulls / s.n >= 0.25 THEN 'high_yield' ELSE 'active' END AS status
+FROM (SELECT lower(creator_username) AS c, count(*) AS n, max(ingested_at) AS last_at FROM captions_fx WHERE {condition} AND coalesce(creator_username, '') <> '' GROUP BY 1) s
+JOIN (SELECT lower(b.creator_username) AS c, count(*) FILTER (r.is_recipe) AS recipes, count(*) FILTER (r.recipe_status = 'full_recipe') AS fulls,
+  avg(greatest(coalesce(r.final_recipe_confidence, 0), coalesce(r.caption_completeness_score, 0), coalesce(r.processing_confidence, 0))) AS q
+  FROM captions_fx b LEFT JOIN stg_recipes r ON b.raw_id = r.raw_id WHERE b.{condition} AND coalesce(creator_username, '') <> '' GROUP BY 1) e ON s.c = e.c"""
+
+
+@query("creator_quality", _creator_sql("raw_id IS NOT NULL"))
 def _(t: Inputs):
     return _rounded(A.creator_quality(t.fx("captions_fx"), built.recipes(t)), "avg_quality_score", "yield_rate")
 
 
+_FIRST, _SECOND = "raw_id % 2 = 0", "raw_id % 40 < 17"  # the second run lacks some creators and sees other items of the rest
+
+
+@query("creator_scores_upsert", f"""
+WITH old AS ({_creator_sql(_FIRST)}), new AS ({_creator_sql(_SECOND)})
+SELECT *, TIMESTAMP '2024-06-02 00:00:00' AS updated_at FROM new
+UNION ALL SELECT *, TIMESTAMP '2024-06-01 00:00:00' FROM old WHERE creator_username NOT IN (SELECT creator_username FROM new)""")
+def _(t: Inputs):
+    """Scores of a first run, kept as a table, then the changed scores of a second one merged into it."""
+    def scores(condition: str):
+        return _rounded(A.creator_quality(t.fx("captions_fx").filter(condition), built.recipes(t)), "avg_quality_score", "yield_rate")
+
+    at = [F.lit(f"2024-06-0{n} 00:00:00").cast("timestamp_ntz") for n in (1, 2)]
+    none = scores(_FIRST).limit(0).withColumn("updated_at", at[0])
+    table = landed(U.upsert_creator_scores(none, scores(_FIRST), at[0]), "creator-scores")
+    return U.upsert_creator_scores(table, scores(_SECOND), at[1])
+
+
 @query("run_summary", f"""
 SELECT method || ':' || status AS outcome, count(*) AS attempts, count(*) FILTER (status IN {d.in_list(vocab.SUCCESS_STATUSES)} AND score >= 0.2) AS evidence_rows
 FROM attempts_fx GROUP BY 1""")

@@ -208,6 +208,25 @@ def _(t: Inputs):
         "raw_id", F.array_join(found, "^", "<null>").alias("items"), F.size(found).cast("bigint").alias("n"))
 
 
+@query("coerce_list_field_nested", """
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '[a-z]{3,9}')[1:4], []) AS words FROM documents)
+SELECT doc_id, CASE WHEN len(words) = 0 AND doc_id % 6 = 1 THEN '{"items":[]}' WHEN len(words) = 0 AND doc_id % 6 = 2 THEN '{"items":[]}'
+  ELSE array_to_string(words, '^') END AS items FROM w""")
+def _(t: Inputs):
+    """Lists of the texts' own words, wrapped in objects and in quotes, several deep."""
+    words = F.slice(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{3,9}"), F.lit(0)), 1, 4)
+    body, wrap = F.to_json(words), lambda name, x: F.concat(F.lit(f'{{"x":1,"{name}":'), x, F.lit("}"))
+    quoted = lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+    kind = F.col("doc_id") % 6
+    given = (
+        F.when(kind == 0, body).when(kind == 1, wrap("items", body)).when(kind == 2, wrap("values", wrap("ingredients", wrap("items", body))))
+        .when(kind == 3, quoted(quoted(body))).when(kind == 4, wrap("ingredients", quoted(wrap("items", quoted(body)))))
+        .otherwise(wrap("values", wrap("items", quoted(F.array_join(words, ", ")))))
+    )
+    rows = computed(t.table("documents"), {"given": given}, ["doc_id"])
+    return rows.select("doc_id", F.array_join(I.coerce_list_field("given"), "^").alias("items"))
+
+
 _SHOWN = """
   CASE raw_id % 8 WHEN 0 THEN ['2 cups flour', 'Flour', '3 egg', 'egg', 'salt']
    WHEN 1 THEN ['200 g rice (washed)', 'oil', 'rice', 'None']
