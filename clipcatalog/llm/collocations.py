@@ -217,39 +217,75 @@ def surviving(chunks: DataFrame, layout: Layout, least: int) -> DataFrame:
     return chunks.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, "part long, bits binary")
 
 
+MARKED = pa.schema([("lang", pa.string()), ("part", pa.int64()), ("body", pa.binary()), ("counts", pa.binary())])
 COUNTS = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
-COUNTS_DDL = "lang string, size int, phrase string, f long"
 
 
 def marked_counts(rows: DataFrame, bits, layout: Layout, most_held: int = 200_000) -> DataFrame:
-    """Counts of the phrases with a set bit, and of all words (size 0), of stretches of each task."""
+    """Counts of the phrases with a set bit, and of all words (the empty phrase), packed by language and part of the hash."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
         marks = np.frombuffer(bits.value, np.uint8)
-        held: Counter = Counter()
+        held: dict[tuple[str, int], Counter] = {}
 
         def made() -> pa.RecordBatch:
-            columns = list(zip(*held)) + [list(held.values())]
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            keys, own = list(held), list(held.values())
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTS)], schema=COUNTS)
+            return pa.RecordBatch.from_arrays([
+                pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int64()),
+                pa.array([squeeze("\n".join(c).encode()) for c in own], pa.binary()),  # a phrase has no line end
+                pa.array([squeeze(np.array(list(c.values()), "<i8").tobytes()) for c in own], pa.binary())], schema=MARKED)
 
         for batch in slices(batches, "text", SLICE):
             own = Phrases(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for name, n in zip(own.names, np.bincount(own.lang, minlength=len(own.names)).tolist()):
                 if n:
-                    held[name, 0, ""] += n
+                    held.setdefault((name, 0), Counter())[""] += n
             for size, (hashes, first) in enumerate(zip(own.own, own.first), 1):
                 place = hashes >> np.uint64(64 - layout.place)
                 hit = np.flatnonzero(marks[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-                _, at, counts = np.unique(hashes[hit], return_index=True, return_counts=True)
-                for word, n in zip(first[hit[at]].tolist(), counts.tolist()):
-                    held[own.names[own.lang[word]], size, own.phrase(word, size)] += n
-            if len(held) >= most_held:
+                found, at, counts = np.unique(hashes[hit], return_index=True, return_counts=True)
+                parts = (found >> np.uint64(63 - layout.part) >> np.uint64(1)).tolist()
+                for word, part, n in zip(first[hit[at]].tolist(), parts, counts.tolist()):
+                    held.setdefault((own.names[own.lang[word]], part), Counter())[own.phrase(word, size)] += n
+            if sum(map(len, held.values())) >= most_held:
                 yield made()
         if held:
             yield made()
 
-    return rows.mapInArrow(run, COUNTS_DDL)
+    return rows.mapInArrow(run, "lang string, part long, body binary, counts binary")
+
+
+def exact_counts(marked: DataFrame, least: int) -> DataFrame:
+    """``lang, size, phrase, f`` of what occurs ``least`` times; one language's part of the hash at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        loose, key, total = zstandard.ZstdDecompressor().decompress, None, Counter()
+
+        def made() -> pa.RecordBatch:
+            kept = [(p, n) for p, n in total.items() if n >= least or not p]
+            return pa.RecordBatch.from_arrays([
+                pa.array([key[0]] * len(kept), pa.string()), pa.array([p.count(" ") + 1 if p else 0 for p, _ in kept], pa.int32()),
+                pa.array([p for p, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], schema=COUNTS)
+
+        for batch in batches:
+            for lang, part, body, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lang, part) != key:
+                    if key is not None:
+                        yield made()
+                    key, total = (lang, part), Counter()
+                for phrase, n in zip(loose(body).decode().split("\n"), np.frombuffer(loose(counts), "<i8").tolist()):
+                    total[phrase] += n
+        if key is not None:
+            yield made()
+
+    return marked.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(
+        run, "lang string, size int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST) -> DataFrame:
@@ -259,13 +295,10 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     layout = Layout.of(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     width = (1 << layout.place) >> layout.part >> 3
     bits = bytearray(1 << layout.place >> 3)
-    for part, own in surviving(chunk_counts(rows, layout), layout, least).toLocalIterator():  # 16 MB in all at most
+    for part, own in settled(surviving(chunk_counts(rows, layout), layout, least), "marks").collect():  # 16 MB at most
         bits[part * width : (part + 1) * width] = own
     shared = docs.sparkSession.sparkContext.broadcast(bytes(bits))
-    return (
-        marked_counts(rows, shared, layout).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-        .where((F.col("f") >= least) | (F.col("size") == 0))
-    )
+    return exact_counts(marked_counts(rows, shared, layout), least)
 
 
 def part_of(first, last):
