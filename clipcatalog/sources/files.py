@@ -27,14 +27,15 @@ def _bare(path_column):
 
 def read_positional_csv(
     spark: SparkSession, path, columns: list[str], glob: str = "*.csv", null_tokens: list[str] | None = None,
-    quarantine: bool = False, source_column: str = "SOURCE_FILE",
+    quarantine: bool = False, source_column: str = "SOURCE_FILE", multi_line: bool = True,
 ) -> DataFrame:
     """Many CSV files of different widths into one wide all-text shape.
 
     Columns bind by position: a short row is padded with NULL, blanks around
     fields go away and the null tokens become NULL.  A row with more fields
     than the layout, or a broken quote, is bad: it is skipped, or returned
-    alone with ``quarantine=True``.
+    alone with ``quarantine=True``.  Fields may hold line ends, so a file is one task; where a
+    delivery is known to have none, ``multi_line=False`` lets several tasks share a file.
     """
     tokens = vocab.CSV_NULL_TOKENS if null_tokens is None else null_tokens
     layout = _text_fields([f"c{i}" for i in range(len(columns))] + [CORRUPT])
@@ -42,13 +43,14 @@ def read_positional_csv(
         spark.read.schema(layout)
         .option("header", True)
         .option("enforceSchema", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # else a row's width is not seen when only some columns are asked for
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .csv(path)
@@ -94,12 +96,13 @@ def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...],
 
 
 def read_named_csv(spark: SparkSession, paths: list[str], required: list[str], columns: list[str],
-                   url: str | None = None) -> DataFrame:
+                   url: str | None = None, multi_line: bool = True) -> DataFrame:
     """CSV files by header name, one read per layout, one shape out.
 
     Files of one folder may name their columns in different orders.  Names
     match in any case; absent columns become ``''``; rows without a ``url``
     value are dropped; files without a line are skipped.  A header is one line.
+    ``multi_line=False``, for files without line ends in fields, lets several tasks share a file.
     """
     if not paths:
         raise ValueError("no input paths")
@@ -113,7 +116,7 @@ def read_named_csv(spark: SparkSession, paths: list[str], required: list[str], c
             raise ValueError(f"missing required columns: {missing}")
         df = (
             spark.read.schema(_text_fields([f"c{i}" for i in range(len(names))]))
-            .option("header", True).option("multiLine", True).option("escape", '"').csv(sorted(files))
+            .option("header", True).option("multiLine", multi_line).option("escape", '"').csv(sorted(files))
         )
         picked = df.select(*[
             (F.coalesce(F.col(f"c{at[n.lower()]}"), F.lit("")) if n.lower() in at else F.lit("")).alias(n)

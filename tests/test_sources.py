@@ -45,6 +45,23 @@ def test_positional_csv(spark, folder):
     assert [(r["bad_row"], r["SOURCE_FILE"]) for r in bad] == [("1,2,3,4", "c.csv")]
 
 
+def test_csv_without_line_ends_in_fields_is_read_by_several_tasks(spark, folder):
+    put(folder, "a.csv", "A,B\n" + "".join(f'{i},"t, ""{i}"" é"\n' for i in range(40_000)) + "1,2,3,4\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        got = S.read_positional_csv(spark, folder, ["a", "b"], multi_line=False)
+        named = S.read_named_csv(spark, [f"{folder}/a.csv"], ["a"], ["A", "B"], multi_line=False)
+        assert got.rdd.getNumPartitions() > 4 and named.rdd.getNumPartitions() > 4
+        assert S.read_positional_csv(spark, folder, ["a", "b"]).rdd.getNumPartitions() == 1
+        whole = S.read_positional_csv(spark, folder, ["a", "b"])
+        assert got.count() == 40_000 and got.exceptAll(whole).count() == 0
+        assert S.read_positional_csv(spark, folder, ["a", "b"], quarantine=True, multi_line=False).count() == 1
+        assert named.filter("A <> '1' OR B <> '2'").select("A", "B").exceptAll(whole.select("a", "b")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_named_csv_and_missing_columns(spark, folder):
     put(folder, "a.csv", "﻿title,URL\nt,u\nx,\n")
     got = S.read_named_csv(spark, [f"{folder}/a.csv"], ["TITLE", "url"], ["URL", "TITLE", "EXTRA"], url="URL")
