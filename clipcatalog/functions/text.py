@@ -283,12 +283,17 @@ def recipe_lines(c) -> Column:
     """Lines of a recipe text without mark-up, bullets, labels and blanks."""
 
     def clean(line):
-        line = strip(F.regexp_replace(line, r"^#{1,6}\s*", ""))
-        line = strip(F.regexp_replace(line, r"^\*\*(.*?)\*\*:?\s*$", "$1"))
-        line = strip(F.regexp_replace(line, r"^\*\*(.*?)\*\*", "$1"))
-        return strip(F.regexp_replace(line, r"^[-*]\s+", ""))
+        marked = strip(F.regexp_replace(line, r"^#{1,6}\s*", ""))
+        marked = strip(F.regexp_replace(marked, r"^\*\*(.*?)\*\*:?\s*$", "$1"))
+        marked = strip(F.regexp_replace(marked, r"^\*\*(.*?)\*\*", "$1"))
+        marked = strip(F.regexp_replace(marked, r"^[-*]\s+", ""))
+        # every mark begins the line
+        return F.when(F.substring(line, 1, 1).isin("#", "*", "-"), marked).otherwise(line)
 
-    lines = F.split(F.coalesce(as_col(c), F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
+    text = F.coalesce(as_col(c), F.lit(""))
+    # nearly all texts have plain line ends only, which split without a search by pattern
+    lines = F.when(text.rlike(r"[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")).otherwise(
+        F.split(text, "\n"))
     lines = F.filter(F.transform(lines, strip), lambda x: x != "")
     return F.filter(F.transform(lines, clean), lambda x: ~_is_label(x))
 

@@ -78,11 +78,10 @@ def _items(lower: bool) -> str:
 SELECT doc_id, array_to_string({_items(False)}, '^') AS items, array_to_string({_items(True)}, '^') AS ingredients,
   CASE WHEN doc_id % 2 = 0 THEN 'rice' ELSE '' END AS fallback FROM documents""")
 def _(t: Inputs):
-    parts = V.split_list("text")
     empty = F.array().cast("array<string>")
-    return t.table("documents").select(
-        "doc_id", F.array_join(V.normalize_string_list(parts), "^").alias("items"),
-        F.array_join(V.normalize_string_list(parts, F.lit("rice")), "^").alias("ingredients"),
+    return computed(t.table("documents"), {"parts": V.split_list("text")}, ["doc_id"]).select(
+        "doc_id", F.array_join(V.normalize_string_list("parts"), "^").alias("items"),
+        F.array_join(V.normalize_string_list("parts", F.lit("rice")), "^").alias("ingredients"),
         F.array_join(
             V.normalize_string_list(empty, F.when(F.col("doc_id") % 2 == 0, "rice").otherwise("unknown")), "^"
         ).alias("fallback"))
