@@ -45,9 +45,10 @@ def words(text: str | None) -> Counter:
 
 def term_counts(number: dict[str, int], text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the known terms of a text, rising, and how often they occur."""
-    found = sorted((number[w], n) for w, n in words(text).items() if w in number)
-    at, n = zip(*found) if found else ((), ())
-    return np.array(at, np.int64), np.array(n, np.int64)
+    bag = words(text)
+    at = np.array([number.get(w, -1) for w in bag], np.int64)
+    order = np.argsort(at, kind="stable")[np.count_nonzero(at < 0) :]
+    return at[order], np.fromiter(bag.values(), np.int64, len(bag))[order]
 
 
 def vector(at: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,24 +85,26 @@ class BlockMaxIndex:
         pairs, own = spans(self.of_term[at], lengths), np.repeat(weight, lengths)  # (term, block) and the query's weight
         bound = np.bincount(self.block[pairs], own * self.most[pairs], self.blocks)
         order = np.argsort(-bound, kind="stable")
-        best: list[tuple[float, int]] = []
-        done, step = 0, 4
-        while done < self.blocks:
-            least = best[-1][0] + 1e-12 if len(best) == k else 0.0
-            opened = order[done : done + step]
+        block, done, opened = self.block[pairs], np.zeros(self.blocks, bool), order[:8]
+        places, cosines = np.zeros(0, np.int64), np.zeros(0)
+        while True:  # the most promising blocks, then all that their k-th best example leaves
+            least = cosines[-1] + 1e-12 if len(cosines) == k else 0.0
             opened = opened[bound[opened] > least]
             if not len(opened):
-                break
-            wanted = np.isin(self.block[pairs], opened)
+                return list(zip(cosines.tolist(), places.tolist()))
+            now = np.zeros(self.blocks, bool)
+            now[opened] = done[opened] = True
+            wanted = np.flatnonzero(now[block])
             held = self.length[pairs[wanted]]
             postings = spans(self.first[pairs[wanted]], held)
             cosine = np.bincount(self.place[postings], np.repeat(own[wanted], held) * self.weight[postings])
             if leave is not None and leave < len(cosine):
                 cosine[leave] = 0
-            places = np.flatnonzero(cosine > least)
-            best = sorted([*best, *zip(cosine[places].tolist(), places.tolist())], key=lambda x: (-x[0], x[1]))[:k]
-            done, step = done + step, 2 * step
-        return best
+            more = np.flatnonzero(cosine > least)
+            places, cosines = np.concatenate([places, more]), np.concatenate([cosines, cosine[more]])
+            top = np.lexsort((places, -cosines))[:k]
+            places, cosines = places[top], cosines[top]
+            opened = order[~done[order]]
 
 
 def monotone(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, k: int = 15,
         for frame in frames:
             for text in frame["text"]:
                 rows += 1
-                total[term_counts(number, text)[0]] += 1
+                total[[number[w] for w in set(WORD.findall((text or "").lower())) if w in number]] += 1
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"term": np.append(seen, -1), "n": np.append(total[seen], rows)})
 
