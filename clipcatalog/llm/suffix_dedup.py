@@ -16,7 +16,7 @@ needed: only suffixes that share ``length`` bytes with another matter.
    are then ordered by induction: two of them share ``length`` bytes when the ``d`` bytes
    before the gram agree and the sorted suffixes share ``length - d``.
 4. Grams with more than ``hot_rows`` such rows are not gathered in one task; their windows
-   are counted by hash, combined before the shuffle.
+   are counted by 64-bit hash, combined before the shuffle; others are compared byte by byte.
 5. One pass over the texts cuts the covered bytes out.
 
 Equal texts are one text with a count: all their windows repeat.  Null texts are empty.
@@ -262,12 +262,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("did"))
     texts = rows.select("did", "text")
     samples = settled(sampled(texts.where(F.octet_length("text") >= length), length, gram, segment), "samples")
-    shared = settled(samples.join(repeated(samples, ["g"], "x"), "g").distinct(), "shared")
-    whole = repeated(shared, ["g", "e"], "lo").withColumn("again", F.lit(True))
+    # key lists are tables of their own: both sides of their joins are then plain shuffles, which
+    # adaptive execution splits where one gram holds a large share of the rows
+    shared = settled(samples.join(settled(repeated(samples, ["g"], "x"), "grams"), "g").distinct(), "shared")
+    whole = settled(repeated(shared, ["g", "e"], "lo").withColumn("again", F.lit(True)), "whole")
     marked = settled(shared.join(whole, ["g", "e"], "left"), "marked")
     open_ = marked.where("again is null")
+    open_grams = settled(open_.select("g").distinct(), "open")
     witnesses = (  # an open window may repeat inside a stretch that is done: one row of each stands for all
-        marked.where("again").join(open_.select("g").distinct(), "g").groupBy("g", "e")
+        marked.where("again").join(open_grams, "g").groupBy("g", "e")
         .agg(F.min(F.struct("did", "x", "lo", "hi")).alias("s")).select("g", "s.*")
     )
     edges = settled(with_contexts(open_.select("g", "did", "x", "lo", "hi").union(witnesses), texts, length), "edges")
