@@ -1,4 +1,5 @@
 import re
+import time
 import unicodedata
 
 import pytest
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
+from clipcatalog.functions import batch_helpers
 from clipcatalog.functions import html as H
 from clipcatalog.functions import text as X
 from clipcatalog.functions.columns import strip
@@ -129,6 +131,45 @@ def test_text_after_a_nested_block_is_kept(spark):
     assert many(spark, html, H.page_text("t")) == ["a\nrest of item", "y\n1\n2", "", ""]
 
 
+def test_page_of_very_many_blocks(spark):
+    """Time grows with the page: blocks, deep nesting, tags and elements without an end."""
+    pages = ["<p>word</p>" * 100_000, "<li>" * 50_000 + "x" + "</li>" * 50_000, "<p " * 100_000 + "text", "<script>" * 100_000 + "<p>a</p>",
+             "a<" * 100_000 + "<p>b<c</p>"]
+    started = time.time()
+    got = many(spark, pages, H.page_text("t"))
+    assert got[0].count("word") == got[0].count("\n") + 1 == 100_000 and got[1] == "x" and got[2] == "" and got[3] == "a"
+    assert time.time() - started < 60
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([
+    *(t for own in batch_helpers.VOCABULARIES.values() for t in own[:8]), " ", "2 cups", "1/2", "350 f", "x", "é", "٣ kg", "½", "A", "kg", "5"]),
+    max_size=12).map("".join))
+def test_features_of_a_text(text):
+    """The pattern, the automaton and plain substring tests agree; letters and amounts are those of the single functions."""
+    low = text.lower()
+    want = sum(1 << k for k, own in enumerate(batch_helpers.VOCABULARIES.values()) if any(t in low for t in own))
+    assert batch_helpers.term_bits(low) == want
+    native = batch_helpers.native_terms()
+    assert native is None or batch_helpers.term_bits(low, native) == want
+    letters, digit = batch_helpers.letters_and_digits(text)
+    assert letters == sum(c.isalpha() for c in text) and digit == any(c.isdecimal() for c in text)
+
+
+def test_features_equal_the_single_functions(spark):
+    texts = ["Mix 2 cups flour", "", "no", "Bake at 350 F. 1/2 tsp", "x2 kg", "2kg", "12 g.", "日本 3 g", None, "%%% 1 ###", "#easyrecipe dinner"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.select("i", "t", X.text_features("t").alias("f"), X.has_quantity("t").alias("q"), X.alpha_ratio("t").alias("a"),
+                      X.contains_any(F.lower("t"), vocab.RECIPE_WORDS).alias("w")).collect()
+    for r in got:
+        if r["t"] is not None:
+            assert (r["f"]["amount"], r["f"]["letters"], r["f"]["recipe"]) == (r["q"], r["a"], r["w"]), r["t"]
+    score = X.evidence_score("t", normalized=True)
+    used = rows.select(score.alias("s"), X.evidence_class(score).alias("c"), X.usable_ocr("t", normalized=True).alias("o"))
+    plan = used._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("features_batch(") == plan.count("ArrowEvalPython") == 1
+
+
 def test_json_in_pages(spark):
     html = '<SCRIPT type="x" id=\'S.1\'>{&quot;desc&quot;: 1}</SCRIPT>'
     assert one(spark, html, H.json_script("t", "S.1")) == '{"desc": 1}'
