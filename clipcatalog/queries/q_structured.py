@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
@@ -242,6 +244,44 @@ def _(t: Inputs):
         "raw_id", F.array_join(F.transform(I.coerce_list_field("ingredients"), I.format_ingredient), "^").alias("shown"))
 
 
+# three different words of a text that do not hold each other and are no measure words
+_THREE = f"""
+w AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(text), '[a-z]{{5,9}}')) AS many, regexp_extract_all(lower(text), '[a-z]{{5,9}}') AS words FROM documents),
+o AS (SELECT doc_id, {d.distinct_in_order("words")} AS u FROM w WHERE len(many) >= 3),
+t AS (SELECT doc_id, u[1] AS a, u[2] AS b, u[3] AS c FROM o WHERE NOT (contains(u[1], u[2]) OR contains(u[2], u[1]) OR contains(u[1], u[3])
+  OR contains(u[3], u[1]) OR contains(u[2], u[3]) OR contains(u[3], u[2]))
+  AND len(list_filter(u[1:3], lambda x: regexp_full_match(x, '({vocab.INGREDIENT_NOISE_WORDS.replace(chr(39), chr(39) * 2)})'))) = 0)"""
+
+
+def _three_words(t: Inputs):
+    u = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{5,9}"), F.lit(0)))
+    rows = computed(t.table("documents"), {"u": F.slice(u, 1, 3)}, ["doc_id"]).filter(F.size("u") == 3)
+    rows = rows.select("doc_id", *[F.get("u", i).alias(n) for i, n in enumerate("abc")])
+    held = [F.contains(F.col(x), F.col(y)) for x in "abc" for y in "abc" if x != y]
+    noise = [F.col(x).rlike(f"^({vocab.INGREDIENT_NOISE_WORDS})$") for x in "abc"]
+    return rows.filter(~reduce(lambda p, q: p | q, held + noise))
+
+
+@query("format_ingredient_words", f"""
+WITH {_THREE} SELECT doc_id, (doc_id % 9 + 1) || ' ' || b || ' ' || a || ' (' || c || ')^' || c || '^2 ' || b || '^' || a AS shown FROM t""")
+def _(t: Inputs):
+    items = F.array(
+        F.to_json(F.struct(F.col("a").alias("name"), (F.col("doc_id") % 9 + 1).alias("quantity"), F.col("b").alias("unit"), F.col("c").alias("notes"))),
+        F.to_json(F.struct(F.col("c").alias("ingredient"))),
+        F.to_json(F.struct(F.col("b").alias("name"), F.lit("2").alias("quantity"))), F.col("a"))
+    return _three_words(t).select("doc_id", F.array_join(F.transform(items, I.format_ingredient), "^").alias("shown"))
+
+
+@query("merge_similar_words", f"""
+WITH {_THREE} SELECT doc_id, '2 cups ' || a || '^3 ' || b || '^' || c || ' (fresh)' AS merged FROM t""")
+def _(t: Inputs):
+    """Weaker entries of the same ingredient go, whichever comes first."""
+    given = F.to_json(F.array(
+        F.concat(F.lit("2 cups "), "a"), F.initcap("a"), F.col("b"), F.concat(F.lit("3 "), "b"), F.concat("c", F.lit(" (fresh)")), F.col("c")))
+    lists = computed(_three_words(t), {"items": I.coerce_list_field(given)}, ["doc_id"])
+    return lists.select("doc_id", F.array_join(I.merge_similar_ingredients("items", F.array(F.lit("water"))), "^").alias("merged"))
+
+
 def _key(x: str) -> str:
     out = rf"regexp_replace(lower({x}), '\([^)]*\)', '', 'g')"
     out = rf"regexp_replace({out}, '\b[0-9]+([.,][0-9]+)?\b', '', 'g')"
