@@ -9,8 +9,8 @@ bound; so rare labels are all there):
   the label, so terms that say nothing of it count little, but none is left out.
 * The examples form a block-max index: blocks of ``block`` examples with similar vectors,
   and for each term the blocks that hold it with its largest weight there.  A query adds
-  up these bounds per block and opens blocks from the highest bound down until no block can
-  beat its k-th best example, so the k nearest are exact.
+  up these bounds per block and opens only blocks that can hold one of its k best examples, so
+  the k nearest are exact.  Terms that an eighth of the examples hold are rows of weights.
 * The squared cosines of the k nearest vote, each label weighted by how many labelled documents
   an example stands for.  A monotone fit of the votes of the examples among each other
   (each left out in turn) turns a vote into a probability.
@@ -65,46 +65,66 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
+    """Blocks of examples; common terms as rows of weights, the others as postings with their block maxima."""
+
     def __init__(self, ids: list[int], labels: list[int], vectors: list, terms: int, block: int = 32):
         order = sorted(range(len(ids)), key=lambda i: (labels[i], int(vectors[i][0][vectors[i][1].argmax()]), ids[i]))
         self.ids, self.labels = np.array([ids[i] for i in order]), np.array([labels[i] for i in order], float)
         self.size, self.blocks = block, -(-len(order) // block)
         place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
         term, weight = (np.concatenate([vectors[i][c] for i in order]) for c in (0, 1))
+        common = np.flatnonzero(8 * np.bincount(term, minlength=terms) >= len(order))  # at most 8 times the terms of an example
+        self.row = np.full(terms, -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.blocks * block))
+        held = self.row[term] >= 0
+        self.rows[self.row[term[held]], place[held]] = weight[held]
+        place, term, weight = place[~held], term[~held], weight[~held]
         by = np.lexsort((place, term))  # postings by term and, within it, by block
         self.place, self.weight = place[by].astype(np.int32), weight[by]
         key = term[by] * self.blocks + self.place // block
         first = np.flatnonzero(np.diff(key, prepend=-1))
         self.first, self.length = first, np.diff(first, append=len(key))
-        self.most, self.block = np.maximum.reduceat(self.weight, first), (key[first] % self.blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.block = (key[first] % self.blocks).astype(np.int32)
         self.of_term = np.searchsorted(key[first] // self.blocks, np.arange(terms + 1))
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, leave: int | None = None) -> list[tuple[float, int]]:
         """The ``k`` highest (cosine, place) above 0, best first; ``leave`` is a place to leave out."""
+        return next(self.nearest_of([(at, weight)], k, [leave]))
+
+    def nearest_of(self, queries: list, k: int, leave: list | None = None, together: int = 32) -> Iterator[list[tuple[float, int]]]:
+        """``nearest`` of many queries; the common terms of ``together`` of them are multiplied at once."""
+        for start in range(0, len(queries), together):
+            chunk = queries[start : start + together]
+            common = np.zeros((len(chunk), len(self.rows)))
+            for i, (at, weight) in enumerate(chunk):
+                rows = self.row[at]
+                common[i, rows[rows >= 0]] = weight[rows >= 0]
+            for i, ((at, weight), partial) in enumerate(zip(chunk, common @ self.rows)):
+                rare = self.row[at] < 0
+                yield self._finished(partial, at[rare], weight[rare], k, leave[start + i] if leave else None)
+
+    def _finished(self, partial: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, leave: int | None) -> list[tuple[float, int]]:
+        """Add the postings of the blocks that can hold one of the ``k`` best to the partial cosines.
+
+        The k-th partial cosine is a lower limit; a block's best partial one and its maxima of the other terms are its upper limit.
+        """
+        if leave is not None:
+            partial[leave] = -np.inf
+        least = max(0.0, np.partition(partial, -k)[-k]) - 1e-12 if len(partial) >= k else 0.0
         lengths = self.of_term[at + 1] - self.of_term[at]
         pairs, own = spans(self.of_term[at], lengths), np.repeat(weight, lengths)  # (term, block) and the query's weight
-        bound = np.bincount(self.block[pairs], own * self.most[pairs], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        block, done, opened = self.block[pairs], np.zeros(self.blocks, bool), order[:8]
-        places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        while True:  # the most promising blocks, then all that their k-th best example leaves
-            least = cosines[-1] + 1e-12 if len(cosines) == k else 0.0
-            opened = opened[bound[opened] > least]
-            if not len(opened):
-                return list(zip(cosines.tolist(), places.tolist()))
-            now = np.zeros(self.blocks, bool)
-            now[opened] = done[opened] = True
-            wanted = np.flatnonzero(now[block])
-            held = self.length[pairs[wanted]]
-            postings = spans(self.first[pairs[wanted]], held)
-            cosine = np.bincount(self.place[postings], np.repeat(own[wanted], held) * self.weight[postings])
-            if leave is not None and leave < len(cosine):
-                cosine[leave] = 0
-            more = np.flatnonzero(cosine > least)
-            places, cosines = np.concatenate([places, more]), np.concatenate([cosines, cosine[more]])
-            top = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[top], cosines[top]
-            opened = order[~done[order]]
+        block = self.block[pairs]
+        bound = partial.reshape(self.blocks, -1).max(axis=1) + np.bincount(block, own * self.most[pairs], self.blocks)
+        opened = bound > least
+        wanted = np.flatnonzero(opened[block])
+        held = self.length[pairs[wanted]]
+        postings = spans(self.first[pairs[wanted]], held)
+        cosine = partial + np.bincount(self.place[postings], np.repeat(own[wanted], held) * self.weight[postings], len(partial))
+        places = np.flatnonzero(np.repeat(opened, self.size) & (cosine > max(least, 0.0)))
+        top = places[np.lexsort((places, -cosine[places]))[:k]]
+        return list(zip(cosine[top].tolist(), top.tolist()))
 
 
 def monotone(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +161,7 @@ class Model:
             return None
         cosine, label = np.array([c for c, _ in near]), self.index.labels[[p for _, p in near]]
         share = cosine * cosine * np.where(label > 0, self.stands_for[1], self.stands_for[0])
-        return float((share * label).sum() / share.sum())
+        return round(float((share * label).sum() / share.sum()), 9)
 
     def score(self, vote: float | None) -> float:
         if vote is None or not len(self.steps[0]):
@@ -231,8 +251,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, k: int = 15,
                   stands_for, (np.zeros(0), np.zeros(0)), 0.0, k)
     votes, known = [], []
     place = {i: p for p, i in enumerate(model.index.ids.tolist())} if ids else {}
-    for i, own, y in zip(ids, vectors, marks):
-        vote = model.vote(model.index.nearest(*own, k, leave=place[i]))
+    near = model.index.nearest_of(vectors, k, [place[i] for i in ids]) if ids else []
+    for found, y in zip(near, marks):
+        vote = model.vote(found)
         if vote is None:
             bare = [bare[0] + y * stands_for[1], bare[1] + stands_for[y]]
         else:
@@ -257,16 +278,19 @@ class Scorer:
         self.model, self.seen, self.most_cached = model, {}, most_cached
         self.number = {t: i for i, t in enumerate(model.names)}
 
-    def __call__(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        at, counts = term_counts(self.number, text)
-        key = hashlib.blake2b(at.tobytes() + counts.tobytes(), digest_size=16).digest()
-        if key not in self.seen:
-            if len(self.seen) > self.most_cached:
-                self.seen.clear()
-            own = self.model
-            near = own.index.nearest(*vector(at, counts, own.weights), own.k) if own.index and len(at) else []
+    def __call__(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        own, keys, new = self.model, [], {}
+        if len(self.seen) > self.most_cached:
+            self.seen.clear()
+        for text in texts:
+            at, counts = term_counts(self.number, text)
+            keys.append(hashlib.blake2b(at.tobytes() + counts.tobytes(), digest_size=16).digest())
+            if keys[-1] not in self.seen and keys[-1] not in new:
+                new[keys[-1]] = vector(at, counts, own.weights)
+        found = own.index.nearest_of(list(new.values()), own.k) if own.index else ([] for _ in new)
+        for key, near in zip(new, found):
             self.seen[key] = own.score(own.vote(near)), near
-        return self.seen[key]
+        return [self.seen[key] for key in keys]
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", shown: int = 3) -> DataFrame:
@@ -276,7 +300,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, index = Scorer(shared.value), shared.value.index
         for batch in slices(batches, "text"):
-            made = [own(body) for body in batch.column(1).to_pylist()]
+            made = own(batch.column(1).to_pylist())
             yield record_batch(
                 SCHEMA, doc_id=batch.column(0).to_pylist(), score=[m[0] for m in made],
                 evidence=[[{"doc_id": int(index.ids[p]), "cosine": c, "toxic": int(index.labels[p])} for c, p in m[1][:shown]]
@@ -294,7 +318,8 @@ def scorer(spark: SparkSession, model: Model):
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Scorer(shared.value)
         for texts in batches:
-            yield texts.map(lambda body: own(body)[0] if isinstance(body, str) else own(None)[0]).astype("float64")
+            made = own([body if isinstance(body, str) else None for body in texts])
+            yield pd.Series([m[0] for m in made], index=texts.index, dtype="float64")
 
     return toxicity
 
