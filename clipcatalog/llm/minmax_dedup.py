@@ -293,7 +293,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "classes",
     ).withColumnRenamed("doc_id", "rep")
     members = classes.select("rep", F.explode("bands").alias("bucket"))
-    first = members.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # tables of keys, here and below: both sides of their joins are then plain shuffles, which adaptive
+    # execution splits where one bucket holds a large share of the rows
+    first = settled(members.groupBy("bucket").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n"), "first")
     shared = settled(members.join(first, "bucket"), "buckets")
     pairs = settled(shared.where("rep <> a").select("a", F.col("rep").alias("b")).distinct(), "pairs")
     texts = rows.where("doc_id is not null")
@@ -303,7 +305,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = shared.join(groups_.withColumnRenamed("node", "rep"), "rep", "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed_buckets = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    rest = labelled.join(mixed_buckets.select("bucket"), "bucket")
+    rest = labelled.join(settled(mixed_buckets.select("bucket"), "mixed"), "bucket")
     described = rest.join(classes.select("rep", "n_shingles", "signature"), "rep")
     cells = settled(leftover_pairs(described, percent), "cells")
     more = settled(confirmed_cells(texts, cells, percent, width), "confirmed")
