@@ -29,6 +29,14 @@ def _split_text(text: Column) -> Column:
     return F.when(blank, _empty()).otherwise(F.filter(items, lambda x: x != ""))
 
 
+def _set_member(json: Column, name: str) -> Column:
+    """A member as text when it is set: no null, false, zero, empty text, list or object.  A text such as ``"[]"`` or ``"0"`` is set."""
+    value = F.get_json_object(json, f"$.{name}")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), f"$.{name}", "variant"))
+    zero = F.coalesce(value.try_cast("double") == 0, F.lit(False))
+    return F.when(F.when(kind == "STRING", value != "").otherwise(~value.isin("[]", "{}", "false") & ~zero), value)
+
+
 def _unwrapped(text: Column) -> Column:
     """The innermost value: through objects with a list member and through JSON in quotes, at any depth.
 
@@ -43,8 +51,7 @@ def _unwrapped(text: Column) -> Column:
     def step(seen, _):
         own = seen["text"]
         inner = strip(F.when(own.startswith("{") & is_json(own), F.coalesce(*[
-            F.when(~F.coalesce(member, F.lit("")).isin("", "[]", "{}", "false", "0"), member)
-            for member in (F.get_json_object(own, f"$.{k}") for k in ("ingredients", "items", "values"))
+            _set_member(own, name) for name in ("ingredients", "items", "values")
         ])).when(own.startswith('"') & is_json(own), F.try_variant_get(F.try_parse_json(own), "$", "string")))
         return F.when(seen["done"], seen).otherwise(
             F.struct(F.coalesce(inner, own).alias("text"), inner.isNull().alias("done")).cast(state))

@@ -84,6 +84,13 @@ def test_list_field_shapes(spark):
         ["u", "v"]]
 
 
+def test_list_field_members_that_are_texts(spark):
+    texts = [r'{"x":1,"ingredients":"{\"x\":1,\"items\":\"[]\"}"}', '{"items":"[]"}', '{"items":"0"}', '{"items":"false"}', '{"items":"{}"}',
+             '{"x":1,"items":[]}', '{"items":"","values":["v"]}', '{"items":0.00,"values":["v"]}', '{"items":false}', '{"items":null}', '{"items":{}}']
+    assert many(spark, texts, I.coerce_list_field("t")) == [
+        [], [], ["0"], ["false"], ["{}"], ['{"x":1,"items":[]}'], ["v"], ["v"], ['{"items":false}'], ['{"items":null}'], ['{"items":{}}']]
+
+
 def test_ingredient_display(spark):
     texts = ['{"name":"rice","quantity":200,"unit":"g","notes":"washed"}', '{"ingredient":"oil","quantity":0,"unit":"l"}',
              '{"text":"salt","preparation":"fine"}', "['egg']", "{}", " plain "]
