@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipcatalog.operators.upsert import merge_small
+from clipcatalog.operators.upsert import merge
 from clipcatalog.sources.session import landed
 
 BUCKET = "_bucket"
@@ -107,6 +107,15 @@ class KeyedTable:
         return self._read([f"{self.path}/{state['buckets'][str(b)]}" for b in sorted(numbers)
                            if str(b) in state["buckets"]])
 
+    def merged(self, touched: list[int], source: DataFrame, rules: dict | None = None, inserts: dict | None = None,
+               default_rule: Callable | None = None) -> DataFrame:
+        """The rows of the touched buckets after an upsert.
+
+        A full outer join, which Spark never broadcasts: a stream merges many batches, and each
+        broadcast would pass a whole batch through the driver.
+        """
+        return merge(self._buckets_of(self._pointer(), touched), source, self.keys, rules, inserts, default_rule)
+
     def upsert(self, source: DataFrame, rules: dict | None = None, inserts: dict | None = None,
                default_rule: Callable | None = None, batch: int | None = None) -> bool:
         """Merge a source that is unique on the key; False for a replayed batch.
@@ -135,7 +144,7 @@ class KeyedTable:
             raise ValueError("the source of an upsert must hold each key once")
         touched = [r[BUCKET] for r in found]
         if touched:
-            merged = merge_small(self._buckets_of(state, touched), source, self.keys, rules, inserts, default_rule)
+            merged = self.merged(touched, source, rules, inserts, default_rule)
             version = f"v-{uuid.uuid4().hex}"
             (
                 # brings a bucket's rows together, and adaptive execution cuts large buckets into several tasks

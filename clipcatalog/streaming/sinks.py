@@ -71,7 +71,8 @@ def stream_unseen(stream: DataFrame, seen: KeyedTable, emit: Callable[[DataFrame
         if batch_id <= seen.last_batch():
             return
         first = landed(unique_source(batch, [key], order), "unseen")
-        known = seen.read_beside(to_seen(first)).select(F.col(key).alias("_known"))
+        # shuffled: a broadcast would pass the known keys through the driver in every batch
+        known = seen.read_beside(to_seen(first)).select(F.col(key).alias("_known")).hint("merge")
         emit(first.join(known, F.col(key) == F.col("_known"), "left_anti"), batch_id)
         seen.upsert(to_seen(first), rules, batch=batch_id)
 

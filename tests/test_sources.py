@@ -287,6 +287,15 @@ def test_keyed_table_shares_a_bucket_between_tasks(spark, folder):
     assert table.read().count() == 200_000
 
 
+def test_upsert_passes_no_batch_through_the_driver(spark, folder):
+    table = KeyedTable(spark, f"{folder}/t", SCHEMA, ["k"], buckets=2)
+    table.upsert(spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")))
+    spark.createDataFrame([("7", 70), ("x", 1), (None, 2)], SCHEMA).write.parquet(f"{folder}/new")
+    got = table.merged([0, 1], spark.read.parquet(f"{folder}/new"), {"v": U.newest})
+    assert got.count() == 102 and got.filter("k = '7'").first()["v"] == 70
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_merge_of_a_small_source_broadcasts_and_equals_the_full_join(spark, folder):
     spark.range(1000).select(
         F.when(F.col("id") % 50 > 0, F.col("id").cast("string")).alias("k"), F.col("id").alias("v")
