@@ -11,7 +11,7 @@ import re
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,19 +30,39 @@ def decode_escape(match: re.Match) -> str:
     return raw.decode("utf-16-be", errors="replace")
 
 
-@F.pandas_udf(T.StringType())
-def nfkc_batch(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
+SLICE = 256  # texts that are Python objects at one time
 
 
-@F.pandas_udf(T.StringType())
-def unescape_batch(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: ESCAPED.sub(decode_escape, html.unescape(v)), na_action="ignore")
+def by_slices(make, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """An Arrow batch a few values at a time, so that a worker holds the batch, its result and little else."""
+    if not len(columns[0]):
+        return pa.array([], kind)
+    return pa.concat_arrays([
+        pa.array([make(*row) for row in zip(*(c.slice(at, SLICE).to_pylist() for c in columns))], kind)
+        for at in range(0, len(columns[0]), SLICE)])
 
 
-@F.pandas_udf(T.StringType())
-def html_batch(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+def texts_by_slices(change, values: pa.Array) -> pa.Array:
+    return by_slices(lambda v: None if v is None else change(v), pa.string(), values)
+
+
+def unescaped(text: str) -> str:
+    return ESCAPED.sub(decode_escape, html.unescape(text))
+
+
+@F.arrow_udf(T.StringType())
+def nfkc_batch(values: pa.Array) -> pa.Array:
+    return texts_by_slices(lambda v: unicodedata.normalize("NFKC", v), values)
+
+
+@F.arrow_udf(T.StringType())
+def unescape_batch(values: pa.Array) -> pa.Array:
+    return texts_by_slices(unescaped, values)
+
+
+@F.arrow_udf(T.StringType())
+def html_batch(values: pa.Array) -> pa.Array:
+    return texts_by_slices(html.unescape, values)
 
 
 # --- features of a text, from one read of it ------------------------------------
@@ -134,21 +154,59 @@ FEATURES = T.StructType([
 ])
 
 
-@F.pandas_udf(FEATURES)
-def features_batch(values: pd.Series) -> pd.DataFrame:
-    rows, native = [], native_terms()
-    for text in values:
-        text = text or ""
-        low = text.lower()
-        bits = term_bits(low, native)
-        letters, digit = letters_and_digits(text)
-        rows.append((letters / len(text) if text else 0.0, digit and has_amount(low), *(bool(bits >> k & 1) for k in range(len(VOCABULARIES)))))
-    return pd.DataFrame(rows, columns=FEATURES.names)
+FEATURES_ARROW = pa.struct([("letters", pa.float64()), ("amount", pa.bool_()), *[(name, pa.bool_()) for name in VOCABULARIES]])
 
 
-# --- page text -------------------------------------------------------------------
+def features(text: str | None, native=None) -> dict:
+    text = text or ""
+    low = text.lower()
+    bits = term_bits(low, native)
+    letters, digit = letters_and_digits(text)
+    return {"letters": letters / len(text) if text else 0.0, "amount": digit and has_amount(low),
+            **{name: bool(bits >> k & 1) for k, name in enumerate(VOCABULARIES)}}
+
+
+@F.arrow_udf(FEATURES)
+def features_batch(values: pa.Array) -> pa.Array:
+    native = native_terms()
+    return by_slices(lambda v: features(v, native), FEATURES_ARROW, values)
+
+
+# --- evidence text and its features in one helper: a plan needs one worker where it would need three ---
 
 WHITE_SPACE = columns.WHITESPACE
+BLANKS, EMPTY_LINES = re.compile(r"[ \t]{2,}|\t"), re.compile(r"\n{3,}")
+EVIDENCE = T.StructType([T.StructField("text", T.StringType()), *FEATURES.fields])
+EVIDENCE_ARROW = pa.struct([("text", pa.string()), *FEATURES_ARROW])
+
+
+def collapsed(text: str) -> str:
+    return EMPTY_LINES.sub("\n\n", BLANKS.sub(" ", text)).strip(WHITE_SPACE)
+
+
+def caption_text(text: str) -> str:
+    return collapsed(unescaped(text).replace("\\n", "\n").replace("\\/", "/"))
+
+
+def evidence_row(text: str, native=None) -> dict:
+    clean = collapsed(unicodedata.normalize("NFKC", text).replace("\r", "\n"))
+    return {"text": clean, **features(clean, native)}
+
+
+@F.arrow_udf(EVIDENCE)
+def evidence_batch(values: pa.Array) -> pa.Array:
+    native = native_terms()
+    return by_slices(lambda v: evidence_row(v or "", native), EVIDENCE_ARROW, values)
+
+
+@F.arrow_udf(EVIDENCE)
+def caption_evidence_batch(values: pa.Array) -> pa.Array:
+    native = native_terms()
+    return by_slices(lambda v: evidence_row(caption_text(v or ""), native), EVIDENCE_ARROW, values)
+
+
+# --- page text -------------------------------------------------------------------
+
 BLOCK_TAG = re.compile(r"<(?:(/)(?:p|li|h1|h2|h3)|(?:p|li|h1|h2|h3)(?:\s[^>]*)?)>", re.I | re.A)
 ANY_TAG = re.compile(r"<[^>]+>")
 DROPPED = {tag: (re.compile(f"<{tag}", re.I | re.A), re.compile(f"</{tag}>", re.I | re.A)) for tag in ("script", "style", "noscript", "svg")}
@@ -190,12 +248,9 @@ def block_texts(page: str) -> list[str]:
     return out
 
 
-@F.pandas_udf(T.StringType())
-def page_batch(pages: pd.Series) -> pd.Series:
-    def read(page: str) -> str:
-        return ESCAPED.sub(decode_escape, html.unescape("\n".join(block_texts(page))))
-
-    return pages.map(read, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def page_batch(pages: pa.Array) -> pa.Array:
+    return texts_by_slices(lambda page: unescaped("\n".join(block_texts(page))), pages)
 
 
 def walk(node, wanted: str, out: list[str]) -> None:
@@ -219,15 +274,15 @@ def walk(node, wanted: str, out: list[str]) -> None:
             pending.extend(reversed(found))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def walk_batch(bodies: pd.Series, ids: pd.Series) -> pd.Series:
-    results = []
-    for body, wanted in zip(bodies, ids):
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def walk_batch(bodies: pa.Array, ids: pa.Array) -> pa.Array:
+    def texts(body: str | None, wanted: str | None) -> list[str]:
         out: list[str] = []
         if body is not None:
             walk(json.loads(body), wanted or "", out)
-        results.append(out)
-    return pd.Series(results)
+        return out
+
+    return by_slices(texts, pa.list_(pa.string()), bodies, ids)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -1,9 +1,9 @@
 """Caption and evidence text: cleaning, vocabulary tests and scores.
 
 Everything stays in JVM expressions except two Unicode helpers (compatibility
-normalisation and HTML entity decoding).  Those run as Arrow batches and see
-NULL for every row that provably needs no change, so a plain-text row never
-carries its bytes into Python.
+normalisation and HTML entity decoding) and the features of a text.  The helpers run as
+Arrow batches, a few texts at a time, and see NULL for every row that provably needs no
+change.  Where cleaning and features of a text are both wanted, one helper does both.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clipcatalog import vocab
-from clipcatalog.functions.batch_helpers import features_batch, html_batch, nfkc_batch, unescape_batch
+from clipcatalog.functions.batch_helpers import (
+    caption_evidence_batch, evidence_batch, features_batch, html_batch, nfkc_batch, unescape_batch,
+)
 from clipcatalog.functions.columns import as_col, empty_to_null, literal_array, lookup, strip
 
 # Characters that compatibility normalisation provably leaves alone in any
@@ -163,10 +165,21 @@ def text_features(c) -> Column:
     return features_batch(as_col(c))
 
 
-def evidence_score(c, hashtags=None, creator=None, normalized: bool = False) -> Column:
-    """How useful a text is as recipe evidence, in [0, 1] with 4 decimals."""
+def evidence_with_features(c, caption: bool = False) -> Column:
+    """``text`` as ``normalize_evidence_text`` gives it (of ``normalize_caption`` with ``caption``), and its ``text_features``.
+
+    One call of one helper: every helper in a plan has a worker of its own for each task.
+    """
+    return (caption_evidence_batch if caption else evidence_batch)(as_col(c))
+
+
+def evidence_score(c, hashtags=None, creator=None, normalized: bool = False, found: Column | None = None) -> Column:
+    """How useful a text is as recipe evidence, in [0, 1] with 4 decimals.
+
+    ``found``: the features of the normalised text, where they are known.
+    """
     text = as_col(c) if normalized else normalize_evidence_text(c)
-    found = text_features(text)
+    found = text_features(text) if found is None else found
 
     def points(condition, value):
         return F.when(condition, F.lit(value)).otherwise(F.lit(0.0))
@@ -198,10 +211,11 @@ def evidence_class(score) -> Column:
     return chain.otherwise("rejected")
 
 
-def usable_ocr(c, normalized: bool = False, score=None) -> Column:
+def usable_ocr(c, normalized: bool = False, score=None, found: Column | None = None) -> Column:
     text = as_col(c) if normalized else normalize_evidence_text(c)
-    points = evidence_score(text, normalized=True) if score is None else as_col(score)
-    return (F.length(text) >= 40) & (text_features(text)["letters"] >= 0.45) & (points >= 0.30)
+    found = text_features(text) if found is None else found
+    points = evidence_score(text, normalized=True, found=found) if score is None else as_col(score)
+    return (F.length(text) >= 40) & (found["letters"] >= 0.45) & (points >= 0.30)
 
 
 def infer_language(c, rules=None, default: str = "en") -> Column:

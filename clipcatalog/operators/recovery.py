@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from clipcatalog import vocab
 from clipcatalog.functions.columns import as_col, attempt_hash, empty_to_null, lookup
 from clipcatalog.functions.structured import FIELD_MAP
-from clipcatalog.functions.text import (
-    evidence_class, evidence_score, has_external_link, infer_language, normalize_caption,
-    normalize_evidence_text, usable_ocr,
-)
+from clipcatalog.functions.text import evidence_class, evidence_score, evidence_with_features, has_external_link, infer_language, usable_ocr
 from clipcatalog.operators.ranking import latest_attempt_per_method
 from clipcatalog.operators.staging import computed
 
@@ -22,11 +19,12 @@ def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_us
     Needs ``raw_id, method, status, confidence, error`` beside the text.  Adds
     the cleaned text, score, class, length, language, details and record hash.
     """
-    cleaned = computed(df, {"recovered_text": normalize_evidence_text(normalize_caption(text))})
+    found = F.col("_found")
+    cleaned = computed(df, {"_found": evidence_with_features(text, caption=True)}).withColumn("recovered_text", found["text"])
     has_text = F.col("recovered_text") != ""
     scored = computed(cleaned, {
-        "score": F.when(has_text, evidence_score("recovered_text", creator=creator, normalized=True)).otherwise(F.lit(0.0)),
-        "_readable": (F.col("method") != "ocr") | usable_ocr("recovered_text", normalized=True),
+        "score": F.when(has_text, evidence_score("recovered_text", creator=creator, normalized=True, found=found)).otherwise(F.lit(0.0)),
+        "_readable": (F.col("method") != "ocr") | usable_ocr("recovered_text", normalized=True, found=found),
     })
     gibberish = (F.col("method") == "ocr") & has_text & ~F.col("_readable")
     success = has_text & (F.col("status") == "attempted_success")
@@ -62,16 +60,16 @@ def attempt_result(df: DataFrame, text: str = "text", creator: str = "creator_us
 
 def _with_evidence_score(df: DataFrame, text: str) -> DataFrame:
     """Score without the creator bonus, and whether the attempt is evidence."""
-    body = F.col("_body")
-    scored = computed(computed(df, {"_body": normalize_evidence_text(text)}),
-                      {"_score": evidence_score("_body", normalized=True)})
+    body, found = F.col("_body"), F.col("_found")
+    cleaned = computed(df, {"_found": evidence_with_features(text)}).withColumn("_body", found["text"])
+    scored = computed(cleaned, {"_score": evidence_score("_body", normalized=True, found=found)})
     ok = (
         (body != "")
         & F.coalesce(F.col("status").isin(vocab.SUCCESS_STATUSES), F.lit(False))
-        & ((F.col("method") != "ocr") | usable_ocr("_body", normalized=True, score="_score"))
+        & ((F.col("method") != "ocr") | usable_ocr("_body", normalized=True, score="_score", found=found))
         & (F.col("_score") >= 0.20)
     )
-    return scored.withColumn("_is_evidence", ok)
+    return scored.withColumn("_is_evidence", ok).drop("_found")
 
 
 def evidence_from_attempts(df: DataFrame, text: str = "recovered_text", keep: list[str] | None = None) -> DataFrame:

@@ -193,3 +193,33 @@ def test_json_script_keeps_escapes(spark):
     script = html.json_script("html", "S")
     assert page.select(F.get_json_object(script, "$.desc")).first()[0] == 'say "hi" & two\nlines /'
     assert page.select(html.json_caption_walk(script, F.lit("7"))).first()[0] == ['say "hi" & two\nlines /', "deep"]
+
+
+def test_evidence_with_features_is_the_columns_in_one_helper(spark):
+    texts = [*TEXTS, "Tom &amp; Jerry&#39;s &frac12; cup", r"café a\/b\nnext", "a \t  b\r\n\r\n\r\nﬁne", "&ampx; \\ud83c", "x\u001c", "200 g sugar, mix"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 60)], "i int, t string").repartition(1)
+    for caption, clean in ((True, X.normalize_evidence_text(X.normalize_caption("t"))), (False, X.normalize_evidence_text("t"))):
+        one = rows.select("i", X.evidence_with_features("t", caption).alias("f")).select("i", "f.*")
+        two = rows.select("i", clean.alias("text")).select("i", "text", X.text_features("text").alias("f")).select("i", "text", "f.*")
+        assert sorted(one.collect()) == sorted(two.collect()) and one.columns == two.columns
+
+
+def test_helpers_hold_a_few_texts_at_a_time():
+    import pyarrow as pa
+
+    held = []
+    values = pa.array([str(i) if i % 3 else None for i in range(1000)])
+    got = batch_helpers.by_slices(lambda v: held.append(v) or v, pa.string(), values)
+    assert got == values and held == values.to_pylist() and batch_helpers.SLICE < 1000
+    assert batch_helpers.texts_by_slices(str, values.slice(0, 0)) == pa.array([], pa.string())
+
+
+def test_attempts_have_one_helper_per_step(spark):
+    from clipcatalog.operators import recovery as E
+
+    rows = spark.createDataFrame([(1, "ocr", "attempted_success", 0.5, None, "Recipe: 2 cups flour and butter, mix and bake it well.", "c")],
+                                 "raw_id long, method string, status string, confidence double, error string, text string, creator_username string")
+    result = E.attempt_result(rows)
+    for frame, helpers in ((result, 1), (E.evidence_from_attempts(result), 2), (E.queue_status(result), 2)):
+        assert frame.count() == 1
+        assert frame._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == helpers
