@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from clipcatalog import vocab
 from clipcatalog.functions import batch_helpers
 from clipcatalog.functions import text as _text
+from clipcatalog.functions.columns import text_literal
 
 # SQL functions whose body is one native expression over their argument.
 SQL_FUNCTIONS = {
@@ -48,14 +49,27 @@ SQL_FUNCTIONS = {
 }
 
 
+def _matches(pattern: str) -> str:
+    return "c rlike " + text_literal(pattern)
+
+
+# Functions with a Python helper, and the rows that the helper has to see.
+UNICODE_FUNCTIONS = [
+    ("clip_nfkc", batch_helpers.nfkc_batch, f"{_matches(_text.NFKC_UNUSUAL)} AND {_matches(f'[^{_text.NFKC_STABLE}]')}"),
+    ("clip_unescape", batch_helpers.unescape_batch, _matches(_text.ENTITY_OR_ESCAPE)),
+]
+
+
 def register_functions(spark: SparkSession) -> list[str]:
     """Register every SQL-callable function; returns their names.
 
     Native ones become SQL functions, inlined by the optimiser; the two Unicode
-    helpers become Arrow functions.
+    helpers run as Arrow functions below them.
     """
     for name, (args, returns, body) in SQL_FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({args}) RETURNS {returns} RETURN {body}")
-    spark.udf.register("clip_nfkc", batch_helpers.nfkc_batch)
-    spark.udf.register("clip_unescape", batch_helpers.unescape_batch)
+    # as in their column forms, rows that provably need no change stay out of Python
+    for name, helper, needs in UNICODE_FUNCTIONS:
+        spark.udf.register(f"{name}_batch", helper)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(c STRING) RETURNS STRING RETURN coalesce({name}_batch(CASE WHEN {needs} THEN c END), c)")
     return sorted([*SQL_FUNCTIONS, "clip_nfkc", "clip_unescape"])

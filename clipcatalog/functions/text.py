@@ -27,6 +27,11 @@ NFKC_STABLE = (
 )
 
 
+NFKC_UNUSUAL = r"[^\x00-\x7F\u00C0-\u0131]"
+# one class leads, so other signs fail at once
+ENTITY_OR_ESCAPE = r"[&\\](?:(?<=&)[#A-Za-z]|(?<=\\)u[0-9a-fA-F]{4})"
+
+
 def _only_where(needs_work: Column, text: Column, helper) -> Column:
     """Apply a Python helper to the rows that need it, hiding all others."""
     return F.coalesce(helper(F.when(needs_work, text)), text)
@@ -41,7 +46,7 @@ def _collapse(text: Column) -> Column:
 def nfkc(c) -> Column:
     # the first test is the fast one: plain and accented Latin text stops there
     text = as_col(c)
-    unusual = text.rlike(r"[^\x00-\x7F\u00C0-\u0131]")
+    unusual = text.rlike(NFKC_UNUSUAL)
     return _only_where(unusual & text.rlike(f"[^{NFKC_STABLE}]"), text, nfkc_batch)
 
 
@@ -53,8 +58,7 @@ def normalize_evidence_text(c) -> Column:
 def decode_entities(c) -> Column:
     """HTML entities and ``\\uXXXX`` escapes to characters."""
     text = as_col(c)
-    # one class leads, so other signs fail at once
-    return _only_where(text.rlike(r"[&\\](?:(?<=&)[#A-Za-z]|(?<=\\)u[0-9a-fA-F]{4})"), text, unescape_batch)
+    return _only_where(text.rlike(ENTITY_OR_ESCAPE), text, unescape_batch)
 
 
 def decode_html(c) -> Column:

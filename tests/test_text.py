@@ -223,3 +223,16 @@ def test_attempts_have_one_helper_per_step(spark):
     for frame, helpers in ((result, 1), (E.evidence_from_attempts(result), 2), (E.queue_status(result), 2)):
         assert frame.count() == 1
         assert frame._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == helpers
+
+
+def test_sql_helpers_see_only_rows_that_need_them(spark):
+    from clipcatalog.functions.register import register_functions
+
+    assert {"clip_nfkc", "clip_unescape"} <= set(register_functions(spark))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS, "Tom &amp; J\\u00e9", "a'b\\c & d"])], "i int, c string")
+    rows.createOrReplaceTempView("texts_for_functions")
+    got = spark.sql("SELECT i, clip_nfkc(c) AS n, clip_unescape(c) AS u FROM texts_for_functions")
+    want = rows.select("i", X.nfkc("c").alias("n"), X.decode_entities("c").alias("u"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    helpers = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "ArrowEvalPython" in line]
+    assert len(helpers) == 1 and helpers[0].count("CASE WHEN") == 2
