@@ -63,21 +63,27 @@ def incremental_candidates(source: DataFrame, done: DataFrame, evidence: DataFra
     return joined.withColumn("evidence_quality_score", F.coalesce("_score", F.lit(0.0))).drop("_score")
 
 
+def with_recovery(candidates: DataFrame, parts: DataFrame, key: str = "raw_id") -> DataFrame:
+    """Candidates with the recovered text of each evidence part as ``recovery_text``, one row per part."""
+    texts = parts.select(key, "part_no", "recovery_text")
+    return candidates.join(texts, key, "left").withColumn("part_no", F.coalesce("part_no", F.lit(0)))
+
+
+def composed_evidence(rows: DataFrame, original: str = "original", recovered: str = "recovered_text",
+                      description: str = "description") -> DataFrame:
+    """Rows of ``with_recovery`` with their composed evidence texts."""
+    first = F.coalesce(empty_to_null(original), F.col(description))
+    return rows.withColumns({
+        "original_description": first,
+        "all_recovered_text": evidence_text_compose(recovered, "recovery_text"),
+        "evidence_text": evidence_text_compose(first, recovered, "recovery_text"),
+    }).drop("recovery_text")
+
+
 def with_evidence_text(candidates: DataFrame, parts: DataFrame, key: str = "raw_id", original: str = "original",
                        recovered: str = "recovered_text", description: str = "description") -> DataFrame:
     """Candidates with their composed evidence texts, one row per evidence part."""
-    texts = parts.select(key, "part_no", F.col("recovery_text").alias("_recovery"))
-    first = F.coalesce(empty_to_null(original), F.col(description))
-    return (
-        candidates.join(texts, key, "left")
-        .withColumn("part_no", F.coalesce("part_no", F.lit(0)))
-        .withColumns({
-            "original_description": first,
-            "all_recovered_text": evidence_text_compose(recovered, "_recovery"),
-            "evidence_text": evidence_text_compose(first, recovered, "_recovery"),
-        })
-        .drop("_recovery")
-    )
+    return composed_evidence(with_recovery(candidates, parts, key), original, recovered, description)
 
 
 def weak_candidates(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, threshold: float = 0.65,

@@ -16,10 +16,11 @@ from clipcatalog.functions.columns import batch_hash, blank_to_null, build_paylo
 from clipcatalog.functions.structured import processing_confidence, prompt_payload
 from clipcatalog.functions.text import evidence_score
 from clipcatalog.operators.answers import LIST_MEMBERS, json_items, merged_answers, normalize_answers, with_json_items
-from clipcatalog.operators.joins import incremental_candidates, with_evidence_text
+from clipcatalog.operators.joins import composed_evidence, incremental_candidates, with_recovery
 from clipcatalog.operators.ranking import best_source_row
 from clipcatalog.operators.rollups import evidence_concat, evidence_stats
 from clipcatalog.plans import views
+from clipcatalog.sources.session import landed
 
 def answer_tie() -> list[Column]:
     """Order of answers of one item and time, by their texts."""
@@ -60,18 +61,21 @@ def landing_rows(rows: DataFrame, tie: str = "raw_id", keep_id: bool = False) ->
     )
 
 
-def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new",
-                        instruction: str = "", part_rows: int = 1000) -> DataFrame:
-    """Rows to enrich with their request body; one row per evidence part of ``part_rows`` texts.
-
-    ``instruction`` is what the caller's model is told to do.
-    """
+def request_rows(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new", part_rows: int = 1000) -> DataFrame:
+    """Rows to enrich with each text of their requests once; one row per evidence part of ``part_rows`` texts."""
     member = {n: blank_to_null(F.get_json_object("raw_payload", f"$.{n}")) for n in
               ("original_description", "recovered_text")}
     source = bronze.withColumns({"original": member["original_description"], "recovered_text": member["recovered_text"]})
     chosen = incremental_candidates(source, silver, evidence_stats(evidence), mode)
-    full = with_evidence_text(chosen, evidence_concat(evidence, part_rows=part_rows))
-    return full.select(
+    return with_recovery(chosen, evidence_concat(evidence, part_rows=part_rows)).select(
+        "raw_id", "part_no", "title", "url", "record_hash", "original", "description", "recovered_text", "recovery_text",
+        "evidence_quality_score",
+    )
+
+
+def request_bodies(rows: DataFrame, instruction: str = "") -> DataFrame:
+    """``request_rows`` as requests; ``instruction`` is what the caller's model is told to do."""
+    return composed_evidence(rows).select(
         "raw_id", "part_no", "title", "url", "record_hash", "original_description",
         F.coalesce("all_recovered_text", F.lit("")).alias("recovered_text"),
         F.coalesce("evidence_text", F.col("description")).alias("evidence_text"),
@@ -81,6 +85,15 @@ def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFram
     )
 
 
+def enrichment_requests(bronze: DataFrame, silver: DataFrame, evidence: DataFrame, mode: str = "new",
+                        instruction: str = "", part_rows: int = 1000) -> DataFrame:
+    """Rows to enrich with their request body; one row per evidence part of ``part_rows`` texts.
+
+    ``instruction`` is what the caller's model is told to do.
+    """
+    return request_bodies(request_rows(bronze, silver, evidence, mode, part_rows), instruction)
+
+
 def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """Answers to (typed rows, quarantined rows).
 
@@ -91,23 +104,27 @@ def typed_rows(requests: DataFrame, answers: DataFrame, model: str, now: Column)
     language, cuisine and main ingredient from the first that has one.  Ingredients, steps, notes and missing
     points are the union over all parts, in their order, values of earlier parts left out.  A list or
     instructions in any part count.  ``evidence_parts`` counts the parts with a usable answer.
+
+    Usable answers are joined to their requests once and kept in the shared folder, as ranks and unions both read them.
     """
     if "part_no" not in answers.columns:
         answers = answers.withColumn("part_no", F.lit(0))
     typed = normalize_answers(answers.select("raw_id", "part_no", "response"), "response", keep=["raw_id", "part_no", "response"])
     bad = typed.filter(F.col("error").isNotNull()).select("raw_id", "part_no", "response", "error")
     good = typed.filter(F.col("error").isNull())
-    joined = good.join(requests, ["raw_id", "part_no"])
+    joined = good.hint("merge").join(requests, ["raw_id", "part_no"])  # answers are small in a file, not in memory
+    unscored = F.when(F.coalesce("evidence_quality_score", F.lit(0.0)) == 0.0, F.col("evidence_text"))  # other texts stay out of Python
     members = [f"json_{m}" for m in LIST_MEMBERS]
     rows = joined.select(
         "raw_id", "part_no", F.col("title").alias("original_title"), "original_description", "recovered_text", "evidence_text",
-        F.coalesce(F.nullif("evidence_quality_score", F.lit(0.0)), evidence_score("evidence_text")).alias("evidence_quality_score"),
+        F.coalesce(F.nullif("evidence_quality_score", F.lit(0.0)), evidence_score(unscored)).alias("evidence_quality_score"),
         F.col("url").alias("url_tiktok"), "lang", F.col("is_veg").alias("is_vegetarian"), "cuisine", "ingredient", "ingredients",
         "is_recipe", "recipe_status", "has_ingredient_list", "has_instructions", "caption_completeness_score", "rejection_reason",
         "final_recipe_title", "final_recipe_text", "final_recipe_json", "missing_recipe_info", "final_recipe_confidence",
         "final_recipe_language", F.col("response").alias("llm_raw_response"), "record_hash",
         *[json_items("final_recipe_json", m).alias(f"json_{m}") for m in LIST_MEMBERS],
     )
+    rows = landed(rows, "answered")
     order = [
         ~F.coalesce("is_recipe", F.lit(False)), -F.coalesce("final_recipe_confidence", F.lit(-1.0)),
         -F.coalesce("evidence_quality_score", F.lit(-1.0)), F.col("part_no"), F.col("llm_raw_response"),
@@ -144,11 +161,12 @@ def run_batch(landing: DataFrame, silver: DataFrame, evidence: DataFrame, ask: C
     ``silver`` holds the typed rows of earlier runs, ``ask`` turns requests into answers
     (``raw_id``, ``part_no``, ``response``).  Items that are already typed and have no newer
     evidence are not asked for again, so a repeated run changes nothing.  The caller writes
-    the frames; ``typed`` is what this run adds to ``silver``.
+    the frames; ``typed`` is what this run adds to ``silver``.  Requests and answers are kept in the
+    shared folder at once: each item is made up once and the model is asked once, however many frames are written.
     """
     bronze = landing_rows(landing, keep_id=True).withColumn("ingested_at", now)
-    requests = enrichment_requests(bronze, silver, evidence, instruction=instruction, part_rows=part_rows)
-    typed, bad = typed_rows(requests, ask(requests), model, now)
+    requests = request_bodies(landed(request_rows(bronze, silver, evidence, part_rows=part_rows), "requests"), instruction)
+    typed, bad = typed_rows(requests, landed(ask(requests), "answers"), model, now)
     known = typed.unionByName(silver, allowMissingColumns=True)
     recipes, parts = views.stage_recipes(known, answer_tie()), views.stage_evidence(evidence)
     catalog = views.build_catalog(known, evidence, answer_tie())

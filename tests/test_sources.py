@@ -1,6 +1,7 @@
 import json
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -231,6 +232,39 @@ def test_batch_run_end_to_end(spark):
     assert again["api"].collect() == first["api"].collect()
 
 
+def test_batch_run_asks_once(spark):
+    """However many frames of a batch run are written, each request is made up and answered once."""
+    landing = spark.range(1, 7).selectExpr(
+        "id as raw_id", "'tiktok' as platform", "cast(id as string) as content_id", "'chef' as creator_username", "'Cake' as title",
+        "concat('Mix ', id, ' eggs.') as description", "concat('https://x/@chef/video/', id) as url", "'no' as description_is_partial",
+        "'no' as description_enriched", "cast(null as string) as evidence_text", "if(id = 3, 'Bake.', null) as recovered_text",
+        "'a.csv' as source_file")
+    ev = spark.range(1, 5).selectExpr(
+        "id as evidence_id", "id % 2 + 1 as raw_id", "'comments' as source_type", "concat('text ', id) as evidence_text",
+        "10L as evidence_length", "0.5D as evidence_quality_score", "true as is_recipe_signal", "'h' as record_hash",
+        "timestamp_ntz'2024-01-02 00:00:00' as created_at")
+    silver = spark.createDataFrame([], "raw_id long, processed_at timestamp_ntz")
+    asked = spark.sparkContext.accumulator(0)
+
+    def ask(requests):
+        def answers(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    asked.add(1)
+                    said = "sorry" if row["raw_id"] == 6 else json.dumps({"is_recipe": True, "final_recipe_title": row["prompt"][:5]})
+                    yield pa.RecordBatch.from_pylist([{"raw_id": row["raw_id"], "part_no": row["part_no"], "response": said}])
+
+        return requests.select("raw_id", "part_no", "prompt").mapInArrow(answers, "raw_id long, part_no long, response string")
+
+    made = medallion.run_batch(landing, silver, ev, ask, "m", F.lit("2024-02-01").cast("timestamp_ntz"), part_rows=1)
+    typed, bad = made["typed"].collect(), made["rejected"].collect()
+    wanted = {(r["raw_id"], r["part_no"]): r for r in made["requests"].collect()}
+    assert sorted(wanted) == [(1, 0), (1, 1), (2, 0), (2, 1), (3, 0), (4, 0), (5, 0), (6, 0)] and asked.value == len(wanted)
+    assert wanted[1, 0]["evidence_text"] == "Mix 1 eggs.\n\ntext 4" and wanted[1, 0]["recovered_text"] == "text 4"
+    assert wanted[3, 0]["evidence_text"] == "Mix 3 eggs.\n\nBake." and wanted[4, 0]["recovered_text"] == ""
+    assert {r["raw_id"]: r["evidence_parts"] for r in typed} == {1: 2, 2: 2, 3: 1, 4: 1, 5: 1} and [r["raw_id"] for r in bad] == [6]
+
+
 def test_typed_rows_merge_every_part(spark):
     """An item whose evidence fills several requests gets one row that holds what every part's answer says."""
     requests = spark.createDataFrame(
