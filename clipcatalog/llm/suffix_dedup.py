@@ -19,6 +19,11 @@ needed: only suffixes that share ``length`` bytes with another matter.
    are counted by 64-bit hash, combined before the shuffle; others are compared byte by byte.
 5. One pass over the texts cuts the covered bytes out.
 
+Passages of over 50 words are often shorter than 400 bytes and stay then.  ``n_shared_words``
+counts the words inside passages of ``words`` words that another row holds too, whatever blanks
+lie between them: the same sampling over word hashes (windows of ``words`` words, grams of
+eight), with whole stretches and then the windows of the rows that are left compared by hash.
+
 Equal texts are one text with a count: all their windows repeat.  Null texts are empty.
 Repeated rows are equal texts like any other.  Nothing is capped or sampled.
 """
@@ -38,14 +43,17 @@ from clipcatalog.llm.common import record_batch, settled, slices
 from clipcatalog.llm.minmax_dedup import _tables, mixed, powers
 
 LENGTH, GRAM = 400, 128
+WORDS, WORD_GRAM = 51, 8
+BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 SEGMENT = 1 << 22
 PLACE = np.uint64((1 << 24) - 1)
 
 
 def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of bytes, or of 64-bit codes of words."""
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_tables()[0][data] * up[:-1], out=sums[1:])
+    np.cumsum((data if data.dtype == np.uint64 else _tables()[0][data]) * up[:-1], out=sums[1:])
     return sums, down
 
 
@@ -94,6 +102,83 @@ def sampled(texts: DataFrame, length: int, gram: int, segment: int = SEGMENT) ->
     return texts.mapInArrow(run, ROWS_DDL)
 
 
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the words."""
+    gap = np.concatenate([[True], BLANK[data], [True]])
+    return np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+
+
+def word_codes(text: str, segment: int) -> np.ndarray:
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    starts, ends = word_edges(data)
+    parts = [np.zeros(0, np.uint64)]
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, len(data) + segment, segment)))
+    for a, b in zip(cuts, cuts[1:]):
+        first = starts[a]
+        sums, down = prefix_sums(data[first : ends[b - 1]])
+        parts.append(string_hash(sums, down, starts[a:b] - first, ends[a:b] - first))
+    return np.concatenate(parts)
+
+
+WORD_ROWS = pa.schema([("g", pa.int64()), ("e", pa.int64()), ("did", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
+WORD_ROWS_DDL = "g long, e long, did long, lo int, hi int"
+
+
+def sampled_words(texts: DataFrame, words: int, gram: int, segment: int) -> DataFrame:
+    """As ``sampled``, counted in words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            parts = []
+            for did, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                codes = word_codes(body, segment)
+                for base in range(0, max(0, len(codes) - words + 1), segment):
+                    _, lo, hi, g, e = owners(codes[base : base + segment + words - 1], words, gram)
+                    parts.append((g.view(np.int64), e.view(np.int64), np.full(len(lo), did), lo + base, hi + base))
+            if parts:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c), type=f.type) for c, f in zip(zip(*parts), WORD_ROWS)], schema=WORD_ROWS)
+
+    return texts.mapInArrow(run, WORD_ROWS_DDL)
+
+
+def elsewhere(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys that two texts hold."""
+    return rows.groupBy(*keys).agg(F.min("did").alias("a"), F.max("did").alias("b")).where("a <> b").select(*keys)
+
+
+def shared_passages(texts: DataFrame, words: int, gram: int, segment: int) -> DataFrame:
+    """``did, lo, hi``: first words of the passages of ``words`` words that another text holds too."""
+    texts = texts.where(F.octet_length("text") >= 2 * words - 1)
+    samples = settled(sampled_words(texts, words, gram, segment), "word_samples")
+    shared = settled(samples.join(settled(elsewhere(samples, ["g"]), "word_grams"), "g").distinct(), "word_shared")
+    whole = settled(elsewhere(shared, ["g", "e"]).withColumn("again", F.lit(True)), "word_whole")
+    marked = settled(shared.join(whole, ["g", "e"], "left"), "word_marked")
+    open_ = marked.where("again is null")
+    open_grams = settled(open_.select("g").distinct(), "word_open")
+    place = F.struct("did", "lo", "hi")
+    witnesses = (  # rows of two texts stand for all that hold a stretch: one of them is another text than that of an open window
+        marked.where("again").join(open_grams, "g").groupBy("g", "e").agg(F.array(F.min(place), F.max(place)).alias("s"))
+        .select(F.inline("s"))
+    )
+    places = open_.select("did", "lo", "hi").union(witnesses).groupBy("did").agg(F.collect_set(F.struct("lo", "hi")).alias("places"))
+
+    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("h", pa.int64()), ("did", pa.int64()), ("lo", pa.int32())])
+        for batch in slices(batches, "text", 1_000_000):
+            parts = []
+            for did, text, found in zip(*(c.to_pylist() for c in batch.columns)):
+                sums, down = prefix_sums(word_codes(text, segment))
+                at = np.concatenate([np.arange(p["lo"], p["hi"] + 1) for p in found])
+                parts.append((string_hash(sums, down, at, at + words).view(np.int64), np.full(len(at), did), at))
+            h, did, lo = map(np.concatenate, zip(*parts))
+            yield record_batch(schema, h=h, did=did, lo=lo)
+
+    exploded = settled(texts.join(places, "did").select("did", "text", "places").mapInArrow(windows, "h long, did long, lo int"), "word_windows")
+    again = exploded.join(settled(elsewhere(exploded, ["h"]), "word_again"), "h").select("did", "lo", F.col("lo").alias("hi"))
+    return marked.where("again").select("did", "lo", "hi").union(again.distinct())
+
+
 def repeated(rows: DataFrame, keys: list[str], place: str) -> DataFrame:
     """The keys that occur at two different places, ``(did, place)``."""
     both = rows.groupBy(*keys).agg(*(f(c).alias(f"{n}_{c}") for c in ("did", place) for n, f in (("a", F.min), ("b", F.max))))
@@ -217,11 +302,22 @@ def edge_stretches(contexts: DataFrame, length: int, hot_rows: int) -> DataFrame
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                    ("kept_sha256", pa.string()), ("kept", pa.binary())])
-RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+                    ("kept_sha256", pa.string()), ("n_shared_words", pa.int64()), ("kept", pa.binary())])
+RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared_words long"
+
+
+def spanned(found: list[dict] | None, length: int) -> list[list[int]]:
+    """Starts of windows of ``length`` as maximal stretches, end exclusive."""
+    spans: list[list[int]] = []
+    for lo, hi in sorted((s["lo"], s["hi"]) for s in found or ()):
+        if spans and lo <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], hi + length)
+        else:
+            spans.append([lo, hi + length])
+    return spans
 
 
-def cut_out(texts: DataFrame, stretches: DataFrame, length: int, with_kept: bool) -> DataFrame:
+def cut_out(texts: DataFrame, stretches: DataFrame, passages: DataFrame, length: int, words: int, with_kept: bool) -> DataFrame:
     names = [f for f in RESULT if with_kept or f.name != "kept"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,32 +328,33 @@ def cut_out(texts: DataFrame, stretches: DataFrame, length: int, with_kept: bool
                 if row["copies"] > 1 and len(data) >= length:
                     spans = [[0, len(data)]]
                 else:
-                    spans = []
-                    for lo, hi in sorted((s["lo"], s["hi"]) for s in row["found"] or ()):
-                        if spans and lo <= spans[-1][1]:
-                            spans[-1][1] = max(spans[-1][1], hi + length)
-                        else:
-                            spans.append([lo, hi + length])
+                    spans = spanned(row["found"], length)
+                n_shared = sum(b - a for a, b in spanned(row["passages"], words))
+                if row["copies"] > 1:
+                    n_words = len(word_edges(np.frombuffer(data, np.uint8))[0])
+                    n_shared = n_words if n_words >= words else 0
                 edges = [0, *(x for s in spans for x in s), len(data)]
                 kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 for name, value in zip(out, (row["doc_id"], len(data), len(data) - len(kept), len(spans),
-                                             hashlib.sha256(kept).hexdigest(), kept)):
+                                             hashlib.sha256(kept).hexdigest(), n_shared, kept)):
                     out[name].append(value)
             yield record_batch(pa.schema(names), **out)
 
     copies = texts.groupBy("did", F.octet_length("text").alias("size")).agg(F.count("*").alias("copies")).where("copies > 1")
     found = (
         stretches.groupBy("did").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))  # as many as a text has
+        .join(passages.groupBy("did").agg(F.collect_list(F.struct("lo", "hi")).alias("passages")), "did", "full")
         .join(copies.groupBy("did").agg(F.max("copies").alias("copies")), "did", "full")
     )
     return texts.join(found, "did", "left").select(
-        "doc_id", "text", "found", F.coalesce("copies", F.lit(1)).alias("copies")
+        "doc_id", "text", "found", "passages", F.coalesce("copies", F.lit(1)).alias("copies")
     ).mapInArrow(run, RESULT_DDL + ", kept binary" * with_kept)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   hot_rows: int = 2000, with_kept: bool = False, segment: int = SEGMENT) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row; ``with_kept`` adds the kept bytes."""
+                   hot_rows: int = 2000, with_kept: bool = False, segment: int = SEGMENT, words: int = WORDS,
+                   word_gram: int = WORD_GRAM) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared_words`` for every row; ``with_kept`` adds the kept bytes."""
     body = F.col(text).cast("string")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("did"))
     texts = rows.select("did", "text")
@@ -275,4 +372,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     edges = settled(with_contexts(open_.select("g", "did", "x", "lo", "hi").union(witnesses), texts, length), "edges")
     stretches = settled(marked.where("again").select("did", "lo", "hi").union(edge_stretches(edges, length, hot_rows)), "stretches")
-    return cut_out(rows, stretches, length, with_kept)
+    passages = settled(shared_passages(texts, words, word_gram, segment), "passages")
+    return cut_out(rows, stretches, passages, length, words, with_kept)

@@ -184,3 +184,49 @@ def test_repeats_across_segments(spark, hot):
     got = suffix_dedup.remove_repeats(docs, length=64, gram=20, hot_rows=hot, segment=100)
     by = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()}
     assert [by[i] for i in range(len(texts))] == brute_repeats(texts, 64)
+
+
+def brute_shared_words(texts: list[str | None], words: int) -> list[int]:
+    split = [(t or "").encode().split() for t in texts]
+    held = Counter(w for s in split for w in {tuple(s[p : p + words]) for p in range(len(s) - words + 1)})
+    out = []
+    for s in split:
+        covered = set()
+        for p in range(len(s) - words + 1):
+            if held[tuple(s[p : p + words])] > 1:
+                covered |= set(range(p, p + words))
+        out.append(len(covered))
+    return out
+
+
+@pytest.mark.parametrize("segment", [1 << 22, 40])
+def test_shared_words(spark, segment):
+    """Against brute force: passages of six words of other rows, with cuts, copies, repeats within a text and odd blanks."""
+    rng = random.Random(14)
+    text = lambda n: "".join(rng.choice(["ab", "b", "c", "ñé", "dd", "\u3000", "x"]) + rng.choice([" ", "\n", "  "]) for _ in range(n))
+    texts = [None, "", "  ", "a b c d e", "own " * 30, text(90), text(3), "w" * 300]
+    texts += [texts[5], texts[6], texts[3], texts[0]]
+    for k in range(25):
+        shared = text(4 + k)
+        texts += [text(9 + 2 * k) + shared + text(20), text(k) + shared.replace("\n", " ") + text(rng.randrange(30)), text(2) + shared + shared]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.n_shared_words for r in suffix_dedup.remove_repeats(docs, words=6, word_gram=2, segment=segment).collect()}
+    want = brute_shared_words(texts, 6)
+    assert 0 < sum(map(bool, want)) < len(texts)
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_passages_of_over_50_words(spark):
+    """Passages shorter than 400 bytes are told although the bytes stay; repeats within one text are not."""
+    rng = random.Random(15)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    planted, clean = [], []
+    for k in range(10):
+        passage = text(51 + k)
+        planted += [f"{text(30 + k)} {passage} {text(200)}", f"{passage} {text(k)}"]
+        short, inner = text(50), text(60)
+        clean += [f"{text(40)} {short} {text(100)}", f"{text(90)} {short}", f"{inner} {text(9)} {inner}"]
+    docs = spark.createDataFrame(list(enumerate(planted + clean)), "doc_id long, text string")
+    rows = sorted(suffix_dedup.remove_repeats(docs).collect())
+    assert [r.n_shared_words for r in rows] == [51 + k // 2 for k in range(20)] + [0] * 30
+    assert not any(r.n_removed for r in rows)
