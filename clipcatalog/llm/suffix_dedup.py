@@ -306,15 +306,13 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared_words long"
 
 
-def spanned(found: list[dict] | None, length: int) -> list[list[int]]:
-    """Starts of windows of ``length`` as maximal stretches, end exclusive."""
-    spans: list[list[int]] = []
-    for lo, hi in sorted((s["lo"], s["hi"]) for s in found or ()):
-        if spans and lo <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], hi + length)
-        else:
-            spans.append([lo, hi + length])
-    return spans
+def covered(lo: np.ndarray, hi: np.ndarray, length: int) -> int:
+    """Places inside windows of ``length`` that start at ``lo .. hi``."""
+    if not len(lo):
+        return 0
+    order = np.argsort(lo)
+    first, end = lo[order], np.maximum.accumulate(hi[order] + length)
+    return int(end[-1] - first[0] - np.maximum(first[1:] - end[:-1], 0).sum())
 
 
 def cut_out(texts: DataFrame, stretches: DataFrame, passages: DataFrame, length: int, words: int, with_kept: bool) -> DataFrame:
@@ -323,13 +321,20 @@ def cut_out(texts: DataFrame, stretches: DataFrame, passages: DataFrame, length:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out: dict[str, list] = {f.name: [] for f in RESULT}
-            for row in batch.to_pylist():
+            passages = batch.column("passages")
+            at, lo, hi = passages.offsets.to_numpy(), passages.values.field("lo").to_numpy(), passages.values.field("hi").to_numpy()
+            for k, row in enumerate(batch.select(["doc_id", "text", "found", "copies"]).to_pylist()):
                 data = (row["text"] or "").encode("utf-8", "surrogatepass")
                 if row["copies"] > 1 and len(data) >= length:
                     spans = [[0, len(data)]]
                 else:
-                    spans = spanned(row["found"], length)
-                n_shared = sum(b - a for a, b in spanned(row["passages"], words))
+                    spans = []
+                    for first, last in sorted((s["lo"], s["hi"]) for s in row["found"] or ()):
+                        if spans and first <= spans[-1][1]:
+                            spans[-1][1] = max(spans[-1][1], last + length)
+                        else:
+                            spans.append([first, last + length])
+                n_shared = covered(lo[at[k] : at[k + 1]], hi[at[k] : at[k + 1]], words)
                 if row["copies"] > 1:
                     n_words = len(word_edges(np.frombuffer(data, np.uint8))[0])
                     n_shared = n_words if n_words >= words else 0
